@@ -75,22 +75,22 @@ def readmission_flags(
         F.col("service_end_date").alias("discharged"),
     )
 
-    def comes_back(prior_discharge: Column) -> Column:
-        return F.coalesce(F.date_diff(F.col("admitted"), prior_discharge).between(min_days, max_days), F.lit(False))
+    def comes_back(days_home: str) -> Column:
+        return F.coalesce(F.col(days_home).between(min_days, max_days), F.lit(False))
 
     same_day = Window.partitionBy("member_id", "admitted").orderBy("encounter_id")
     days = (
-        stays.withColumn("within_day", comes_back(F.lag("discharged").over(same_day)))
+        stays.withColumn("days_home", F.date_diff("admitted", F.lag("discharged").over(same_day)))
         .groupBy("member_id", "admitted")
         .agg(
-            F.max("within_day").alias("within_day"),
+            F.max(comes_back("days_home")).alias("within_day"),
             F.max_by("discharged", "encounter_id").alias("last_discharge"),
         )
     )
     by_day = Window.partitionBy("member_id").orderBy("admitted")
-    readmitted = F.col("within_day") | comes_back(F.lag("last_discharge").over(by_day))
     return (
-        days.withColumn("readmitted", readmitted)
+        days.withColumn("days_home", F.date_diff("admitted", F.lag("last_discharge").over(by_day)))
+        .withColumn("readmitted", F.col("within_day") | comes_back("days_home"))
         .groupBy("member_id")
         .agg(
             F.max(F.col("readmitted").cast("int")).alias("had_readmission"),

@@ -69,8 +69,8 @@ def encounters(spark: SparkSession, sf_dir: str) -> DataFrame:
         f"{start} as START",
         f"{start} + make_dt_interval(cast(o_orderkey % 6 as int)) as STOP",
         "case o_orderpriority when '1-URGENT' then 'emergency' when '2-HIGH' then 'Inpatient'"
-        " when '3-MEDIUM' then element_at(array('urgentcare', 'outpatient', 'ambulatory', 'hospice'),"
-        " cast(o_orderkey % 4 as int) + 1)"
+        " when '3-MEDIUM' then case o_orderkey % 4 when 0 then 'urgentcare' when 1 then 'outpatient'"
+        " when 2 then 'ambulatory' else 'hospice' end"
         " when '4-NOT SPECIFIED' then 'wellness'"
         " else case when o_orderkey % 2 = 0 then 'office' else 'home' end end as ENCOUNTERCLASS",
         "case when o_orderkey % 3 <> 0 then cast(o_orderkey % 200 as string) end as REASONCODE",
@@ -109,9 +109,9 @@ def procedures(spark: SparkSession, sf_dir: str) -> DataFrame:
         "cast(o_custkey as string) as PATIENT",
         "cast(l_orderkey as string) as ENCOUNTER",
         f"{SHIPPED} as DATE",
-        "coalesce(element_at(array('43396009', '252779009', '6615001', '182836005', '428191000124101', '59408-5',"
-        " '410453006'), case when l_partkey % 40 < 7 then cast(l_partkey % 40 as int) + 1 end),"
-        " cast(l_partkey % 40 as string)) as CODE",
+        "case l_partkey % 40 when 0 then '43396009' when 1 then '252779009' when 2 then '6615001'"
+        " when 3 then '182836005' when 4 then '428191000124101' when 5 then '59408-5' when 6 then '410453006'"
+        " else cast(l_partkey % 40 as string) end as CODE",
         "concat('procedure ', l_partkey % 40) as DESCRIPTION",
         "cast(l_extendedprice as decimal(18,2)) as BASE_COST",
     )
