@@ -29,6 +29,8 @@ def configure(spark: SparkSession) -> SparkSession:
 def build_session(app_name: str = "cohortry", master: str | None = None, **settings: object) -> SparkSession:
     """A session with the library's settings; ``settings`` use ``__`` for dots."""
     builder = SparkSession.builder.appName(app_name).config("spark.ui.enabled", "false")
+    # Recording a call site per column expression costs more than planning these queries does.
+    builder = builder.config("spark.python.sql.dataFrameDebugging.enabled", "false")
     if master:
         builder = builder.master(master)
     for key, value in RUNTIME_SETTINGS.items():

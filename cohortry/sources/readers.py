@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import datetime as dt
-from dataclasses import dataclass, fields
+from collections.abc import Callable
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,20 +13,43 @@ from pyspark.sql import types as T
 from cohortry.schemas import AUDIT_LOG, CONDITION_MAP_SEED, RAW_TABLES
 
 
-@dataclass(frozen=True)
 class RawTables:
-    """The six raw tables and the condition map seed."""
+    """The six raw tables and the condition map seed, each read when first asked for."""
 
-    patients: DataFrame
-    encounters: DataFrame
-    conditions: DataFrame
-    procedures: DataFrame
-    medications: DataFrame
-    providers: DataFrame
-    condition_map: DataFrame
+    def __init__(self, read: Callable[[str], DataFrame]):
+        self._read = read
+
+    @cached_property
+    def patients(self) -> DataFrame:
+        return self._read("patients")
+
+    @cached_property
+    def encounters(self) -> DataFrame:
+        return self._read("encounters")
+
+    @cached_property
+    def conditions(self) -> DataFrame:
+        return self._read("conditions")
+
+    @cached_property
+    def procedures(self) -> DataFrame:
+        return self._read("procedures")
+
+    @cached_property
+    def medications(self) -> DataFrame:
+        return self._read("medications")
+
+    @cached_property
+    def providers(self) -> DataFrame:
+        return self._read("providers")
+
+    @cached_property
+    def condition_map(self) -> DataFrame:
+        return self._read("condition_map")
 
     def as_dict(self) -> dict[str, DataFrame]:
-        return {f.name: getattr(self, f.name) for f in fields(self) if f.name in RAW_TABLES}
+        """The six raw tables by name."""
+        return {name: getattr(self, name) for name in RAW_TABLES}
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
@@ -71,8 +95,8 @@ def read_table(spark: SparkSession, base: str, table: str, schema: T.StructType
 
 def read_raw(spark: SparkSession, base: str) -> RawTables:
     """Raw tables that ``ingest`` has written."""
-    tables = {name: read_table(spark, base, name, schema) for name, schema in RAW_TABLES.items()}
-    return RawTables(**tables, condition_map=read_table(spark, base, "condition_map", CONDITION_MAP_SEED))
+    schemas = {**RAW_TABLES, "condition_map": CONDITION_MAP_SEED}
+    return RawTables(lambda table: read_table(spark, base, table, schemas[table]))
 
 
 def read_mart(spark: SparkSession, base: str, mart: str, year: int | None = None) -> DataFrame:

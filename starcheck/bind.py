@@ -17,8 +17,34 @@ YEAR = 2001
 AS_OF = "2001-12-31"
 
 
+# Declared, so that no job is spent on reading file footers for a schema.
+STAR_SCHEMAS = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "orders": (
+        "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, o_orderdate timestamp_ntz,"
+        " o_orderpriority string"
+    ),
+    "lineitem": (
+        "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double,"
+        " l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string,"
+        " l_shipdate timestamp_ntz"
+    ),
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+    "documents": "doc_id bigint, text string, lang string, source string, n_chars bigint",
+    "embeddings": "vec_id bigint, embedding array<float>, label int",
+    "pages": "page_id bigint, url string, html string",
+    "benchmark": "item_id bigint, text string",
+    "labels": "doc_id bigint, quality int, toxic int",
+    "conversations": "conv_id bigint, turn bigint, role string, text string",
+}
+
+
 def star(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{table}.parquet")
+    return spark.read.schema(STAR_SCHEMAS[table]).parquet(f"{sf_dir}/{table}.parquet")
 
 
 def condition_map_rows() -> list[tuple[str, str, str, str]]:
@@ -140,17 +166,20 @@ def providers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return star(spark, sf_dir, "supplier").selectExpr("cast(s_suppkey as string) as Id")
 
 
+DERIVED = {
+    "patients": patients,
+    "encounters": encounters,
+    "conditions": conditions,
+    "procedures": procedures,
+    "medications": medications,
+    "providers": providers,
+    "condition_map": lambda spark, sf_dir: condition_map(spark),
+}
+
+
 def raw_tables(spark: SparkSession, sf_dir: str) -> RawTables:
     configure(spark)
-    return RawTables(
-        patients=patients(spark, sf_dir),
-        encounters=encounters(spark, sf_dir),
-        conditions=conditions(spark, sf_dir),
-        procedures=procedures(spark, sf_dir),
-        medications=medications(spark, sf_dir),
-        providers=providers(spark, sf_dir),
-        condition_map=condition_map(spark),
-    )
+    return RawTables(lambda table: DERIVED[table](spark, sf_dir))
 
 
 def datasets(spark: SparkSession, sf_dir: str) -> Datasets:

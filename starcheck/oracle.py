@@ -6,8 +6,8 @@ Each oracle is a chain of the named steps it needs and a projection that pins ev
 from __future__ import annotations
 
 from cohortry.vocabulary import CONDITION_FLAGS, GAP_MEASURES, RISK_TIERS, SERVICE_CODES
-from starcheck.bind import AS_OF, YEAR, condition_map_rows
-from starcheck.queries import CODE_RANGES, STAR_TABLES
+from starcheck.bind import AS_OF, STAR_SCHEMAS, YEAR, condition_map_rows
+from starcheck.queries import CODE_RANGES
 
 
 def text(value: str) -> str:
@@ -797,7 +797,7 @@ expect(
     "dq_row_counts",
     "",
     "t:table_name i:row_count",
-    "from (" + " union all ".join(f"select {text(t)} as table_name, (select count(*) from {t}) as row_count" for t in STAR_TABLES) + ")",
+    "from (" + " union all ".join(f"select {text(t)} as table_name, (select count(*) from {t}) as row_count" for t in STAR_SCHEMAS) + ")",
 )
 step(
     "history",

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -22,11 +23,6 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 REGISTRY: dict[str, Query] = {}
 
-STAR_TABLES = (
-    "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels"
-    " conversations"
-).split()
-
 CODE_RANGES = [
     ("1", "15", "tens"),
     ("17", "23", "late tens and twenties"),
@@ -374,7 +370,7 @@ def dq_duplicate_keys(d: Datasets) -> DataFrame:
 
 @registered
 def dq_row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.row_counts({table: bind.star(spark, sf_dir, table) for table in STAR_TABLES})
+    return quality.row_counts({table: bind.star(spark, sf_dir, table) for table in bind.STAR_SCHEMAS})
 
 
 def _audit_history(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -450,8 +446,6 @@ def dq_schema_contract(d: Datasets) -> DataFrame:
 
 @dataset
 def dq_audit_rows(d: Datasets) -> DataFrame:
-    import datetime as dt
-
     marts = _marts(d)
     drops = quality.row_count_drop(quality.row_counts(marts), quality.row_counts({"mart_care_gaps": d.stg_procedures}))
     nulls = [quality.null_rates(mart, marts[mart], columns) for mart, columns in quality.NULL_RATE_COLUMNS.items()]
