@@ -17,14 +17,15 @@ def code_in_range(
 ) -> Column:
     """Lexicographic ``low <= code <= high``.
 
-    ``include_subcodes`` also takes the sub-codes of the upper end (``E131`` for ``E13``).
+    ``include_subcodes`` also takes the sub-codes of the upper end (``E131`` for ``E13``); an empty
+    upper end has none.
     """
     column = _column(code)
     low_end = F.lit(low) if isinstance(low, str) else low
     high_end = F.lit(high) if isinstance(high, str) else high
     upper = column <= high_end
     if include_subcodes:
-        upper = upper | column.startswith(high_end)
+        upper = upper | ((high_end != "") & column.startswith(high_end))
     return (column >= low_end) & upper
 
 

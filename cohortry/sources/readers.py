@@ -52,16 +52,16 @@ class RawTables:
         return {name: getattr(self, name) for name in RAW_TABLES}
 
 
-def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+def read_csv(spark: SparkSession, path: str, schema: T.StructType, quoted_newlines: bool = True) -> DataFrame:
     """A headed CSV file or folder. Quoted fields may hold line breaks; short rows end in NULLs.
 
-    Quoted line breaks make one file one task, so land large tables as many files and convert them
-    to Parquet once (``ingest``).
+    With ``quoted_newlines`` one file is one task, so land large tables as many files and convert
+    them to Parquet once (``ingest``). Without it Spark splits large files.
     """
     return (
         spark.read.schema(schema)
         .option("header", True)
-        .option("multiLine", True)
+        .option("multiLine", quoted_newlines)
         .option("mode", "PERMISSIVE")
         .option("escape", '"')
         .csv(path)
