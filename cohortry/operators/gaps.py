@@ -63,34 +63,30 @@ def readmission_flags(
 ) -> DataFrame:
     """Members with an inpatient stay, and whether one began ``min_days..max_days`` after the stay before it.
 
-    Stays are ordered by admission date, then encounter id. A plain per-member window would put all
-    stays of one member into one task. Instead stays are compared within (member, admission day),
-    each day is reduced to its first and last stay, and the days of a member are compared with each
-    other. The second window sees at most one row per calendar day of a member.
+    Stays are ordered by admission date, then encounter id. A per-member window over all stays would
+    put one member's stays into one task, so each admission day is aggregated first: every stay of a
+    day but the last is followed by a stay admitted on that same day, so only its own discharge
+    decides, and only the last one's discharge matters to later days. The window then sees one row
+    per calendar day of a member.
     """
-    stays = encounters.where(F.col("claim_type") == "inpatient").select(
-        "member_id",
-        "encounter_id",
-        F.col("service_date").alias("admitted"),
-        F.col("service_end_date").alias("discharged"),
-    )
+    admitted, discharged = F.col("service_date"), F.col("service_end_date")
 
-    def comes_back(days_home: str) -> Column:
-        return F.coalesce(F.col(days_home).between(min_days, max_days), F.lit(False))
+    def comes_back(days_home: Column) -> Column:
+        return F.coalesce(days_home.between(min_days, max_days), F.lit(False))
 
-    same_day = Window.partitionBy("member_id", "admitted").orderBy("encounter_id")
     days = (
-        stays.withColumn("days_home", F.date_diff("admitted", F.lag("discharged").over(same_day)))
-        .groupBy("member_id", "admitted")
+        encounters.where(F.col("claim_type") == "inpatient")
+        .groupBy("member_id", admitted.alias("admitted"))
         .agg(
-            F.max(comes_back("days_home")).alias("within_day"),
-            F.max_by("discharged", "encounter_id").alias("last_discharge"),
+            F.count_if(comes_back(F.date_diff(admitted, discharged))).alias("early_discharges"),
+            F.max_by(discharged, "encounter_id").alias("last_discharge"),
         )
     )
-    by_day = Window.partitionBy("member_id").orderBy("admitted")
+    last_is_early = comes_back(F.date_diff("admitted", "last_discharge")).cast("int")
+    before = F.lag("last_discharge").over(Window.partitionBy("member_id").orderBy("admitted"))
     return (
-        days.withColumn("days_home", F.date_diff("admitted", F.lag("last_discharge").over(by_day)))
-        .withColumn("readmitted", F.col("within_day") | comes_back("days_home"))
+        days.withColumn("days_home", F.date_diff("admitted", before))
+        .withColumn("readmitted", (F.col("early_discharges") > last_is_early) | comes_back(F.col("days_home")))
         .groupBy("member_id")
         .agg(
             F.max(F.col("readmitted").cast("int")).alias("had_readmission"),

@@ -19,10 +19,20 @@ RUNTIME_SETTINGS = {
 }
 
 
-def configure(spark: SparkSession) -> SparkSession:
-    """Apply the runtime settings to an existing session."""
+SHUFFLE_TARGET_BYTES = 128 * 1024 * 1024
+
+
+def configure(spark: SparkSession, shuffled_bytes: int | None = None) -> SparkSession:
+    """Apply the runtime settings to an existing session.
+
+    ``shuffled_bytes`` is the expected size of the largest shuffle. Adaptive execution merges small
+    shuffle partitions but never cuts one below what was planned, so large data needs many to start.
+    """
     for key, value in RUNTIME_SETTINGS.items():
         spark.conf.set(key, value)
+    if shuffled_bytes:
+        planned = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-shuffled_bytes // SHUFFLE_TARGET_BYTES))
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", planned)
     return spark
 
 

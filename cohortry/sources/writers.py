@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -80,6 +81,9 @@ def current_audit(spark: SparkSession, path: str, as_of: str | dt.date, keep_day
     return unexpired(read_audit_log(spark, path), as_of, keep_days)
 
 
-def export_report(report: DataFrame, path: str) -> None:
-    """One headed CSV file of a report; reports have a handful of rows."""
-    report.coalesce(1).write.mode("overwrite").option("header", True).csv(path)
+def export_report(report: DataFrame, path: str, order_by: Sequence[str] = ()) -> None:
+    """One headed CSV file of a report. Only the finished report rows, a handful, move to one task."""
+    single = report.repartition(1)
+    if order_by:
+        single = single.sortWithinPartitions(*order_by)
+    single.write.mode("overwrite").option("header", True).csv(path)

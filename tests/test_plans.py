@@ -91,9 +91,12 @@ def test_best_row_per_group_is_limited_before_the_shuffle(written):
 
 def test_no_window_gathers_all_stays_of_a_member(written):
     plan = physical(gaps.readmission_flags(written["stg_encounters"]))
-    first, second = re.findall(r"Exchange hashpartitioning\(([^)]*)\)", plan)
-    assert second.startswith("member_id") and "admitted" in second
-    assert first.startswith("member_id") and "admitted" not in first
+    per_member, per_day = re.findall(r"Exchange hashpartitioning\(([^)]*)\)", plan)
+    assert per_day.startswith("member_id") and "service_date" in per_day
+    assert per_member.startswith("member_id") and "service_date" not in per_member
+    # Days are reduced before their shuffle; the only window comes after it.
+    assert plan.count("Window [") == 1 and plan.index("Window [") < plan.index("partial_max_by")
+    assert plan.index(per_day) < plan.index("partial_max_by")
 
 
 def test_distinct_encounters_are_spread_before_the_member_step(written):

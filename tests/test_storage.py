@@ -88,9 +88,19 @@ def test_audit_log_appends_and_expires(spark, tmp_path):
 
 
 def test_report_export(spark, tmp_path):
-    writers.export_report(spark.createDataFrame([("a", 1)], "k string, n int"), str(tmp_path / "r"))
+    report = spark.createDataFrame([("b", 2), ("a", 1)], "k string, n int").repartition(2)
+    writers.export_report(report, str(tmp_path / "r"), order_by=["k"])
     (part,) = (tmp_path / "r").glob("*.csv")
-    assert part.read_text() == "k,n\na,1\n"
+    assert part.read_text() == "k,n\na,1\nb,2\n"
+
+
+def test_large_shuffles_start_with_more_partitions(spark):
+    key = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    try:
+        session.configure(spark, shuffled_bytes=10 * 2**30)
+        assert spark.conf.get(key) == "80"
+    finally:
+        spark.conf.unset(key)
 
 
 def test_materialize_uses_the_named_folder(spark):
