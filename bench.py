@@ -15,7 +15,7 @@ from pathlib import Path
 
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
-from cohortry.session import build_session  # noqa: E402
+from cohortry.session import build_session, release_scratch  # noqa: E402
 from starcheck.queries import REGISTRY  # noqa: E402
 
 HEADLINE = [
@@ -75,6 +75,7 @@ def main() -> None:
             }
         )
     )
+    release_scratch(spark)
     spark.stop()
 
 

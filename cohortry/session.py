@@ -68,9 +68,19 @@ def shared_folder(spark: SparkSession) -> str:
     return chosen.rstrip("/")
 
 
+def _session_scratch(spark: SparkSession) -> str:
+    return f"{shared_folder(spark)}/cohortry-{spark.sparkContext.applicationId}"
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A fresh path below the shared folder."""
-    return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
+    """A fresh path of this session below the shared folder."""
+    return f"{_session_scratch(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def release_scratch(spark: SparkSession) -> None:
+    """Delete what this session has materialized, once no DataFrame that reads it is needed."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(_session_scratch(spark))
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def materialize(df: DataFrame, label: str) -> DataFrame:

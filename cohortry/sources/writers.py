@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from cohortry.functions.dates import as_date
 from cohortry.operators.quality import unexpired
-from cohortry.schemas import CONDITION_MAP_SEED, RAW_TABLES
+from cohortry.schemas import AUDIT_LOG, CONDITION_MAP_SEED, RAW_TABLES
 from cohortry.sources.readers import RawTables, read_audit_log, read_csv, read_raw, read_table
 
 
@@ -52,10 +52,19 @@ def write_mart(df: DataFrame, base: str, mart: str) -> DataFrame:
 def append_audit(rows: DataFrame, path: str) -> None:
     """Append a run's results, one partition per day, clustered for skipping by check and table.
 
-    A run has a few dozen rows, so a day's rows fit one task.
+    A run has a few dozen rows, so a day's rows fit one task. A missing required value fails the
+    append.
     """
+    required = {
+        field.name: F.when(F.col(field.name).isNotNull(), F.col(field.name)).otherwise(
+            F.raise_error(F.lit(f"audit rows need {field.name}"))
+        )
+        for field in AUDIT_LOG.fields
+        if not field.nullable
+    }
     (
-        rows.withColumn("_inserted_at", F.current_timestamp())
+        rows.withColumns(required)
+        .withColumn("_inserted_at", F.current_timestamp())
         .withColumn("run_date", F.to_date("run_timestamp"))
         .repartition("run_date")
         .sortWithinPartitions("run_date", "check_type", "table_name")

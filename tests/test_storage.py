@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -87,6 +88,14 @@ def test_audit_log_appends_and_expires(spark, tmp_path):
     assert left.where("_inserted_at is null").count() == 0
 
 
+def test_audit_rows_need_their_required_values(spark, tmp_path):
+    nullable = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in schemas.AUDIT_LOG.fields)
+    row = list(audit_row(dt.date(2020, 1, 1)))
+    row[5] = None
+    with pytest.raises(Exception, match="audit rows need check_result"):
+        writers.append_audit(spark.createDataFrame([tuple(row)], nullable), str(tmp_path / "audit"))
+
+
 def test_report_export(spark, tmp_path):
     report = spark.createDataFrame([("b", 2), ("a", 1)], "k string, n int").repartition(2)
     writers.export_report(report, str(tmp_path / "r"), order_by=["k"])
@@ -108,7 +117,10 @@ def test_materialize_uses_the_named_folder(spark):
     named = spark.conf.get("spark.checkpoint.dir", None)
     assert folder == (named.rstrip("/") if named else spark.sparkContext.getCheckpointDir())
     kept = session.materialize(spark.range(10).withColumn("x", F.lit(1)), "test")
-    assert kept.count() == 10 and folder.removeprefix("file:") in kept.inputFiles()[0]
+    path = kept.inputFiles()[0]
+    assert kept.count() == 10 and folder.removeprefix("file:") in path
+    session.release_scratch(spark)
+    assert not Path(path.removeprefix("file://")).exists()
 
 
 def test_build_writes_marts_and_audit_and_stops_on_failures(spark, tmp_path):
