@@ -123,28 +123,62 @@ def test_materialize_uses_the_named_folder(spark):
     assert not Path(path.removeprefix("file://")).exists()
 
 
-def test_build_writes_marts_and_audit_and_stops_on_failures(spark, tmp_path):
-    raw = bind.raw_tables(spark, SF)
-    out = str(tmp_path / "out")
+MART_ROWS = {
+    "mart_member_risk_profile": 150,
+    "mart_care_gaps": 339,
+    "mart_cost_utilization": 4,
+    "mart_provider_efficiency": 10,
+}
 
-    def run(day, **options):
-        return build(spark, raw, out, bind.YEAR, bind.AS_OF, f"run-{day}", dt.datetime(2001, 12, day), max_stale_days=365, **options)
 
-    # The bound tables repeat some keys, so the gate must stop the build before any mart exists.
-    with pytest.raises(quality.QualityError, match="unique stg_"):
-        run(1)
-    assert not (tmp_path / "out").exists()
+@pytest.fixture
+def run_build(spark, tmp_path):
+    def run(raw, day, **options):
+        options = {"max_stale_days": 365, **options}
+        return build(spark, raw, str(tmp_path / "out"), bind.YEAR, bind.AS_OF, f"run-{day}", dt.datetime(2001, 12, day), **options)
+
+    return run
+
 
-    result = run(2, gate=False)
-    assert {name: mart.count() for name, mart in result.marts.items()} == {
-        "mart_member_risk_profile": 150,
-        "mart_care_gaps": 339,
-        "mart_cost_utilization": 4,
-        "mart_provider_efficiency": 10,
+def cleaned(spark):
+    """The bound tables without missing genders and repeated keys."""
+    keys = {
+        "conditions": ["PATIENT", "CODE", "START"],
+        "procedures": ["PATIENT", "CODE", "DATE", "ENCOUNTER"],
+        "medications": ["PATIENT", "CODE", "START", "ENCOUNTER", "STOP", "TOTALCOST"],
     }
+
+    def read(table):
+        df = bind.DERIVED[table](spark, SF)
+        return df.fillna("U", ["GENDER"]) if table == "patients" else df.dropDuplicates(keys[table]) if table in keys else df
+
+    return readers.RawTables(read)
+
+
+def test_gate_stops_before_the_next_layer(spark, tmp_path, run_build):
+    raw = bind.raw_tables(spark, SF)
+    with pytest.raises(quality.QualityError, match="not_null patients.GENDER"):
+        run_build(raw, 1)
+    assert not (tmp_path / "out").exists()
+
+
+def test_ungated_build_is_repeatable_and_audited(spark, tmp_path, run_build):
+    raw = bind.raw_tables(spark, SF)
+    result = run_build(raw, 2, gate=False)
+    assert {name: mart.count() for name, mart in result.marts.items()} == MART_ROWS
     assert result.audit.count() == 4 + 13 + 1
     assert quality.overall_result(result.audit).head()["check_result"] == "pass"
-    again = run(3, gate=False)
-    assert again.marts["mart_care_gaps"].count() == 339
-    assert readers.read_audit_log(spark, f"{out}/audit").count() == 36
-    assert quality.prior_run_counts(readers.read_audit_log(spark, f"{out}/audit")).count() == 4
+    again = run_build(raw, 3, gate=False)
+    assert again.marts["mart_care_gaps"].count() == MART_ROWS["mart_care_gaps"]
+    log = readers.read_audit_log(spark, str(tmp_path / "out" / "audit"))
+    assert log.count() == 36 and quality.prior_run_counts(log).count() == 4
+
+
+def test_gated_build_of_clean_tables(spark, tmp_path, run_build):
+    raw = cleaned(spark)
+    assert run_build(raw, 4).marts["mart_member_risk_profile"].count() == 150
+    # Stale data fails the run, and the failure is in the log all the same.
+    with pytest.raises(quality.QualityError, match="freshness stg_encounters"):
+        run_build(raw, 5, max_stale_days=30)
+    log = readers.read_audit_log(spark, str(tmp_path / "out" / "audit"))
+    assert [r["run_id"] for r in log.where("check_result = 'fail'").collect()] == ["run-5"]
