@@ -1,4 +1,7 @@
-"""Provider attribution, spend, top condition and efficiency scorecard."""
+"""Provider attribution, spend, top condition and efficiency scorecard.
+
+``claims`` is the claim-line spine or the smaller claim panel; both give the same results.
+"""
 
 from __future__ import annotations
 
@@ -63,7 +66,8 @@ def provider_top_condition(dx: DataFrame, claims: DataFrame) -> DataFrame:
         .groupBy(F.col("encounter_id").alias("claim_id"), "condition_category")
         .agg(F.count("*").alias("diagnoses"))
     )
-    lines = billable_claims(claims).groupBy("claim_id", "provider_npi").agg(F.count("*").alias("lines"))
+    line_count = F.sum("lines") if "lines" in claims.columns else F.count("*")
+    lines = billable_claims(claims).groupBy("claim_id", "provider_npi").agg(line_count.alias("lines"))
     pairs = (
         lines.join(diagnoses, "claim_id")
         .groupBy("provider_npi", "condition_category")

@@ -53,6 +53,10 @@ class Datasets:
     def int_claims_unioned(self) -> DataFrame:
         return claims.int_claims_unioned(self.stg_encounters, self.stg_conditions, self.stg_procedures)
 
+    @cached_property
+    def claim_panel(self) -> DataFrame:
+        return claims.claim_panel(self.stg_encounters, self.stg_conditions, self.stg_procedures)
+
     @cached_property
     def int_dx_code_flags(self) -> DataFrame:
         return conditions.int_dx_code_flags(self.stg_conditions, self.raw.condition_map)
@@ -93,18 +97,18 @@ class Datasets:
     def provider_assembled(self) -> DataFrame:
         """Scorecard rows before the quadrants.
 
-        The profile feeds both the panel and the gaps, and the spine feeds three branches, so both
+        The profile feeds the averages and the gaps, and the claim panel feeds three branches, so both
         are written first; each branch then reads only the columns it needs.
         """
         profile = self.shared_profile
-        spine = self.shared_claims
+        panel = self.shared_panel
         member_gaps = gaps.mart_care_gaps(profile, self.stg_procedures, self.stg_encounters)
         return providers.provider_assembled(
-            providers.primary_provider(spine),
+            providers.primary_provider(panel),
             profile,
-            providers.provider_spend(spine),
+            providers.provider_spend(panel),
             providers.gap_closure_by_member(member_gaps),
-            providers.provider_top_condition(self.int_dx_code_flags, spine),
+            providers.provider_top_condition(self.int_dx_code_flags, panel),
         )
 
     def mart_provider_efficiency(self, min_members: int = MIN_ATTRIBUTED_MEMBERS) -> DataFrame:
@@ -117,9 +121,8 @@ class Datasets:
         return materialize(self.mart_member_risk_profile, "profile")
 
     @cached_property
-    def shared_claims(self) -> DataFrame:
-        columns = ["claim_id", "member_id", "provider_npi", "claim_type", "paid_amount"]
-        return materialize(providers.billable_claims(self.int_claims_unioned).select(*columns), "claims")
+    def shared_panel(self) -> DataFrame:
+        return materialize(providers.billable_claims(self.claim_panel), "panel")
 
     @cached_property
     def shared_assembled(self) -> DataFrame:

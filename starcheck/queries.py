@@ -229,17 +229,17 @@ def mart_care_gaps_within_year(d: Datasets) -> DataFrame:
 
 @dataset
 def primary_provider(d: Datasets) -> DataFrame:
-    return providers.primary_provider(d.int_claims_unioned)
+    return providers.primary_provider(d.claim_panel)
 
 
 @dataset
 def provider_spend(d: Datasets) -> DataFrame:
-    return providers.provider_spend(d.int_claims_unioned)
+    return providers.provider_spend(d.claim_panel)
 
 
 @dataset
 def provider_top_condition(d: Datasets) -> DataFrame:
-    return providers.provider_top_condition(d.int_dx_code_flags, d.int_claims_unioned)
+    return providers.provider_top_condition(d.int_dx_code_flags, d.claim_panel)
 
 
 @dataset

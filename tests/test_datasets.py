@@ -128,6 +128,20 @@ def test_spine_equals_separate_joins_and_keeps_spend(spark, rows):
     assert scored.count() == cond.count() and scored.where("encounter_id = 'unknown'").count() > 0
 
 
+@pytest.mark.parametrize("seed", range(3))
+def test_claim_panel_equals_the_counted_spine(spark, rows, seed):
+    enc, cond, proc, seed_map = small_world(spark, seed=seed, hot=True)
+    spine, panel = claims.int_claims_unioned(enc, cond, proc), claims.claim_panel(enc, cond, proc)
+    keys = ["claim_id", "member_id", "provider_npi", "claim_type"]
+    counted = spine.groupBy(*keys).agg(F.count("*").alias("lines"), F.sum("paid_amount").alias("paid_amount"))
+    summed = panel.groupBy(*keys).agg(F.sum("lines").alias("lines"), F.sum("paid_amount").alias("paid_amount"))
+    assert rows(counted) == rows(summed)
+    mapped = conditions.int_dx_code_flags(cond, seed_map)
+    assert rows(providers.primary_provider(spine)) == rows(providers.primary_provider(panel))
+    assert rows(providers.provider_spend(spine)) == rows(providers.provider_spend(panel))
+    assert rows(providers.provider_top_condition(mapped, spine)) == rows(providers.provider_top_condition(mapped, panel))
+
+
 # Conditions and score
 
 
