@@ -129,7 +129,8 @@ NULL_RATE_COLUMNS = {
 }
 
 
-def _all(frames: Sequence[DataFrame]) -> DataFrame:
+def union_all(frames: Sequence[DataFrame]) -> DataFrame:
+    """Results of several checks as one DataFrame."""
     return reduce(DataFrame.unionByName, frames)
 
 
@@ -184,7 +185,7 @@ def run_checks(tables: Mapping[str, DataFrame], checks: Sequence[Check]) -> Data
                     .withColumn("column_name", F.lit(check.column))
                     .withColumn("table_name", F.lit(table))
                 )
-    return _all(results).select(
+    return union_all(results).select(
         "check_type", "table_name", "column_name", "failing", _verdict(F.col("failing") > 0).alias("check_result")
     )
 
@@ -206,12 +207,12 @@ def duplicate_groups(df: DataFrame, key_sets: Sequence[Sequence[str]]) -> DataFr
             F.lit(", ".join(keys)).alias("key_columns"), "duplicate_groups"
         )
 
-    return _all([one(keys) for keys in key_sets])
+    return union_all([one(keys) for keys in key_sets])
 
 
 def row_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
     """Row count per table."""
-    return _all(
+    return union_all(
         [df.agg(F.count("*").alias("row_count")).withColumn("table_name", F.lit(name)) for name, df in tables.items()]
     ).select("table_name", "row_count")
 
@@ -344,7 +345,7 @@ def audit_rows(
             _text("max_date=", F.col("max_date"), ", days_stale=", F.col("days_stale")),
         ),
     ]
-    return _all(frames).select(*AUDIT_LOG.fieldNames())
+    return union_all(frames).select(*AUDIT_LOG.fieldNames())
 
 
 def overall_result(audit: DataFrame) -> DataFrame:

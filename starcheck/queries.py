@@ -12,7 +12,7 @@ from cohortry.functions.codes import code_in, code_in_range, condition_flag
 from cohortry.operators import claims, codes, conditions, cost, gaps, providers, quality, reports, risk
 from cohortry.plans.datasets import Datasets
 from cohortry.schemas import CONDITIONS, RAW_TABLES
-from cohortry.session import configure, scratch_path
+from cohortry.session import configure, materialize, scratch_path
 from cohortry.sources.readers import read_csv, read_table
 from cohortry.sources.writers import load_table
 from cohortry.vocabulary import SERVICE_CODES
@@ -317,12 +317,13 @@ def wide_codes_to_long(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _marts(d: Datasets) -> dict[str, DataFrame]:
+    """The marts as written tables, which is what the checks read after a build."""
     profile = d.shared_profile
     return {
         "mart_member_risk_profile": profile,
-        "mart_care_gaps": gaps.mart_care_gaps(profile, d.stg_procedures, d.stg_encounters),
+        "mart_care_gaps": materialize(gaps.mart_care_gaps(profile, d.stg_procedures, d.stg_encounters), "gaps"),
         "mart_cost_utilization": cost.mart_cost_utilization(profile),
-        "mart_provider_efficiency": d.mart_provider_efficiency(),
+        "mart_provider_efficiency": materialize(d.mart_provider_efficiency(), "efficiency"),
     }
 
 
@@ -428,7 +429,7 @@ def dq_null_rates(d: Datasets) -> DataFrame:
     marts = _marts(d)
     rates = [quality.null_rates(mart, marts[mart], columns) for mart, columns in quality.NULL_RATE_COLUMNS.items()]
     rates.append(quality.null_rates("stg_encounters", d.stg_encounters, ["provider_id", "reason_snomed_code"]))
-    return quality._all(rates)
+    return quality.union_all(rates)
 
 
 @dataset
@@ -441,7 +442,7 @@ def dq_freshness(d: Datasets) -> DataFrame:
 @dataset
 def dq_schema_contract(d: Datasets) -> DataFrame:
     raw = d.raw.as_dict()
-    return quality._all([quality.schema_contract(name, raw[name], schema) for name, schema in RAW_TABLES.items()])
+    return quality.union_all([quality.schema_contract(name, raw[name], schema) for name, schema in RAW_TABLES.items()])
 
 
 @dataset
@@ -553,7 +554,8 @@ def report_provider_kpis(d: Datasets) -> DataFrame:
 
 @dataset
 def report_provider_quadrant_points(d: Datasets) -> DataFrame:
-    return reports.report_provider_quadrant_points(_top_providers(d))
+    written = materialize(d.mart_provider_efficiency(), "efficiency")
+    return reports.report_provider_quadrant_points(reports.report_top_providers(written))
 
 
 @dataset
