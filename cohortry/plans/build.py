@@ -7,7 +7,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cohortry.operators import cost, gaps, providers, quality
+from cohortry.operators import quality
 from cohortry.plans.datasets import Datasets
 from cohortry.sources.readers import RawTables, read_audit_log
 from cohortry.sources.writers import append_audit, write_mart
@@ -44,43 +44,26 @@ def build(
     staged = ["stg_members", "stg_encounters", "stg_conditions", "stg_procedures", "stg_medications"]
     check({name: getattr(data, name) for name in staged}, quality.STAGING_CHECKS)
 
-    # The spine and the flags are checked and then read by several marts, so they are written.
-    layer = {
-        name: write_mart(getattr(data, name), f"{out}/intermediate", name)
-        for name in ("int_claims_unioned", "int_dx_code_flags")
-    }
-    data.int_claims_unioned, data.int_dx_code_flags = layer["int_claims_unioned"], layer["int_dx_code_flags"]
-    layer["int_member_chronic_flags"] = write_mart(
-        data.int_member_chronic_flags, f"{out}/intermediate", "int_member_chronic_flags"
-    )
-    data.int_member_chronic_flags = layer["int_member_chronic_flags"]
+    # What a layer has written replaces the lazy dataset, so every later reader scans it.
+    layer: dict[str, DataFrame] = {}
+    for name in ("int_claims_unioned", "int_dx_code_flags", "int_member_chronic_flags"):
+        layer[name] = write_mart(getattr(data, name), f"{out}/intermediate", name)
+        setattr(data, name, layer[name])
     check(layer, quality.INTERMEDIATE_CHECKS)
 
-    marts_folder = f"{out}/marts"
     marts: dict[str, DataFrame] = {}
-    profile = write_mart(data.mart_member_risk_profile, marts_folder, "mart_member_risk_profile")
-    marts["mart_member_risk_profile"] = profile
-    marts["mart_care_gaps"] = write_mart(
-        gaps.mart_care_gaps(profile, data.stg_procedures, data.stg_encounters), marts_folder, "mart_care_gaps"
-    )
-    marts["mart_cost_utilization"] = write_mart(
-        cost.mart_cost_utilization(profile), marts_folder, "mart_cost_utilization"
-    )
-    spine = layer["int_claims_unioned"]
-    assembled = write_mart(
-        providers.provider_assembled(
-            providers.primary_provider(spine),
-            profile,
-            providers.provider_spend(spine),
-            providers.gap_closure_by_member(marts["mart_care_gaps"]),
-            providers.provider_top_condition(layer["int_dx_code_flags"], spine),
-        ),
-        f"{out}/intermediate",
-        "provider_assembled",
-    )
-    marts["mart_provider_efficiency"] = write_mart(
-        providers.mart_provider_efficiency(assembled), marts_folder, "mart_provider_efficiency"
-    )
+
+    def write(name: str, mart: DataFrame) -> DataFrame:
+        marts[name] = write_mart(mart, f"{out}/marts", name)
+        return marts[name]
+
+    profile = write("mart_member_risk_profile", data.mart_member_risk_profile)
+    data.mart_member_risk_profile = data.shared_profile = profile
+    data.shared_gaps = write("mart_care_gaps", data.mart_care_gaps)
+    write("mart_cost_utilization", data.mart_cost_utilization)
+    data.shared_panel = layer["int_claims_unioned"]
+    data.shared_assembled = write_mart(data.provider_assembled, f"{out}/intermediate", "provider_assembled")
+    write("mart_provider_efficiency", data.mart_provider_efficiency())
 
     audit = audit_run(spark, marts, data.stg_encounters, f"{out}/audit", as_of, run_id, run_timestamp, max_stale_days)
     check(marts, quality.MART_CHECKS)

@@ -17,7 +17,8 @@ class Datasets:
     """Named datasets over one set of raw tables.
 
     Staging and intermediate datasets stay lazy and are inlined into their readers. ``shared_*``
-    datasets are read by several branches of one query and are written once.
+    datasets are read by several branches of one query and are written once. A build that has
+    written a dataset itself assigns it, and later datasets read what was written.
     """
 
     def __init__(self, raw: RawTables, year: int, as_of: str | dt.date):
@@ -100,14 +101,12 @@ class Datasets:
         The profile feeds the averages and the gaps, and the claim panel feeds three branches, so both
         are written first; each branch then reads only the columns it needs.
         """
-        profile = self.shared_profile
         panel = self.shared_panel
-        member_gaps = gaps.mart_care_gaps(profile, self.stg_procedures, self.stg_encounters)
         return providers.provider_assembled(
             providers.primary_provider(panel),
-            profile,
+            self.shared_profile,
             providers.provider_spend(panel),
-            providers.gap_closure_by_member(member_gaps),
+            providers.gap_closure_by_member(self.shared_gaps),
             providers.provider_top_condition(self.int_dx_code_flags, panel),
         )
 
@@ -120,6 +119,11 @@ class Datasets:
     def shared_profile(self) -> DataFrame:
         return materialize(self.mart_member_risk_profile, "profile")
 
+    @cached_property
+    def shared_gaps(self) -> DataFrame:
+        """Gaps of the written profile; they have one reader, so they are not written themselves."""
+        return gaps.mart_care_gaps(self.shared_profile, self.stg_procedures, self.stg_encounters)
+
     @cached_property
     def shared_panel(self) -> DataFrame:
         return materialize(providers.billable_claims(self.claim_panel), "panel")

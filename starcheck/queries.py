@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cohortry.functions.codes import code_in, code_in_range, condition_flag
-from cohortry.operators import claims, codes, conditions, cost, gaps, providers, quality, reports, risk
+from cohortry.operators import claims, codes, conditions, gaps, providers, quality, reports, risk
 from cohortry.plans.datasets import Datasets
 from cohortry.schemas import CONDITIONS, RAW_TABLES
 from cohortry.session import configure, materialize, scratch_path
@@ -318,11 +318,12 @@ def wide_codes_to_long(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _marts(d: Datasets) -> dict[str, DataFrame]:
     """The marts as written tables, which is what the checks read after a build."""
-    profile = d.shared_profile
+    d.mart_member_risk_profile = d.shared_profile
+    d.shared_gaps = materialize(d.mart_care_gaps, "gaps")
     return {
-        "mart_member_risk_profile": profile,
-        "mart_care_gaps": materialize(gaps.mart_care_gaps(profile, d.stg_procedures, d.stg_encounters), "gaps"),
-        "mart_cost_utilization": cost.mart_cost_utilization(profile),
+        "mart_member_risk_profile": d.shared_profile,
+        "mart_care_gaps": d.shared_gaps,
+        "mart_cost_utilization": d.mart_cost_utilization,
         "mart_provider_efficiency": materialize(d.mart_provider_efficiency(), "efficiency"),
     }
 
@@ -483,9 +484,7 @@ def report_hcc_box(d: Datasets) -> DataFrame:
 
 
 def _gaps_with_tier(d: Datasets) -> DataFrame:
-    profile = d.shared_profile
-    member_gaps = gaps.mart_care_gaps(profile, d.stg_procedures, d.stg_encounters)
-    return reports.report_gaps_with_tier(member_gaps, profile, YEAR)
+    return reports.report_gaps_with_tier(d.shared_gaps, d.shared_profile, YEAR)
 
 
 @dataset
