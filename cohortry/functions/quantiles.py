@@ -8,17 +8,19 @@ from pyspark.sql import functions as F
 from cohortry.functions.numeric import RATIO_TYPE
 
 SKETCH_ACCURACY = 10_000
+# Half-width of the bracket, in units of the sketch's error bound.
+BRACKET_ERRORS = 10
 
 
 def exact_median(df: DataFrame, column: str, name: str) -> DataFrame:
     """One row with the interpolated median of a decimal column; NULLs are ignored.
 
     A mergeable rank sketch brackets the middle first. A second pass counts what lies below the
-    bracket and ranks only the values inside it, about ``4 / SKETCH_ACCURACY`` of the rows, so no
-    task holds the whole column. The bracket is twice as wide as the sketch's error bound; should
-    it ever miss the middle, the query fails instead of returning a wrong number.
+    bracket and ranks only the values inside it, about 0.2 % of the rows, so no task holds the whole
+    column. The bracket is ten times as wide as the sketch's error bound; should it ever miss the
+    middle, the query fails instead of returning a wrong number.
     """
-    margin = 2.0 / SKETCH_ACCURACY
+    margin = BRACKET_ERRORS / SKETCH_ACCURACY
     values = df.select(F.col(column).alias("value")).where(F.col("value").isNotNull())
     bracket = values.agg(
         F.count("*").alias("total"),
