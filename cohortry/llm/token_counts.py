@@ -6,8 +6,9 @@ a text into pre-tokens that are encoded independently of one another.
 
 1. every task counts its pre-tokens; summed globally, they are the distinct pre-tokens of the corpus;
 2. each distinct pre-token is encoded once and only its number of pieces is kept;
-3. the ``HOT`` most frequent pre-tokens (a table of at most that many rows) travel to the tasks as a broadcast, so no
-   join ever meets a hot key; every other (document, pre-token, frequency) row is joined on the pre-token and summed.
+3. pre-tokens that make up at least one in ``HOT`` of all occurrences, of which there can be at most ``HOT``, travel
+   to the tasks as a broadcast, so no join ever meets a hot key; every other (document, pre-token, frequency) row is
+   joined on the pre-token and summed.
 """
 
 from __future__ import annotations
@@ -24,9 +25,9 @@ from pyspark.sql import functions as F
 from cohortry.llm.base import documents_of, small_batches
 from cohortry.session import materialize
 
-HOT = 65_536
-"""Most frequent pre-tokens whose counts are broadcast; at most ``HOT * MAX_HOT_BYTES`` bytes."""
-MAX_HOT_BYTES = 64
+HOT = 1 << 19
+"""Bounds the broadcast pre-tokens, as each holds more than ``1 / HOT`` of all occurrences."""
+MAX_HOT_BYTES = 32
 """Longer pre-tokens are never broadcast."""
 FLUSH = 200_000
 """Distinct pre-tokens a task holds before it hands them on."""
@@ -94,7 +95,8 @@ def count_tokens(documents: DataFrame, model_path: str) -> DataFrame:
     distinct = texts.select("text").mapInArrow(tally, "token string, n long").groupBy("token").agg(F.sum("n").alias("n"))
     counted = materialize(distinct.mapInArrow(pieces, "token string, n long, pieces long"), "pieces")
 
-    top = counted.where(F.octet_length("token") <= MAX_HOT_BYTES).orderBy(F.desc("n"), "token").limit(HOT)
+    total = counted.agg(F.sum("n")).first()[0] or 0
+    top = counted.where((F.octet_length("token") <= MAX_HOT_BYTES) & (F.col("n") * HOT >= total))
     hot = spark.sparkContext.broadcast({r["token"]: r["pieces"] for r in top.select("token", "pieces").collect()})
 
     def frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -115,12 +117,12 @@ def count_tokens(documents: DataFrame, model_path: str) -> DataFrame:
                 counts += [total, *rest.values()]
                 sizes += [n_bytes] + [None] * len(rest)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(ids, pa.int64()), pa.array(keys, pa.int64()), pa.array(tokens, pa.string()), pa.array(counts, pa.int64()), pa.array(sizes, pa.int64())],
+                [pa.array(ids, pa.int64()), pa.array(keys, pa.int32()), pa.array(tokens, pa.string()), pa.array(counts, pa.int64()), pa.array(sizes, pa.int64())],
                 names=["doc_id", "key", "token", "n", "n_bytes"],
             )
 
-    keyed = texts.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("key"), "text")
-    rows = keyed.mapInArrow(frequencies, "doc_id long, key long, token string, n long, n_bytes long")
+    keyed = texts.select(F.col("doc_id").cast("long").alias("doc_id"), F.hash("text").alias("key"), "text")
+    rows = keyed.mapInArrow(frequencies, "doc_id long, key int, token string, n long, n_bytes long")
     summed = (
         rows.join(counted.select("token", "pieces"), "token", "left")
         .groupBy("doc_id", "key")
