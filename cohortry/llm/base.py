@@ -17,6 +17,8 @@ from pyspark.sql import functions as F
 BATCH_ROWS = 500
 """Texts handed to a Python worker at once; bounds its memory."""
 
+_LOWER = np.arange(256, dtype=np.uint8)
+_LOWER[65:91] += 32
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
 
@@ -151,6 +153,40 @@ def spread(first: np.ndarray, width: int, size: int) -> np.ndarray:
     return np.cumsum(change[:-1]) > 0
 
 
+def distinct_grams(texts: Texts, spans: tuple[int, ...], size: int, lower: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The distinct words of a batch: the number of each word; bucket (of ``size``, a power of two) and word number of
+    every character n-gram of a distinct word between spaces; the n-grams of each distinct word."""
+    _, first, number = np.unique(texts.word_hash(), return_index=True, return_inverse=True)
+    start, length = texts.word_start[first], texts.word_end[first] - texts.word_start[first]
+    # The distinct words side by side, a space before each and one at the end.
+    begin = np.cumsum(length + 1) - length
+    plain = np.full(int(length.sum()) + len(first) + 1, 32, dtype=np.uint8)
+    owner = np.repeat(np.arange(len(first)), length)
+    inside = np.arange(len(owner)) - np.repeat(np.cumsum(length) - length, length)
+    inner = texts.bytes[start[owner] + inside]
+    plain[begin[owner] + inside] = _LOWER[inner] if lower else inner
+    space = plain == 32
+    at = np.cumsum(space) - 1
+    wide = plain.astype(np.uint64)
+    buckets, words = [], []
+    for span in spans:
+        count = len(plain) - span + 1
+        if count <= 0:
+            continue
+        value = np.zeros(count, dtype=np.uint64)
+        inner = np.zeros(count, dtype=bool)
+        for k in range(span):
+            value = value * np.uint64(257) + wide[k : count + k]
+            if 0 < k < span - 1:
+                inner |= space[k : count + k]
+        here = np.flatnonzero(~inner)
+        buckets.append((mix64(value[here] + np.uint64(span)) & np.uint64(size - 1)).astype(np.int32))
+        words.append(at[here].astype(np.int32))
+    bucket = np.concatenate(buckets) if buckets else np.zeros(0, np.int32)
+    word = np.concatenate(words) if words else np.zeros(0, np.int32)
+    return number, bucket, word, np.maximum(np.bincount(word, minlength=len(first)), 1)
+
+
 def repeated_words(texts: Texts, words: np.ndarray, width: int = 5) -> np.ndarray:
     """Per text, the words that lie in a ``width``-word window found twice or more in that text."""
     value, first = texts.window_hash(words, width)

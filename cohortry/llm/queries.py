@@ -2,9 +2,15 @@
 
 from __future__ import annotations
 
+from cohortry.llm.quality_rules import op5_quality_rules
+from cohortry.llm.quality_trees import op3_quality_trees
 from cohortry.llm.token_counts import op8_token_counts
+from cohortry.llm.toxicity import op7_toxicity
 
 REGISTRY = {
+    "op3_quality_trees": op3_quality_trees,
+    "op5_quality_rules": op5_quality_rules,
+    "op7_toxicity": op7_toxicity,
     "op8_token_counts": op8_token_counts,
 }
 
