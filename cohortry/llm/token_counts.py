@@ -25,11 +25,11 @@ from pyspark.sql import functions as F
 from cohortry.llm.base import documents_of, small_batches
 from cohortry.session import materialize
 
-HOT = 1 << 19
+HOT = 1 << 21
 """Bounds the broadcast pre-tokens, as each holds more than ``1 / HOT`` of all occurrences."""
 MAX_HOT_BYTES = 32
 """Longer pre-tokens are never broadcast."""
-FLUSH = 200_000
+FLUSH = 400_000
 """Distinct pre-tokens a task holds before it hands them on."""
 LIMIT = 4096
 
