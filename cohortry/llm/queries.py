@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from cohortry.llm.mixing import OP4_SQL, op4_mixing
 from cohortry.llm.quality_rules import op5_quality_rules
 from cohortry.llm.quality_trees import op3_quality_trees
 from cohortry.llm.token_counts import op8_token_counts
@@ -9,9 +10,10 @@ from cohortry.llm.toxicity import op7_toxicity
 
 REGISTRY = {
     "op3_quality_trees": op3_quality_trees,
+    "op4_mixing": op4_mixing,
     "op5_quality_rules": op5_quality_rules,
     "op7_toxicity": op7_toxicity,
     "op8_token_counts": op8_token_counts,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op4_mixing": OP4_SQL}
