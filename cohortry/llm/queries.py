@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from cohortry.llm.line_chunks import OP10_SQL, op10_line_chunks
 from cohortry.llm.mixing import OP4_SQL, op4_mixing
 from cohortry.llm.quality_rules import op5_quality_rules
 from cohortry.llm.quality_trees import op3_quality_trees
@@ -14,6 +15,7 @@ REGISTRY = {
     "op5_quality_rules": op5_quality_rules,
     "op7_toxicity": op7_toxicity,
     "op8_token_counts": op8_token_counts,
+    "op10_line_chunks": op10_line_chunks,
 }
 
-ORACLES: dict[str, str] = {"op4_mixing": OP4_SQL}
+ORACLES: dict[str, str] = {"op4_mixing": OP4_SQL, "op10_line_chunks": OP10_SQL}
