@@ -2,19 +2,25 @@
 
 from __future__ import annotations
 
+from cohortry.llm.learned_partitions import op2_learned_partitions
 from cohortry.llm.line_chunks import OP10_SQL, op10_line_chunks
 from cohortry.llm.mixing import OP4_SQL, op4_mixing
+from cohortry.llm.near_duplicates import op6_near_duplicates
+from cohortry.llm.packing import op9_packing
 from cohortry.llm.quality_rules import op5_quality_rules
 from cohortry.llm.quality_trees import op3_quality_trees
 from cohortry.llm.token_counts import op8_token_counts
 from cohortry.llm.toxicity import op7_toxicity
 
 REGISTRY = {
+    "op2_learned_partitions": op2_learned_partitions,
     "op3_quality_trees": op3_quality_trees,
     "op4_mixing": op4_mixing,
     "op5_quality_rules": op5_quality_rules,
+    "op6_near_duplicates": op6_near_duplicates,
     "op7_toxicity": op7_toxicity,
     "op8_token_counts": op8_token_counts,
+    "op9_packing": op9_packing,
     "op10_line_chunks": op10_line_chunks,
 }
 
