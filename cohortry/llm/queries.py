@@ -9,10 +9,12 @@ from cohortry.llm.near_duplicates import op6_near_duplicates
 from cohortry.llm.packing import op9_packing
 from cohortry.llm.quality_rules import op5_quality_rules
 from cohortry.llm.quality_trees import op3_quality_trees
+from cohortry.llm.recompression import op1_recompression
 from cohortry.llm.token_counts import op8_token_counts
 from cohortry.llm.toxicity import op7_toxicity
 
 REGISTRY = {
+    "op1_recompression": op1_recompression,
     "op2_learned_partitions": op2_learned_partitions,
     "op3_quality_trees": op3_quality_trees,
     "op4_mixing": op4_mixing,
