@@ -10,7 +10,9 @@ Only the histogram goes to the driver; what returns is one row per pattern and c
 
 from __future__ import annotations
 
+import re
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -25,30 +27,55 @@ LENGTH, UNIT, END = 2048, 8, 1
 ROUNDS = 3000
 """Pivots of the linear program, at most; any basis met on the way is a valid, only looser, packing."""
 NEAR = 5e-4
-CACHE = 300_000
+CACHE = 500_000
 """Words a worker remembers with their ids."""
 
 
+_PLAIN = re.compile("[!-~\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+")
+_PARTS = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-z\u00df-\u00f6\u00f8-\u00ff]+|[0-9]|[^a-z0-9\u00df-\u00f6\u00f8-\u00ff]+")
+"""The tokenizer's own split pattern (a fixed value), for lower-case printable ASCII and Latin letters."""
+_SHOWN = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or b >= 174]
+_BYTES = {b: 256 + k for k, b in enumerate(b for b in range(256) if b not in _SHOWN)}
+"""The byte alphabet of the vocabulary: bytes without a printed form stand for code points from 256 on."""
+
+
 class _Ids:
     """Token ids of texts as little-endian bytes, looked up by word.
 
     The tokenizer drops white space and never merges across it, and its special strings hold none, so the words
-    between spaces and line feeds are encoded independently; other white space stays inside a word.
+    between spaces and line feeds are encoded independently; other white space stays inside a word. A word of printable
+    ASCII and composed Latin letters is its own normal form but for its case, so its parts go straight to the merges; any
+    other word, and one that may hold a special string, takes the whole way.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.known = Tokenizer.from_file(path), {"": b""}
+        self.tokenizer, self.known, self.parts = Tokenizer.from_file(path), {"": b""}, {}
+        self.merge = self.tokenizer.model.tokenize
+
+    def part(self, text: str) -> bytes:
+        found = self.parts.get(text)
+        if found is None:
+            found = self.parts[text] = array("I", [t.id for t in self.merge(text if text.isascii() else text.encode().decode("latin-1").translate(_BYTES))]).tobytes()
+        return found
 
     def learn(self, words: set[str]) -> None:
         new = [w for w in words if w not in self.known]
         if len(self.known) + len(new) > CACHE:
             self.known, new = {"": b""}, list(words)
-        for low in range(0, len(new), 10_000):
-            part = new[low : low + 10_000]
+        if len(self.parts) > CACHE:
+            self.parts = {}
+        odd = []
+        for word in new:
+            if _PLAIN.fullmatch(word) and "<|" not in word:
+                self.known[word] = b"".join([self.part(x) for x in _PARTS.findall(word.lower())])
+            elif word:
+                odd.append(word)
+        for low in range(0, len(odd), 10_000):
+            part = odd[low : low + 10_000]
             for word, found in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False), strict=True):
-                self.known[word] = np.array(found.ids, dtype="<u4").tobytes()
+                self.known[word] = array("I", found.ids).tobytes()
 
     def encode(self, texts: list[str]) -> Iterator[bytes]:
         split = [text.replace("\n", " ").split(" ") for text in texts]
