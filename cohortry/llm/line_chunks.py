@@ -19,7 +19,7 @@ from cohortry.session import materialize
 
 CUT_DIGITS = "0123"
 """A cut follows where the first hex digit of the rolling hash is one of these."""
-_TWO_WORD_LINES = "[^\\x20\\x09-\\x0D][^\\n]*\\n[\\x20\\x09-\\x0D]*[^\\x20\\x09-\\x0D]"
+_IN_WORD = "[^\\x20\\x09-\\x0D]"
 
 
 def _with_chunks(documents: DataFrame) -> DataFrame:
@@ -48,7 +48,8 @@ def _exploded(documents: DataFrame) -> DataFrame:
     """(doc_id, text_key, pos, chunk_hash, chunk) of every multi-line chunk; equal rows are one document."""
     keyed = documents.select("doc_id", "text").withColumn("text_key", F.xxhash64("text"))
     rows = _with_chunks(keyed).select("doc_id", "text_key", F.posexplode("_chunks").alias("pos", "chunk"))
-    return rows.where(F.col("chunk").rlike(_TWO_WORD_LINES)).withColumn("chunk_hash", F.xxhash64("chunk"))
+    worded = F.filter(F.split("chunk", "\n", -1), lambda x: x.rlike(_IN_WORD))
+    return rows.where(F.contains("chunk", F.lit("\n")) & (F.size(worded) > 1)).withColumn("chunk_hash", F.xxhash64("chunk"))
 
 
 def repeated_chunks(documents: DataFrame) -> DataFrame:
