@@ -18,30 +18,35 @@ from cohortry.llm.near_duplicates import keep_one_of_each
 from cohortry.llm.packing import pack
 from cohortry.llm.toxicity import keep_civil
 from cohortry.session import materialize
+from starcheck.scratch import ensure_scratch
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose toxicity score stays below one half; labels come from the ``labels`` table."""
-    return keep_civil(docs, labels_of(spark, sf_dir))
+    return keep_civil(docs, labels_of(ensure_scratch(spark), sf_dir))
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, their texts without line chunks that an earlier document or place has."""
+    ensure_scratch(spark)
     return dedup_document_lines(docs)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each class of near-duplicates; documents left without words stay."""
+    ensure_scratch(spark)
     return keep_one_of_each(docs)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as the mix takes it."""
+    ensure_scratch(spark)
     return take_mix(docs)
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of all documents and their places in the sequences."""
+    ensure_scratch(spark)
     return pack(docs)
 
 
