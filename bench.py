@@ -17,6 +17,7 @@ sys.path.insert(0, str(Path(__file__).resolve().parent))
 
 from cohortry.session import build_session, release_scratch  # noqa: E402
 from starcheck.queries import REGISTRY  # noqa: E402
+from starcheck.scratch import ensure_scratch  # noqa: E402
 
 HEADLINE = [
     "int_claims_unioned",
@@ -47,7 +48,7 @@ def main() -> None:
         spark__sql__shuffle__partitions=cpus,
         spark__ui__showConsoleProgress="false",
     )
-    spark.sparkContext.setLogLevel("ERROR")
+    ensure_scratch(spark).sparkContext.setLogLevel("ERROR")
 
     def once(name: str) -> float:
         started = time.perf_counter()

@@ -19,8 +19,10 @@ def code_range_join(
     are below its size threshold; above it the rows are shuffled by first character and adaptive
     execution splits the large ones.
     """
-    first_characters = F.sequence(F.ascii(low), F.ascii(high))
-    listed = ranges.where(F.col(low) <= F.col(high)).withColumn("_first", F.explode(first_characters))
+    # With sub-codes a range whose ends are the wrong way round still holds what continues its high end.
+    forward = F.col(low) <= F.col(high)
+    first_characters = F.when(forward, F.sequence(F.ascii(low), F.greatest(F.ascii(low), F.ascii(high)))).otherwise(F.array(F.ascii(high)))
+    listed = (ranges if include_subcodes else ranges.where(forward)).withColumn("_first", F.explode(first_characters))
     coded = rows.withColumn("_first", F.ascii(code))
     within = code_in_range(coded[code], listed[low], listed[high], include_subcodes)
     return coded.join(listed, (coded["_first"] == listed["_first"]) & within).drop("_first")

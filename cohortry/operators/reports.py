@@ -6,14 +6,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cohortry.functions.numeric import mean, percent, ratio
+from cohortry.functions.quantiles import exact_median
 from cohortry.functions.text import display_label
 from cohortry.operators.cost import tier_rank
 from cohortry.vocabulary import GAP_TYPES, RISK_TIERS
 
-SAMPLE_SIZE = 2000
+SAMPLE_FRACTION = 0.25
 SAMPLE_SEED = 42
-TOP_PROVIDERS = 200
-TOP_CONDITIONS = 10
 
 
 def _of_year(df: DataFrame, year: int) -> DataFrame:
@@ -56,11 +55,14 @@ def report_tier_distribution(profile: DataFrame, year: int) -> DataFrame:
     )
 
 
-def report_top_conditions(profile: DataFrame, year: int, limit: int = TOP_CONDITIONS) -> DataFrame:
-    """The most prevalent conditions with display names; flags are found by their prefix."""
+def report_top_conditions(profile: DataFrame, year: int, limit: int | None = None) -> DataFrame:
+    """All conditions by falling prevalence, with display names; flags are found by their prefix.
+
+    A caller that shows fewer passes ``limit``.
+    """
     flags = [name for name in profile.columns if name.startswith("cc_")]
     rates = _of_year(profile, year).agg(*[mean(flag, 6).alias(flag) for flag in flags])
-    return (
+    ranked = (
         rates.unpivot([], flags, "flag", "prevalence")
         .select(
             "flag",
@@ -69,8 +71,8 @@ def report_top_conditions(profile: DataFrame, year: int, limit: int = TOP_CONDIT
             (F.col("prevalence") * 100).alias("prevalence_pct"),
         )
         .orderBy(F.desc("prevalence"), "flag")
-        .limit(limit)
     )
+    return ranked if limit is None else ranked.limit(limit)
 
 
 def report_hcc_box(profile: DataFrame, year: int) -> DataFrame:
@@ -207,16 +209,17 @@ def report_utilization_by_tier(cost: DataFrame, year: int) -> DataFrame:
 
 
 def report_member_sample(
-    profile: DataFrame, year: int, size: int = SAMPLE_SIZE, seed: int = SAMPLE_SEED
+    profile: DataFrame, year: int, fraction: float = SAMPLE_FRACTION, seed: int = SAMPLE_SEED
 ) -> DataFrame:
-    """A reproducible random sample of at most ``size`` members.
+    """A reproducible random sample of about ``fraction`` of the members.
 
-    The members with the smallest seeded hash are taken: the same ones at any partitioning, with
-    only ``size`` rows leaving each task.
+    A member belongs to it if the first 32 bits of a seeded digest fall below that share: the same members at any
+    size and partitioning, in one pass without a sort.
     """
-    lot = F.md5(F.concat(F.col("member_id"), F.lit(f"-{seed}")))
+    digest = F.md5(F.concat(F.col("member_id"), F.lit(f"-{seed}")).cast("binary"))
+    lot = F.conv(F.substring(digest, 1, 8), 16, 10).cast("long")
     columns = ["member_id", "hcc_risk_score", "cost_pmpm", "risk_tier", "condition_count", "age_at_year_end"]
-    return _of_year(profile, year).select(*columns).orderBy(lot, "member_id").limit(size)
+    return _of_year(profile, year).select(*columns).where(lot < int(fraction * 2**32))
 
 
 def report_key_insight(cost: DataFrame, year: int) -> DataFrame:
@@ -232,27 +235,28 @@ def report_key_insight(cost: DataFrame, year: int) -> DataFrame:
 # Providers
 
 
-def report_top_providers(efficiency: DataFrame, limit: int = TOP_PROVIDERS) -> DataFrame:
-    """The providers with most attributed members."""
-    return efficiency.orderBy(F.desc("attributed_member_count"), "provider_npi").limit(limit)
+def report_top_providers(efficiency: DataFrame, limit: int | None = None) -> DataFrame:
+    """All providers by falling number of attributed members; a caller that shows fewer passes ``limit``."""
+    ranked = efficiency.orderBy(F.desc("attributed_member_count"), "provider_npi")
+    return ranked if limit is None else ranked.limit(limit)
 
 
-def report_provider_kpis(top_providers: DataFrame) -> DataFrame:
-    """Providers shown, how many are high value, and their mean gap closure."""
-    return top_providers.agg(
+def report_provider_kpis(efficiency: DataFrame) -> DataFrame:
+    """Providers, how many are high value, and their mean gap closure."""
+    return efficiency.agg(
         F.count("*").alias("providers"),
         F.count_if(F.col("efficiency_quadrant") == "High Value").alias("high_value_providers"),
         mean("gap_closure_rate_pct", 6).alias("avg_gap_closure_pct"),
     )
 
 
-def report_provider_quadrant_points(top_providers: DataFrame) -> DataFrame:
-    """Scatter points with the medians of the shown providers (at most the top-k rows)."""
-    medians = top_providers.agg(
-        F.percentile(F.col("avg_cost_pmpm").cast("double"), 0.5).cast("decimal(28,6)").alias("shown_median_cost"),
-        F.percentile(F.col("avg_hcc_score").cast("double"), 0.5).cast("decimal(28,6)").alias("shown_median_hcc"),
+def report_provider_quadrant_points(efficiency: DataFrame) -> DataFrame:
+    """Scatter points with the medians over the same providers; ``efficiency`` is read several times."""
+    # One row each, so the broadcast has a fixed size.
+    medians = exact_median(efficiency, "avg_cost_pmpm", "shown_median_cost").crossJoin(
+        F.broadcast(exact_median(efficiency, "avg_hcc_score", "shown_median_hcc"))
     )
-    points = top_providers.select(
+    points = efficiency.select(
         "provider_npi",
         "avg_hcc_score",
         "avg_cost_pmpm",
@@ -265,9 +269,9 @@ def report_provider_quadrant_points(top_providers: DataFrame) -> DataFrame:
     return points.crossJoin(F.broadcast(medians))
 
 
-def report_provider_scorecard(top_providers: DataFrame) -> DataFrame:
+def report_provider_scorecard(efficiency: DataFrame) -> DataFrame:
     """The scorecard columns in display form; halves round to even, as in the displayed table."""
-    return top_providers.select(
+    return efficiency.select(
         F.col("provider_npi").alias("npi"),
         F.col("attributed_member_count").alias("members"),
         F.bround("avg_cost_pmpm", 0).alias("avg_pmpm"),

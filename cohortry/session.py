@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -51,20 +50,10 @@ def build_session(app_name: str = "cohortry", master: str | None = None, **setti
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """Folder every executor can read: the cluster's ``spark.checkpoint.dir``.
-
-    Only a local-mode session without the setting gets a temporary folder of its own.
-    """
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    if named:
-        return named.rstrip("/")
-    context = spark.sparkContext
-    chosen = context.getCheckpointDir()
-    if chosen is None:
-        if not context.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="cohortry-"))
-        chosen = context.getCheckpointDir()
+    """Folder every executor can read: ``spark.checkpoint.dir``, or what the context was given."""
+    chosen = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not chosen:
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     return chosen.rstrip("/")
 
 

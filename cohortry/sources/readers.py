@@ -6,7 +6,7 @@ import datetime as dt
 from collections.abc import Callable
 from functools import cached_property
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -52,20 +52,42 @@ class RawTables:
         return {name: getattr(self, name) for name in RAW_TABLES}
 
 
-def read_csv(spark: SparkSession, path: str, schema: T.StructType, quoted_newlines: bool = True) -> DataFrame:
-    """A headed CSV file or folder. Quoted fields may hold line breaks; short rows end in NULLs.
+class SchemaError(ValueError):
+    """A file lacks columns that its table declares."""
+
+
+def read_csv_text(spark: SparkSession, path: str, schema: T.StructType, quoted_newlines: bool = True) -> DataFrame:
+    """A headed CSV file, folder or glob as text columns, bound by the names in the header.
 
-    With ``quoted_newlines`` one file is one task, so land large tables as many files and convert
-    them to Parquet once (``ingest``). Without it Spark splits large files.
+    Declared columns come first and in their order, further ones follow; a missing declared column is an error, and so is
+    a file whose header differs from the others'. Short rows end in NULLs. With ``quoted_newlines`` quoted fields
+    may hold line breaks and one file is one task; without it Spark splits large files.
     """
-    return (
-        spark.read.schema(schema)
-        .option("header", True)
-        .option("multiLine", quoted_newlines)
-        .option("mode", "PERMISSIVE")
-        .option("escape", '"')
-        .csv(path)
-    )
+    reader = spark.read.option("header", True).option("enforceSchema", False).option("multiLine", quoted_newlines)
+    landed = reader.option("mode", "PERMISSIVE").option("escape", '"').csv(path)
+    present = {name.lower(): name for name in landed.columns}
+    missing = [name for name in schema.fieldNames() if name.lower() not in present]
+    if missing:
+        raise SchemaError(f"{path} has no column {', '.join(missing)}")
+    declared = {name.lower() for name in schema.fieldNames()}
+    further = [F.col(f"`{name}`") for name in landed.columns if name.lower() not in declared]
+    return landed.select(*[F.col(f"`{present[name.lower()]}`").alias(name) for name in schema.fieldNames()], *further)
+
+
+def typed(text: DataFrame, schema: T.StructType) -> DataFrame:
+    """Declared columns cast to their types; under ANSI a value that does not fit is an error, never a NULL."""
+    return text.withColumns({f.name: F.col(f.name).cast(f.dataType) for f in schema.fields})
+
+
+def misfits(schema: T.StructType) -> Column:
+    """The names of the declared columns whose text does not fit their type, NULL if all do."""
+    failing = [F.when(F.col(f.name).isNotNull() & F.col(f.name).try_cast(f.dataType).isNull(), F.lit(f.name)) for f in schema.fields]
+    return F.nullif(F.concat_ws(", ", *failing), F.lit(""))
+
+
+def read_csv(spark: SparkSession, path: str, schema: T.StructType, quoted_newlines: bool = True) -> DataFrame:
+    """A headed CSV file, folder or glob, bound by name (``read_csv_text``) and cast to the declared types."""
+    return typed(read_csv_text(spark, path, schema, quoted_newlines), schema)
 
 
 def read_condition_map(spark: SparkSession, path: str) -> DataFrame:

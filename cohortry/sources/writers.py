@@ -3,15 +3,25 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Sequence
+from collections.abc import Collection, Sequence
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from cohortry.functions.dates import as_date
 from cohortry.operators.quality import unexpired
 from cohortry.schemas import AUDIT_LOG, CONDITION_MAP_SEED, RAW_TABLES
-from cohortry.sources.readers import RawTables, read_audit_log, read_csv, read_raw, read_table
+from cohortry.sources.readers import (
+    RawTables,
+    landing_folder,
+    misfits,
+    read_audit_log,
+    read_csv_text,
+    read_raw,
+    read_table,
+    typed,
+)
 
 
 class LoadError(RuntimeError):
@@ -19,9 +29,14 @@ class LoadError(RuntimeError):
 
 
 def replace_table(df: DataFrame, path: str, partition_by: str | None = None) -> None:
-    """Replace a Parquet table as a whole, so a repeated load never duplicates rows."""
+    """Replace a Parquet table, so a repeated load never duplicates rows.
+
+    A partitioned table keeps the partitions of which ``df`` has no row: building one year leaves the others.
+    """
     writer = df.write.mode("overwrite")
-    (writer.partitionBy(partition_by) if partition_by else writer).parquet(path)
+    if partition_by:
+        writer = writer.partitionBy(partition_by).option("partitionOverwriteMode", "dynamic")
+    writer.parquet(path)
 
 
 def load_table(df: DataFrame, base: str, table: str) -> int:
@@ -34,10 +49,39 @@ def load_table(df: DataFrame, base: str, table: str) -> int:
     return stored
 
 
-def ingest(spark: SparkSession, csv_base: str, base: str) -> RawTables:
-    """Load the six raw CSV tables and the condition map into Parquet and return them."""
+def load_csv(
+    spark: SparkSession, path: str, schema: T.StructType, base: str, table: str, quoted_newlines: bool = True, max_rejected: int = 0
+) -> int:
+    """Load one CSV file, folder or glob into a typed table and return its row count.
+
+    Rows with a value that does not fit its type go to ``_rejected/<table>`` as text, with the names of those columns in
+    ``_misfits``; more than ``max_rejected`` of them fail the load. Undeclared columns are kept as text.
+    """
+    checked = read_csv_text(spark, path, schema, quoted_newlines).withColumn("_misfits", misfits(schema))
+    refused = Observation()
+    bad = checked.where(F.col("_misfits").isNotNull()).observe(refused, F.count(F.lit(1)).alias("rows"))
+    replace_table(bad, f"{base}/_rejected/{table}")
+    if refused.get["rows"] > max_rejected:
+        raise LoadError(f"{table}: {refused.get['rows']} rows do not fit their types, see {base}/_rejected/{table}")
+    return load_table(typed(checked.where(F.col("_misfits").isNull()).drop("_misfits"), schema), base, table)
+
+
+def ingest(
+    spark: SparkSession,
+    csv_base: str,
+    base: str,
+    run_date: str | dt.date | None = None,
+    splittable: Collection[str] = (),
+    max_rejected: int = 0,
+) -> RawTables:
+    """Load the six raw CSV tables and the condition map into Parquet and return them.
+
+    A table's files are ``<csv_base>/<table>.csv`` (a file or a folder), or with ``run_date`` the landing folder of
+    that run. Tables named in ``splittable`` have no quoted line breaks, so their large files are read in parallel.
+    """
     for table, schema in {**RAW_TABLES, "condition_map": CONDITION_MAP_SEED}.items():
-        load_table(read_csv(spark, f"{csv_base}/{table}.csv", schema), base, table)
+        path = f"{csv_base}/{table}.csv" if run_date is None else landing_folder(csv_base, table, run_date)
+        load_csv(spark, path, schema, base, table, table not in splittable, max_rejected)
     return read_raw(spark, base)
 
 
@@ -91,8 +135,6 @@ def current_audit(spark: SparkSession, path: str, as_of: str | dt.date, keep_day
 
 
 def export_report(report: DataFrame, path: str, order_by: Sequence[str] = ()) -> None:
-    """One headed CSV file of a report. Only the finished report rows, a handful, move to one task."""
-    single = report.repartition(1)
-    if order_by:
-        single = single.sortWithinPartitions(*order_by)
-    single.write.mode("overwrite").option("header", True).csv(path)
+    """A report as headed CSV files, ordered across files where ``order_by`` is given; a small report is one file."""
+    ordered = report.orderBy(*order_by) if order_by else report
+    ordered.write.mode("overwrite").option("header", True).csv(path)

@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from cohortry.functions.codes import code_in, code_in_range, condition_flag
@@ -13,8 +13,8 @@ from cohortry.operators import claims, codes, conditions, gaps, providers, quali
 from cohortry.plans.datasets import Datasets
 from cohortry.schemas import CONDITIONS, RAW_TABLES
 from cohortry.session import configure, materialize, scratch_path
-from cohortry.sources.readers import read_csv, read_table
-from cohortry.sources.writers import load_table
+from cohortry.sources.readers import read_table
+from cohortry.sources.writers import load_csv
 from cohortry.vocabulary import SERVICE_CODES
 from starcheck import bind
 from starcheck.bind import AS_OF, YEAR
@@ -72,9 +72,11 @@ def ingest_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = scratch_path(spark, "ingest")
     noted = F.concat("DESCRIPTION", F.lit('\nsays "'), "CODE", F.lit('"'))
     landed = bind.conditions(spark, sf_dir).withColumn("DESCRIPTION", noted)
+    # Another order than the declared one, and a column that is not declared.
+    landed = landed.select(F.concat(F.lit("n"), "CODE").alias("NOTE"), *reversed(landed.columns))
     landed.write.option("header", True).option("escape", '"').csv(f"{folder}/landed")
-    load_table(read_csv(spark, f"{folder}/landed", CONDITIONS), folder, "conditions")
-    return read_table(spark, folder, "conditions", CONDITIONS)
+    load_csv(spark, f"{folder}/landed", CONDITIONS, folder, "conditions")
+    return read_table(spark, folder, "conditions")
 
 
 @dataset
@@ -305,12 +307,13 @@ def code_range_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 def wide_codes_to_long(spark: SparkSession, sf_dir: str) -> DataFrame:
     columns = [f"code_{n}" for n in range(1, 8)]
     code = F.expr("case when l_partkey % 11 = 0 then '' else cast(l_partkey % 200 as string) end")
-    wide = (
-        bind.star(spark, sf_dir, "lineitem")
-        .groupBy(F.col("l_orderkey").alias("claim_id"))
-        .agg(*[F.max(F.when(F.col("l_linenumber") == n, code)).alias(f"code_{n}") for n in range(1, 8)])
+    # Line numbers repeat within an order: every repeat opens a further claim row, so each line keeps a cell of its own.
+    again = Window.partitionBy("l_orderkey", "l_linenumber").orderBy("l_partkey", "l_suppkey", "l_shipdate", "l_extendedprice")
+    lines = bind.star(spark, sf_dir, "lineitem").withColumn("claim_row", F.row_number().over(again))
+    wide = lines.groupBy(F.col("l_orderkey").alias("claim_id"), "claim_row").agg(
+        *[F.max(F.when(F.col("l_linenumber") == n, code)).alias(f"code_{n}") for n in range(1, 8)]
     )
-    return codes.wide_codes_to_long(wide, ["claim_id"], columns)
+    return codes.wide_codes_to_long(wide, ["claim_id", "claim_row"], columns).drop("claim_row")
 
 
 # Quality
@@ -537,26 +540,22 @@ def report_key_insight(d: Datasets) -> DataFrame:
     return reports.report_key_insight(d.mart_cost_utilization, YEAR)
 
 
-def _top_providers(d: Datasets) -> DataFrame:
-    return reports.report_top_providers(d.mart_provider_efficiency())
-
-
 @dataset
 def report_top_providers(d: Datasets) -> DataFrame:
-    return _top_providers(d)
+    return reports.report_top_providers(d.mart_provider_efficiency())
 
 
 @dataset
 def report_provider_kpis(d: Datasets) -> DataFrame:
-    return reports.report_provider_kpis(_top_providers(d))
+    return reports.report_provider_kpis(d.mart_provider_efficiency())
 
 
 @dataset
 def report_provider_quadrant_points(d: Datasets) -> DataFrame:
     written = materialize(d.mart_provider_efficiency(), "efficiency")
-    return reports.report_provider_quadrant_points(reports.report_top_providers(written))
+    return reports.report_provider_quadrant_points(written)
 
 
 @dataset
 def report_provider_scorecard(d: Datasets) -> DataFrame:
-    return reports.report_provider_scorecard(_top_providers(d))
+    return reports.report_provider_scorecard(d.mart_provider_efficiency())

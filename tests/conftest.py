@@ -11,13 +11,14 @@ from cohortry.session import build_session  # noqa: E402
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     session = build_session(
         "tests",
         master="local[4]",
         spark__driver__memory="4g",
         spark__sql__shuffle__partitions=4,
         spark__ui__showConsoleProgress="false",
+        spark__checkpoint__dir=f"file://{tmp_path_factory.mktemp('shared')}",
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session

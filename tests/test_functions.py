@@ -86,6 +86,9 @@ def test_code_ranges(spark):
 def test_ratio_is_exact_and_null_safe(spark):
     assert value(spark, numeric.ratio(F.lit(Decimal("2.345")), F.lit(1), 2)) == Decimal("2.35")
     assert value(spark, numeric.ratio(F.lit(Decimal("1.00")), F.lit(0), 2)) is None
+    assert value(spark, numeric.ratio(F.lit(Decimal("12344999.60")), F.lit(10_000_000), 3)) == Decimal("1.234")
+    assert value(spark, numeric.ratio(F.lit(Decimal("-12345000.00")), F.lit(10_000_000), 3)) == Decimal("-1.235")
+    assert value(spark, numeric.ratio(F.lit(2), F.lit(3), 6)) == Decimal("0.666667")
 
 
 @pytest.mark.parametrize("size", [0, 1, 2, 3, 10, 999, 40_000])

@@ -7,6 +7,7 @@ import pytest
 
 import __spark_entry__ as contract
 from starcheck.bind import STAR_SCHEMAS
+from starcheck.oracle import ORACLES
 from starcheck.queries import REGISTRY
 
 SF = "/root/testdata/sf0.001"
@@ -25,7 +26,8 @@ def ordered(rows):
 
 
 def test_every_query_has_an_oracle():
-    assert set(contract.queries()) == set(contract.oracle_sql()) and len(contract.queries()) == 69
+    assert set(REGISTRY) == set(ORACLES) and len(REGISTRY) == 69
+    assert set(REGISTRY) <= set(contract.queries()) and set(ORACLES) <= set(contract.oracle_sql()) <= set(contract.queries())
 
 
 def test_entry(spark):

@@ -53,11 +53,28 @@ def test_member_sample_does_not_depend_on_partitioning(spark):
         "cast(id as string) as member_id", "2000 as measurement_year", "0.5 as hcc_risk_score", "1.0 as cost_pmpm",
         "'low' as risk_tier", "1 as condition_count", "40 as age_at_year_end",
     )
-    one = reports.report_member_sample(profile.coalesce(1), 2000, size=50).collect()
-    many = reports.report_member_sample(profile.repartition(9), 2000, size=50).collect()
-    assert one == many and len(one) == 50
-    assert one != reports.report_member_sample(profile, 2000, size=50, seed=7).collect()
-    assert reports.report_member_sample(profile.limit(3), 2000).count() == 3
+    one = {r["member_id"] for r in reports.report_member_sample(profile.coalesce(1), 2000, fraction=0.1).collect()}
+    many = {r["member_id"] for r in reports.report_member_sample(profile.repartition(9), 2000, fraction=0.1).collect()}
+    assert one == many and 400 < len(one) < 600
+    assert one != {r["member_id"] for r in reports.report_member_sample(profile, 2000, fraction=0.1, seed=7).collect()}
+    # A share at every size: a part of the members is drawn as they are drawn among all.
+    few = {r["member_id"] for r in reports.report_member_sample(profile.where("cast(member_id as int) < 1000"), 2000, fraction=0.1).collect()}
+    assert few == {m for m in one if int(m) < 1000}
+    assert reports.report_member_sample(profile, 2000, fraction=1.0).count() == 5000
+
+
+def test_reports_have_no_cap(spark):
+    providers = spark.range(1000).selectExpr(
+        "cast(id as string) as provider_npi", "cast(id as decimal(9,3)) as avg_hcc_score", "cast(id * 3 as decimal(18,2)) as avg_cost_pmpm",
+        "id as attributed_member_count", "if(id >= 400, 'High Value', 'Low Value') as efficiency_quadrant",
+        "cast(50 as decimal(9,1)) as gap_closure_rate_pct", "'x' as top_condition",
+    )
+    assert reports.report_top_providers(providers).count() == 1000 and reports.report_top_providers(providers, limit=7).count() == 7
+    kpis = reports.report_provider_kpis(providers).head()
+    assert (kpis["providers"], kpis["high_value_providers"]) == (1000, 600)
+    point = reports.report_provider_quadrant_points(providers).head()
+    assert (float(point["shown_median_cost"]), float(point["shown_median_hcc"])) == (1498.5, 499.5)
+    assert reports.report_provider_scorecard(providers).count() == 1000
 
 
 def test_scores_box_and_display_numbers(spark):

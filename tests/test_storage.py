@@ -29,6 +29,53 @@ def test_csv_rules(spark, tmp_path):
     assert second["CODE"] == "428191000124101" and second["DESCRIPTION"] is None
 
 
+def test_csv_is_bound_by_name(spark, tmp_path):
+    write(tmp_path / "c.csv", "NOTE,CODE,stop,START,DESCRIPTION,ENCOUNTER,PATIENT\nx,59408-5,,2020-01-01,d,e,p\n")
+    assert writers.load_csv(spark, str(tmp_path / "c.csv"), schemas.CONDITIONS, str(tmp_path / "raw"), "conditions") == 1
+    row = readers.read_table(spark, str(tmp_path / "raw"), "conditions").head()
+    assert (row["PATIENT"], row["CODE"], str(row["START"])[:10], row["STOP"], row["NOTE"]) == ("p", "59408-5", "2020-01-01", None, "x")
+    write(tmp_path / "m.csv", "PATIENT,CODE\np,c\n")
+    with pytest.raises(readers.SchemaError, match="ENCOUNTER"):
+        readers.read_csv(spark, str(tmp_path / "m.csv"), schemas.CONDITIONS)
+
+
+def test_bad_values_are_set_aside_and_fail_the_load(spark, tmp_path):
+    write(tmp_path / "c.csv", "PATIENT,ENCOUNTER,START,STOP,CODE,DESCRIPTION\np,e,not-a-date,,1,d\nq,e,2020-01-02,,1,d\n")
+    with pytest.raises(writers.LoadError, match="1 rows"):
+        writers.load_csv(spark, str(tmp_path / "c.csv"), schemas.CONDITIONS, str(tmp_path / "raw"), "conditions")
+    bad = readers.read_table(spark, str(tmp_path / "raw"), "_rejected/conditions").head()
+    assert (bad["PATIENT"], bad["START"], bad["_misfits"]) == ("p", "not-a-date", "START")
+    assert writers.load_csv(spark, str(tmp_path / "c.csv"), schemas.CONDITIONS, str(tmp_path / "raw"), "conditions", max_rejected=1) == 1
+
+
+def test_large_files_without_quoted_newlines_are_split(spark, tmp_path):
+    write(tmp_path / "p.csv", "Id\n" + "".join(f"{n}\n" for n in range(200_000)))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "200k")
+        assert readers.read_csv(spark, str(tmp_path / "p.csv"), schemas.PROVIDERS, quoted_newlines=False).rdd.getNumPartitions() > 3
+        assert readers.read_csv(spark, str(tmp_path / "p.csv"), schemas.PROVIDERS).rdd.getNumPartitions() == 1
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_ingest_of_a_run_date(spark, tmp_path):
+    for table, schema in {**schemas.RAW_TABLES, "condition_map": schemas.CONDITION_MAP_SEED}.items():
+        first = ["x" if f.dataType.simpleString() == "string" else "" for f in schema.fields]
+        folder = Path(readers.landing_folder(str(tmp_path / "in"), table, "2020-01-01"))
+        write(folder / "part.csv", ",".join(schema.fieldNames()) + "\n" + ",".join(first) + "\n")
+    raw = writers.ingest(spark, str(tmp_path / "in"), str(tmp_path / "out"), run_date="2020-01-01", splittable=["encounters"])
+    assert raw.encounters.count() == 1
+
+
+def test_a_built_year_leaves_the_others(spark, tmp_path):
+    for year in (2000, 2001, 2001):
+        mart = spark.createDataFrame([(f"m{year}", year)], "member_id string, measurement_year int")
+        writers.write_mart(mart, str(tmp_path), "m")
+    for year in (2000, 2001):
+        assert [r["member_id"] for r in readers.read_mart(spark, str(tmp_path), "m", year).collect()] == [f"m{year}"]
+
+
 def test_landing_folders_prune_by_run_date(spark, tmp_path):
     for run_date, code in (("2020-01-01", "a"), ("2020-02-01", "b")):
         folder = readers.landing_folder(str(tmp_path), "providers", run_date)
