@@ -2,53 +2,121 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from collections.abc import Mapping
+from dataclasses import dataclass
+from decimal import ROUND_FLOOR, ROUND_HALF_UP, Decimal, localcontext
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from cohortry.functions.numeric import RATIO_TYPE
 
 SKETCH_ACCURACY = 10_000
 # Half-width of the bracket, in units of the sketch's error bound.
 BRACKET_ERRORS = 10
+# Distinct values that may be left in a bracket when they are counted one by one.
+FEW_VALUES = 10_000
 
 
-def exact_median(df: DataFrame, column: str, name: str) -> DataFrame:
-    """One row with the interpolated median of a decimal column; NULLs are ignored.
+@dataclass
+class _Search:
+    """The middle ranks of one column and the bracket, both ends included, that is known to hold them."""
+
+    column: str
+    unit: Decimal
+    low: Decimal
+    high: Decimal
+    ranks: tuple[int, int]
+    guess: tuple[Decimal, Decimal] | None
+    middle: Decimal | None = None
+
+    def cuts(self) -> tuple[Decimal, Decimal]:
+        """Where the next pass counts: at the sketch's guess once, then at the bracket's halves."""
+        if self.guess is not None:
+            return max(self.guess[0], self.low), min(self.guess[1], self.high)
+        half = ((self.low + self.high) / 2).quantize(self.unit, ROUND_FLOOR)
+        return self.low, half
 
-    A mergeable rank sketch brackets the middle first. A second pass counts what lies below the
-    bracket and ranks only the values inside it, about 0.2 % of the rows, so no task holds the whole
-    column. The bracket is ten times as wide as the sketch's error bound; should it ever miss the
-    middle, the query fails instead of returning a wrong number.
+    def narrow(self, cuts: tuple[Decimal, Decimal], below: int, inside: int) -> None:
+        """Keep the part of the bracket that holds the lower middle rank; see ``exact_medians`` for the upper one."""
+        first, last = cuts
+        if self.ranks[0] <= below:
+            self.high = first - self.unit
+        elif self.ranks[0] > below + inside:
+            self.low = last + self.unit
+        else:
+            self.low, self.high = first, last
+        self.guess = None
+
+
+def exact_medians(df: DataFrame, columns: Mapping[str, str]) -> DataFrame:
+    """One row with the interpolated median of each decimal column (``{column: name}``); NULLs are ignored.
+
+    A mergeable rank sketch guesses a narrow bracket around the middle, and a second pass counts the rows below and inside
+    it, for all columns at once. What the bracket holds is counted by value if it is few values, and halved otherwise, or
+    where the guess missed, so the result is exact for any decimals. No window and no task sees the whole column; the jobs
+    run when this is called, so ``df`` should be a written table.
     """
     margin = BRACKET_ERRORS / SKETCH_ACCURACY
-    values = df.select(F.col(column).alias("value")).where(F.col("value").isNotNull())
-    bracket = values.agg(
-        F.count("*").alias("total"),
-        F.percentile_approx("value", [0.5 - margin, 0.5 + margin], SKETCH_ACCURACY).alias("ends"),
-    ).select("total", F.col("ends")[0].alias("lower"), F.col("ends")[1].alias("upper"))
-
-    # One row, so the broadcast has a fixed size.
-    placed = values.crossJoin(F.broadcast(bracket)).where(F.col("value") <= F.col("upper"))
-    inside = F.when(F.col("value") >= F.col("lower"), F.col("value"))
-    counted = placed.groupBy(inside.alias("value"), "total").agg(F.count("*").alias("rows"))
-    # Rows below the bracket share the NULL group and sort first.
-    running = Window.orderBy(F.col("value").asc_nulls_first())
-    ranked = counted.withColumn("through", F.sum("rows").over(running.rowsBetween(Window.unboundedPreceding, 0)))
-
-    left_rank = F.floor((F.col("total") + 1) / 2)
-    right_rank = F.floor(F.col("total") / 2) + 1
-    before = F.col("through") - F.col("rows")
-    holds_left = (before < left_rank) & (left_rank <= F.col("through"))
-    holds_right = (before < right_rank) & (right_rank <= F.col("through"))
-    middle = ranked.agg(
-        F.max("total").alias("total"),
-        F.max(F.when(holds_left, F.col("value"))).alias("left_value"),
-        F.max(F.when(holds_right, F.col("value"))).alias("right_value"),
-    )
-    median = ((F.col("left_value") + F.col("right_value")) / 2).cast(RATIO_TYPE)
-    missed = F.col("total").isNotNull() & median.isNull()
-    return middle.select(
-        F.when(missed, F.raise_error(F.lit("median fell outside its bracket")).cast(RATIO_TYPE))
-        .otherwise(median)
-        .alias(name)
-    )
+    scales = {}
+    for name in columns:
+        kind = df.schema[name].dataType
+        scales[name] = kind.scale if isinstance(kind, T.DecimalType) else 6
+    values = df.select(*[F.col(c) if isinstance(df.schema[c].dataType, T.DecimalType) else F.col(c).cast(RATIO_TYPE).alias(c) for c in columns])
+    kinds = {c: values.schema[c].dataType for c in columns}
+
+    def known(c: str) -> list:
+        ends = F.percentile_approx(c, [0.5 - margin, 0.5 + margin], SKETCH_ACCURACY)
+        return [F.count(c).alias(f"{c}:n"), F.min(c).alias(f"{c}:low"), F.max(c).alias(f"{c}:high"), ends.alias(f"{c}:ends")]
+
+    first = values.agg(*[x for c in columns for x in known(c)]).first()
+    searches = []
+    for c in columns:
+        total = first[f"{c}:n"]
+        if total:
+            ends = first[f"{c}:ends"]
+            ranks = ((total + 1) // 2, total // 2 + 1)
+            searches.append(_Search(c, Decimal(1).scaleb(-scales[c]), first[f"{c}:low"], first[f"{c}:high"], ranks, (ends[0], ends[1])))
+
+    with localcontext() as context:
+        context.prec = 60
+        open_ = searches
+        while open_:
+            counts = []
+            for s in open_:
+                low, high = (F.lit(x).cast(kinds[s.column]) for x in s.cuts())
+                inside = F.col(s.column).between(low, high)
+                counts += [F.count_if(F.col(s.column) < low), F.count_if(inside), F.approx_count_distinct(F.when(inside, F.col(s.column)))]
+            row = values.agg(*[x.alias(f"x{k}") for k, x in enumerate(counts)]).first()
+            for k, s in enumerate(open_):
+                cuts, (below, inside, distinct) = s.cuts(), row[3 * k : 3 * k + 3]
+                s.narrow(cuts, below, inside)
+                held = below < s.ranks[0] <= below + inside
+                if s.low == s.high or (held and distinct <= FEW_VALUES):
+                    s.middle = _middle(values, s, kinds[s.column])
+            open_ = [s for s in open_ if s.middle is None]
+
+        found = {s.column: s.middle.quantize(Decimal("0.000001"), ROUND_HALF_UP) for s in searches}
+    schema = ", ".join(f"{name} {RATIO_TYPE}" for name in columns.values())
+    return df.sparkSession.createDataFrame([tuple(found.get(c) for c in columns)], schema)
+
+
+def _middle(values: DataFrame, search: _Search, kind: T.DataType) -> Decimal:
+    """The median, from the counts of the values in the bracket and of the one value above it."""
+    column = F.col(search.column)
+    low, high = (F.lit(x).cast(kind) for x in (search.low, search.high))
+    around = values.agg(F.count_if(column < low).alias("below"), F.min(F.when(column > high, column)).alias("above")).first()
+    counted = values.where(column.between(low, high)).groupBy(search.column).count().collect()  # about FEW_VALUES rows
+    found, seen = [], around["below"]
+    for row in sorted(counted, key=lambda r: r[0]):
+        found += [row[0] for rank in search.ranks if seen < rank <= seen + row["count"]]
+        seen += row["count"]
+    # Of an even number of rows the upper middle one may be the first above the bracket.
+    found += [around["above"]] * (2 - len(found))
+    return (found[0] + found[1]) / 2
+
+
+def exact_median(df: DataFrame, column: str, name: str) -> DataFrame:
+    """One row with the interpolated median of one column, see ``exact_medians``."""
+    return exact_medians(df, {column: name})

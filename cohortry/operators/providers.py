@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cohortry.functions.numeric import RATIO_TYPE, ratio
-from cohortry.functions.quantiles import exact_median
+from cohortry.functions.quantiles import exact_medians
 from cohortry.vocabulary import MIN_ATTRIBUTED_MEMBERS
 
 RATE_TYPE = "decimal(18,9)"
@@ -146,8 +146,8 @@ def provider_quadrants(assembled: DataFrame) -> DataFrame:
         .otherwise("Complex Managed")
     )
     return (
-        assembled.crossJoin(F.broadcast(exact_median(assembled, "avg_cost_pmpm", "median_cost")))
-        .crossJoin(F.broadcast(exact_median(assembled, "avg_hcc_score", "median_hcc")))
+        # One row, so the broadcast has a fixed size.
+        assembled.crossJoin(F.broadcast(exact_medians(assembled, {"avg_cost_pmpm": "median_cost", "avg_hcc_score": "median_hcc"})))
         .withColumn("efficiency_quadrant", quadrant)
     )
 

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cohortry.functions.numeric import mean, percent, ratio
-from cohortry.functions.quantiles import exact_median
+from cohortry.functions.quantiles import exact_medians
 from cohortry.functions.text import display_label
 from cohortry.operators.cost import tier_rank
 from cohortry.vocabulary import GAP_TYPES, RISK_TIERS
@@ -252,10 +252,7 @@ def report_provider_kpis(efficiency: DataFrame) -> DataFrame:
 
 def report_provider_quadrant_points(efficiency: DataFrame) -> DataFrame:
     """Scatter points with the medians over the same providers; ``efficiency`` is read several times."""
-    # One row each, so the broadcast has a fixed size.
-    medians = exact_median(efficiency, "avg_cost_pmpm", "shown_median_cost").crossJoin(
-        F.broadcast(exact_median(efficiency, "avg_hcc_score", "shown_median_hcc"))
-    )
+    medians = exact_medians(efficiency, {"avg_cost_pmpm": "shown_median_cost", "avg_hcc_score": "shown_median_hcc"})
     points = efficiency.select(
         "provider_npi",
         "avg_hcc_score",

@@ -7,7 +7,7 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
-from cohortry.functions import codes, dates, keys, numeric, text
+from cohortry.functions import codes, dates, keys, numeric, quantiles, text
 from cohortry.functions.quantiles import exact_median
 
 
@@ -98,3 +98,14 @@ def test_exact_median(spark, size):
     df = spark.createDataFrame([(v,) for v in values] + [(None,)], "x decimal(18,2)").repartition(7)
     found = exact_median(df, "x", "m").head()["m"]
     assert found == (statistics.median(values) if values else None)
+
+
+@pytest.mark.parametrize("few", [10_000, 3])
+def test_exact_medians_of_long_decimals(spark, monkeypatch, few):
+    monkeypatch.setattr(quantiles, "FEW_VALUES", few)
+    base = Decimal("98765432109876543.000001")
+    rows = [(base, base + Decimal(k) / 1000000, None) for k in range(40)]
+    df = spark.createDataFrame(rows, "a decimal(28,6), b decimal(28,6), c decimal(28,6)").repartition(3)
+    found = quantiles.exact_medians(df, {"a": "same", "b": "near", "c": "none"}).head()
+    # 19.5 steps lie between two six-digit values; halves are rounded up.
+    assert (found["same"], found["near"], found["none"]) == (base, base + Decimal("0.000020"), None)
