@@ -100,6 +100,12 @@ def int_claims_unioned(encounters: DataFrame, conditions: DataFrame, procedures:
     return headers.unionByName(_within_encounters(detail, encounters))
 
 
+def panel_of_spine(spine: DataFrame) -> DataFrame:
+    """``claim_panel`` from a written spine: its lines counted per claim and member, before any shuffle within each task."""
+    keys = ["claim_id", "member_id", "provider_npi", "claim_type"]
+    return spine.groupBy(*keys).agg(F.count("*").alias("lines"), F.sum("paid_amount").cast(MONEY).alias("paid_amount"))
+
+
 def claim_panel(encounters: DataFrame, conditions: DataFrame, procedures: DataFrame) -> DataFrame:
     """The spine counted per claim and member: number of lines and spend.
 

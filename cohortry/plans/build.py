@@ -6,8 +6,9 @@ import datetime as dt
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from cohortry.operators import quality
+from cohortry.operators import claims, providers, quality
 from cohortry.plans.datasets import Datasets
 from cohortry.sources.readers import RawTables, read_audit_log
 from cohortry.sources.writers import append_audit, write_mart
@@ -47,23 +48,24 @@ def build(
     # What a layer has written replaces the lazy dataset, so every later reader scans it.
     layer: dict[str, DataFrame] = {}
     for name in ("int_claims_unioned", "int_dx_code_flags", "int_member_chronic_flags"):
-        layer[name] = write_mart(getattr(data, name), f"{out}/intermediate", name)
+        layer[name] = write_mart(getattr(data, name), f"{out}/intermediate", name, year)
         setattr(data, name, layer[name])
     check(layer, quality.INTERMEDIATE_CHECKS)
 
     marts: dict[str, DataFrame] = {}
 
     def write(name: str, mart: DataFrame) -> DataFrame:
-        marts[name] = write_mart(mart, f"{out}/marts", name)
+        marts[name] = write_mart(mart, f"{out}/marts", name, year)
         return marts[name]
 
     profile = write("mart_member_risk_profile", data.mart_member_risk_profile)
     data.mart_member_risk_profile = data.shared_profile = profile
     data.shared_gaps = write("mart_care_gaps", data.mart_care_gaps)
     write("mart_cost_utilization", data.mart_cost_utilization)
-    data.shared_panel = layer["int_claims_unioned"]
+    panel = providers.billable_claims(claims.panel_of_spine(layer["int_claims_unioned"]))
+    data.shared_panel = write_mart(panel, f"{out}/intermediate", "claim_panel")
     data.shared_assembled = write_mart(data.provider_assembled, f"{out}/intermediate", "provider_assembled")
-    write("mart_provider_efficiency", data.mart_provider_efficiency())
+    write("mart_provider_efficiency", data.mart_provider_efficiency().withColumn("measurement_year", F.lit(year)))
 
     audit = audit_run(spark, marts, data.stg_encounters, f"{out}/audit", as_of, run_id, run_timestamp, max_stale_days)
     check(marts, quality.MART_CHECKS)

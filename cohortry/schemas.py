@@ -128,14 +128,19 @@ BENEFICIARY_TEXT_COLUMNS = [
     "SP_RA_OA",
     "SP_STRKETIA",
 ]
-BENEFICIARY_SETTINGS = ["IP", "OP", "CAR"]
-BENEFICIARY_AMOUNTS = ["MEDREIMB", "BENRES", "PPPYMT"]
+BENEFICIARY_AMOUNT_COLUMNS = [
+    "MEDREIMB_IP",
+    "BENRES_IP",
+    "PPPYMT_IP",
+    "MEDREIMB_OP",
+    "BENRES_OP",
+    "PPPYMT_OP",
+    "MEDREIMB_CAR",
+    "BENRES_CAR",
+    "PPPYMT_CAR",
+]
 
 BENEFICIARY_SUMMARY = T.StructType(
     [T.StructField(name, T.StringType()) for name in BENEFICIARY_TEXT_COLUMNS]
-    + [
-        T.StructField(f"{amount}_{setting}", T.DoubleType())
-        for setting in BENEFICIARY_SETTINGS
-        for amount in BENEFICIARY_AMOUNTS
-    ]
+    + [T.StructField(name, T.DoubleType()) for name in BENEFICIARY_AMOUNT_COLUMNS]
 )

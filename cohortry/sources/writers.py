@@ -85,12 +85,16 @@ def ingest(
     return read_raw(spark, base)
 
 
-def write_mart(df: DataFrame, base: str, mart: str) -> DataFrame:
-    """Replace a mart and return it as read back; yearly marts are partitioned by year."""
+def write_mart(df: DataFrame, base: str, mart: str, year: int | None = None) -> DataFrame:
+    """Replace a mart and return it as read back; yearly marts are partitioned by year.
+
+    A yearly mart keeps its other years; with ``year`` only that one is returned.
+    """
     yearly = "measurement_year" if "measurement_year" in df.columns else None
     stamped = df.withColumn("_loaded_at", F.current_timestamp())
     replace_table(stamped, f"{base}/{mart}", yearly)
-    return read_table(df.sparkSession, base, mart, stamped.schema).drop("_loaded_at")
+    back = read_table(df.sparkSession, base, mart, stamped.schema).drop("_loaded_at")
+    return back.where(F.col(yearly) == year) if yearly and year is not None else back
 
 
 def append_audit(rows: DataFrame, path: str) -> None:

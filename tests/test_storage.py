@@ -229,3 +229,15 @@ def test_gated_build_of_clean_tables(spark, tmp_path, run_build):
         run_build(raw, 5, max_stale_days=30)
     log = readers.read_audit_log(spark, str(tmp_path / "out" / "audit"))
     assert [r["run_id"] for r in log.where("check_result = 'fail'").collect()] == ["run-5"]
+
+
+def test_two_years_are_built_side_by_side(spark, tmp_path):
+    raw, out = cleaned(spark), str(tmp_path / "out")
+    for year in (bind.YEAR, bind.YEAR + 1):
+        result = build(spark, raw, out, year, f"{year}-12-31", f"run-{year}", dt.datetime(year, 12, 31), gate=False)
+        for mart in MART_ROWS:
+            assert {r["measurement_year"] for r in result.marts[mart].select("measurement_year").distinct().collect()} == {year}
+    for mart, rows in MART_ROWS.items():
+        kept = readers.read_mart(spark, f"{out}/marts", mart, bind.YEAR)
+        assert kept.count() == (rows if mart != "mart_care_gaps" else kept.count()) > 0
+        assert readers.read_mart(spark, f"{out}/marts", mart, bind.YEAR + 1).count() > 0
