@@ -30,18 +30,16 @@ def _with_chunks(documents: DataFrame) -> DataFrame:
     last = F.size("_hash") - 1
     rolled = F.transform(
         "_hash",
-        lambda x, i: F.when(
-            (i == last) | F.substring(F.md5(F.concat(F.coalesce(F.get(F.col("_hash"), i - 1), F.lit("")), x).cast("binary")), 1, 1).isin(*CUT_DIGITS),
-            i,
-        ),
+        lambda x, i: (i < last)
+        & F.substring(F.md5(F.concat(F.coalesce(F.get(F.col("_hash"), i - 1), F.lit("")), x).cast("binary")), 1, 1).isin(*CUT_DIGITS),
     )
-    ended = hashed.withColumn("_ends", F.filter(rolled, lambda x: x.isNotNull()))
-
-    def chunk(end, k):
-        start = F.coalesce(F.get(F.col("_ends"), k - 1) + 1, F.lit(0))
-        return F.array_join(F.slice(F.col("_lines"), start + 1, end - start + 1), "\n")
-
-    return ended.withColumn("_chunks", F.transform("_ends", chunk)).withColumn("_n_lines", F.size("_lines")).drop("_hash", "_ends", "_lines")
+    cut = hashed.withColumn("_cut", rolled).withColumn("_n_lines", F.size("_lines"))
+    # Every line gets a first character and a cut an empty line behind it, so empty lines mark cuts and nothing else; the
+    # chunks then fall out of one split, in time that grows with the text however many lines it has.
+    marked = F.transform("_lines", lambda x, i: F.concat(F.lit("x"), x, F.when(F.get(F.col("_cut"), i), "\n").otherwise("")))
+    split = cut.withColumn("_parts", F.split(F.array_join(marked, "\n"), "\n\n", -1))
+    chunks = F.transform("_parts", lambda c: F.substr(F.replace(c, F.lit("\nx"), F.lit("\n")), F.lit(2)))
+    return split.withColumn("_chunks", chunks).drop("_hash", "_cut", "_lines", "_parts")
 
 
 def _exploded(documents: DataFrame) -> DataFrame:
