@@ -28,7 +28,9 @@ from pyspark.sql import functions as F
 from cohortry.llm.base import Texts, documents_of, map_batches, mix64, small_batches
 from cohortry.session import materialize
 
-WIDTH, ROUNDS, HOT = 20, 3, 2_000
+WIDTH, ROUNDS = 20, 3
+HOT = 100_000
+"""Occurrences of a name that one task still compares: about a million windows, some 50 MB."""
 _BASE = 0x9E3779B97F4A7C15
 _INVERSE = pow(_BASE, -1, 1 << 64)
 
@@ -176,7 +178,7 @@ def packed(texts: DataFrame) -> DataFrame:
     """(doc_id, text_key, packed): texts compressed before they are shuffled."""
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-        press = zstandard.ZstdCompressor(level=3)
+        press = zstandard.ZstdCompressor(level=6)
         small = [press.compress(t) for t in batch.column("text").cast(pa.binary()).to_pylist()]
         return pa.RecordBatch.from_arrays([*(batch.column(c) for c in _ID), pa.array(small, pa.binary())], names=[*_ID, "packed"])
 
