@@ -24,22 +24,23 @@ _IN_WORD = "[^\\x20\\x09-\\x0D]"
 
 def _with_chunks(documents: DataFrame) -> DataFrame:
     """``documents`` with ``_chunks``, the texts of its chunks in order."""
-    # Each step is a column of its own that the next one reads more than once, so that it is computed once.
-    lined = documents.withColumn("_lines", F.split("text", "\n", -1))
-    hashed = lined.withColumn("_hash", F.transform("_lines", lambda x: F.md5(x.cast("binary"))))
-    last = F.size("_hash") - 1
-    rolled = F.transform(
-        "_hash",
-        lambda x, i: (i < last)
-        & F.substring(F.md5(F.concat(F.coalesce(F.get(F.col("_hash"), i - 1), F.lit("")), x).cast("binary")), 1, 1).isin(*CUT_DIGITS),
+    # Lambdas read nothing but their arguments: Spark may inline another column, and compute it anew for each element.
+    lines = F.split("text", "\n", -1)
+    hashes = F.transform(lines, lambda x: F.md5(x.cast("binary")))
+    nothing = F.lit(None).cast("string")
+    # Beside each line the hashes of the two before it, which tell whether a chunk starts here.
+    starts = F.zip_with(
+        F.concat(F.array(nothing), hashes),
+        F.concat(F.array(nothing, nothing), hashes),
+        lambda last, before: F.substring(F.md5(F.concat(F.coalesce(before, F.lit("")), last).cast("binary")), 1, 1).isin(*CUT_DIGITS),
     )
-    cut = hashed.withColumn("_cut", rolled).withColumn("_n_lines", F.size("_lines"))
-    # Every line gets a first character and a cut an empty line behind it, so empty lines mark cuts and nothing else; the
-    # chunks then fall out of one split, in time that grows with the text however many lines it has.
-    marked = F.transform("_lines", lambda x, i: F.concat(F.lit("x"), x, F.when(F.get(F.col("_cut"), i), "\n").otherwise("")))
-    split = cut.withColumn("_parts", F.split(F.array_join(marked, "\n"), "\n\n", -1))
-    chunks = F.transform("_parts", lambda c: F.substr(F.replace(c, F.lit("\nx"), F.lit("\n")), F.lit(2)))
-    return split.withColumn("_chunks", chunks).drop("_hash", "_cut", "_lines", "_parts")
+    # Every line gets a first character, and the first line of a chunk an empty line before it: empty lines mark chunks and
+    # nothing else, and the chunks fall out of one split, in time that grows with the text however many lines it has.
+    # (Places after the last line are null and left out.)
+    marked = F.zip_with(lines, starts, lambda x, start: F.concat(F.when(start, "\n").otherwise(""), F.lit("x"), x))
+    parts = F.split(F.array_join(marked, "\n"), "\n\n", -1)
+    chunks = F.transform(parts, lambda c: F.substr(F.replace(c, F.lit("\nx"), F.lit("\n")), F.lit(2)))
+    return documents.withColumn("_chunks", chunks).withColumn("_n_lines", F.size(lines))
 
 
 def _exploded(documents: DataFrame) -> DataFrame:
