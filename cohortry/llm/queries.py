@@ -5,11 +5,11 @@ from __future__ import annotations
 from cohortry.llm.learned_partitions import op2_learned_partitions
 from cohortry.llm.line_chunks import OP10_SQL, op10_line_chunks
 from cohortry.llm.mixing import OP4_SQL, op4_mixing
-from cohortry.llm.near_duplicates import op6_near_duplicates
+from cohortry.llm.near_duplicates import OP6_SQL, op6_near_duplicates
 from cohortry.llm.packing import op9_packing
 from cohortry.llm.quality_rules import op5_quality_rules
 from cohortry.llm.quality_trees import op3_quality_trees
-from cohortry.llm.recompression import op1_recompression
+from cohortry.llm.recompression import OP1_SQL, op1_recompression
 from cohortry.llm.token_counts import op8_token_counts
 from cohortry.llm.toxicity import op7_toxicity
 
@@ -26,4 +26,4 @@ REGISTRY = {
     "op10_line_chunks": op10_line_chunks,
 }
 
-ORACLES: dict[str, str] = {"op4_mixing": OP4_SQL, "op10_line_chunks": OP10_SQL}
+ORACLES: dict[str, str] = {"op1_recompression": OP1_SQL, "op4_mixing": OP4_SQL, "op6_near_duplicates": OP6_SQL, "op10_line_chunks": OP10_SQL}

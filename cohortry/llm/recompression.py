@@ -295,3 +295,20 @@ def dedup_substrings(documents: DataFrame, width: int = WIDTH) -> DataFrame:
 
 def op1_recompression(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup_substrings(documents_of(spark, sf_dir)).drop("kept")
+
+
+OP1_SQL = """
+WITH w AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS words FROM documents),
+windows AS (
+  SELECT doc_id, unnest(range(1, len(words) - 18)) AS i,
+    unnest(list_transform(range(1, len(words) - 18), lambda k: array_to_string(words[k:k + 19], ' '))) AS win
+  FROM w WHERE len(words) >= 20),
+later AS (SELECT doc_id, i FROM (SELECT *, row_number() OVER (PARTITION BY win ORDER BY doc_id, i) AS n FROM windows) WHERE n > 1),
+gone AS (SELECT DISTINCT doc_id, unnest(range(i, i + 20)) AS k FROM later),
+placed AS (SELECT doc_id, unnest(words) AS word, unnest(range(1, len(words) + 1)) AS k FROM w),
+kept AS (
+  SELECT p.doc_id, count(g.k) AS n_removed, string_agg(p.word, ' ' ORDER BY p.k) FILTER (g.k IS NULL) AS line
+  FROM placed p LEFT JOIN gone g ON p.doc_id = g.doc_id AND p.k = g.k GROUP BY p.doc_id)
+SELECT w.doc_id, len(w.words)::BIGINT AS n_words, coalesce(n_removed, 0)::BIGINT AS n_removed, sha256(coalesce(line, '')) AS kept_sha256
+FROM w LEFT JOIN kept ON w.doc_id = kept.doc_id
+"""
