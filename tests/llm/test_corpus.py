@@ -80,8 +80,10 @@ def test_near_duplicates(spark, documents, corpus, monkeypatch, block):
     monkeypatch.setattr(near_duplicates, "BLOCK", block)
     rows = _distinct(corpus)
     single = documents.where("doc_id is not null").dropDuplicates(["doc_id"])
-    found = {r["doc_id"]: (r["class_id"], r["n_links"]) for r in near_duplicates.near_classes(single).collect()}
-    assert found == _linked(rows)
+    classes = near_duplicates.near_classes(single).collect()
+    assert {r["doc_id"]: (r["class_id"], r["n_links"]) for r in classes} == _linked(rows)
+    copies = {r["doc_id"]: r["n_copies"] for r in classes}
+    assert copies[5] == copies[103] == 7 and copies[304] == copies[305] == 2 and copies[200] == copies[300] == 1
 
 
 def test_near_duplicates_of_odd_tables(documents, no_documents, corpus):
