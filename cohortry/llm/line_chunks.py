@@ -76,8 +76,9 @@ def dedup_lines(documents: DataFrame) -> DataFrame:
     """
     documents = documents.drop("n_lines", "n_removed")
     removed = materialize(repeated_chunks(documents), "removed-chunks").select(F.col("doc_id").alias("_doc_id"), F.col("text_key").alias("_key"), "removed")
+    # Documents are dealt out by id at every size; a broadcast of the list would only fit small corpora.
     joined = documents.withColumn("_text_key", F.xxhash64("text")).join(
-        removed, F.col("doc_id").eqNullSafe(F.col("_doc_id")) & (F.col("_text_key") == F.col("_key")), "left"
+        removed.hint("merge"), F.col("doc_id").eqNullSafe(F.col("_doc_id")) & (F.col("_text_key") == F.col("_key")), "left"
     )
     cut = _with_chunks(joined)
     kept = F.filter("_chunks", lambda c, k: ~F.array_contains(F.col("removed"), k))
