@@ -5,6 +5,11 @@ classes of sixteen, so chunk boundaries depend on nearby lines only and survive
 chunk on average. A chunk counts as multi-line if at least two of its lines hold a word. Of equal multi-line chunks the
 one in the document with the smallest id (then the earliest in it) stays; all others are removed, line breaks included.
 
+One set of boundaries leaves most short passages in place that two otherwise different documents share, since their edges
+rarely fall on cuts. ``dedup_document_lines`` therefore cuts every text ``SETS`` times. There a cut hangs on one line's own hash,
+after the line by its 'end' hash or before it by its 'start' hash, and a line goes if a repeated multi-line chunk of any set
+covers it.
+
 Only DataFrame functions are used. Hashes find the repeated chunks; only those carry their text on, and grouping by that
 text is the byte comparison.
 """
@@ -19,6 +24,8 @@ from cohortry.session import materialize
 
 CUT_DIGITS = "0123"
 """A cut follows where the first hex digit of the rolling hash is one of these."""
+SETS, CUT_SHARE = 16, 3
+"""Boundary sets of ``dedup_document_lines``; one in ``CUT_SHARE`` lines ends a chunk, and one in as many starts one."""
 _IN_WORD = "[^\\x20\\x09-\\x0D]"
 
 
@@ -90,9 +97,80 @@ def dedup_lines(documents: DataFrame) -> DataFrame:
     return cut.select(*own, n_lines, F.when(F.col("removed").isNull(), 0).otherwise(lines_gone).cast("long").alias("n_removed"))
 
 
+def _runs(documents: DataFrame) -> DataFrame:
+    """(doc_id, text_key, at, n, run_hash): the multi-line chunks of all boundary sets, each place once; ``at`` is the first of ``n`` lines."""
+    lines = F.split("text", "\n", -1)
+    hashes = F.transform(lines, lambda x: F.xxhash64(x))
+    before = F.concat(F.array(F.lit(None).cast("long")), F.transform(F.split("text", "\n", -1), lambda x: F.xxhash64(x)))
+    tokens = F.transform(lines, lambda x, i: F.concat(i.cast("string"), F.when(x.rlike(_IN_WORD), ":w").otherwise(":b"), F.xxhash64(x).cast("string")))
+    # (The place after the last line has no token.)
+    parts = F.filter(F.arrays_zip(tokens.alias("token"), hashes.alias("own"), before.alias("last")), lambda p: p["token"].isNotNull())
+    # Behind a generator the parts are a column that lambdas read, not an expression computed anew for each element.
+    rows = documents.select("doc_id", F.xxhash64("text").alias("text_key"), F.explode(F.array(parts)).alias("parts"))
+
+    def cut(p, k):
+        starts = F.pmod(F.xxhash64(p["own"], k), F.lit(CUT_SHARE)) == 0
+        return starts | F.coalesce(F.pmod(F.xxhash64(p["last"], k + SETS), F.lit(CUT_SHARE)) == 0, F.lit(False))
+
+    def chunks(k):
+        return F.split(F.array_join(F.transform("parts", lambda p: F.concat(F.when(cut(p, k), "\n").otherwise(""), p["token"])), " "), "\n", -1)
+
+    every = F.flatten(F.transform(F.sequence(F.lit(0), F.lit(SETS - 1)), chunks))
+    multi = F.filter(every, lambda c: F.length(c) - F.length(F.replace(c, F.lit("w"), F.lit(""))) > 1)
+    single = F.array_distinct(F.transform(multi, lambda c: F.trim(c)))
+    found = rows.select("doc_id", "text_key", F.explode(single).alias("run"))
+    return found.select(
+        "doc_id",
+        "text_key",
+        F.substring_index("run", ":", 1).cast("int").alias("at"),
+        (F.length("run") - F.length(F.replace("run", F.lit(":"), F.lit("")))).alias("n"),
+        F.xxhash64(F.regexp_replace("run", "\\d+:", "")).alias("run_hash"),
+    )
+
+
+def repeated_runs(documents: DataFrame) -> DataFrame:
+    """(doc_id, text_key, runs): per document the chunks (at, n) of any boundary set that an earlier document or place has.
+
+    Rows that are equal in id and text count as one document; a null id comes before all others.
+    """
+    runs = _runs(documents)
+    often = runs.groupBy("run_hash").agg(F.count(F.lit(1)).alias("many")).where("many > 1").select("run_hash")
+    often = materialize(often, "run-hashes")
+    wanted = runs.join(often, "run_hash").groupBy("doc_id", "text_key").agg(F.collect_set(F.struct("at", "n", "run_hash")).alias("wanted"))
+    wanted = wanted.withColumnsRenamed({"doc_id": "_doc_id", "text_key": "_key"})
+    keyed = documents.select("doc_id", "text", F.xxhash64("text").alias("text_key")).dropDuplicates(["doc_id", "text"])
+    joined = keyed.join(wanted.hint("merge"), F.col("doc_id").eqNullSafe(F.col("_doc_id")) & (F.col("text_key") == F.col("_key")))
+    split = joined.select("doc_id", "text_key", "wanted", F.explode(F.array(F.split("text", "\n", -1))).alias("lines"))
+
+    def text_of(w):
+        return F.array_join(F.transform(F.sequence(w["at"], w["at"] + w["n"] - 1), lambda i: F.get("lines", i)), "\n")
+
+    pieces = split.select("doc_id", "text_key", F.explode(F.transform("wanted", lambda w: F.struct(w.alias("w"), text_of(w).alias("run")))).alias("piece"))
+    place = F.struct("doc_id", "text_key", F.col("piece.w.at").alias("at"), F.col("piece.w.n").alias("n"))
+    pieces = materialize(pieces.select(F.col("piece.w.run_hash").alias("run_hash"), F.col("piece.run").alias("run"), place.alias("place")), "runs")
+    # Grouped by the text itself: chunks of one hash but other bytes stay apart.
+    first = pieces.groupBy("run_hash", "run").agg(F.min("place").alias("first"))
+    later = pieces.join(first, ["run_hash", "run"]).where(F.col("place") != F.col("first"))
+    return later.groupBy("place.doc_id", "place.text_key").agg(F.collect_set(F.struct("place.at", "place.n")).alias("runs"))
+
+
 def dedup_document_lines(documents: DataFrame) -> DataFrame:
-    """The rows and columns of ``documents``, with shortened texts and ``n_chars`` to match."""
-    done = dedup_lines(documents).drop("n_lines", "n_removed")
+    """The rows and columns of ``documents``, with shortened texts and ``n_chars`` to match.
+
+    A line goes if a multi-line chunk of any of the ``SETS`` boundary sets covers it and an earlier document or place
+    has that chunk. The line stands there too, so the earliest place of every line keeps it. Null texts stay null, a text of
+    which every line goes becomes empty, rows equal in id and text are treated alike.
+    """
+    runs = materialize(repeated_runs(documents), "removed-runs").select(F.col("doc_id").alias("_doc_id"), F.col("text_key").alias("_key"), "runs")
+    # Documents are dealt out by id at every size; a broadcast of the list would only fit small corpora.
+    joined = documents.withColumn("_text_key", F.xxhash64("text")).join(
+        runs.hint("merge"), F.col("doc_id").eqNullSafe(F.col("_doc_id")) & (F.col("_text_key") == F.col("_key")), "left"
+    )
+    cut = joined.withColumn("_lines", F.explode(F.array(F.split("text", "\n", -1))))
+    gone = F.flatten(F.transform("runs", lambda r: F.sequence(r["at"], r["at"] + r["n"] - 1)))
+    kept = F.array_except(F.sequence(F.lit(0), F.size("_lines") - 1), gone)
+    text = F.when(F.col("runs").isNull(), F.col("text")).otherwise(F.array_join(F.transform(kept, lambda i: F.get("_lines", i)), "\n"))
+    done = cut.select(*(text.alias(c) if c == "text" else F.col(c) for c in documents.columns))
     return done.withColumn("n_chars", F.length("text").cast("long")) if "n_chars" in done.columns else done
 
 

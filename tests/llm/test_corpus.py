@@ -158,6 +158,27 @@ def test_line_chunks_of_nothing(no_documents):
     assert done.columns == no_documents.columns and done.count() == 0
 
 
+def test_passages_shared_by_different_documents_go(spark):
+    rng = np.random.default_rng(8)
+    line = lambda: " ".join(f"w{k}" for k in rng.integers(0, 10**6, 12))
+    passages = [[line() for _ in range(2 + k % 4)] for k in range(80)]
+    texts = [[*(line() for _ in range(rng.integers(1, 5))), *p, *(line() for _ in range(rng.integers(1, 5)))] for p in [*passages, *passages]]
+    rows = [(i, "\n".join(t)) for i, t in enumerate(texts)] + [(900, None), (901, ""), (0, "\n".join(texts[0]))]
+    done = line_chunks.dedup_document_lines(spark.createDataFrame(rows, "doc_id long, text string").repartition(3))
+    assert not re.search("Python|Pandas|Arrow", done._jdf.queryExecution().toString())
+    found = done.collect()
+    assert len(found) == len(rows)
+    kept = {r["doc_id"]: r["text"] for r in found}
+    assert kept[900] is None and kept[901] == "" and all(kept[i] == "\n".join(texts[i]) for i in range(80))
+    touched = removed = 0
+    for i, passage in enumerate(passages, 80):
+        left = kept[i].split("\n")
+        assert [x for x in left if x not in passage] == [x for x in texts[i] if x not in passage]
+        touched += any(x not in left for x in passage)
+        removed += sum(x not in left for x in passage)
+    assert touched >= 0.8 * len(passages) and removed >= 0.75 * sum(map(len, passages))
+
+
 def test_line_chunks_run_no_python(documents):
     plan = line_chunks.dedup_lines(documents)._jdf.queryExecution().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
