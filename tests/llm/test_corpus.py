@@ -95,6 +95,36 @@ def test_near_duplicates_of_odd_tables(documents, no_documents, corpus):
     assert Counter(r["doc_id"] for r in kept.collect()) == Counter({**dict.fromkeys(roots, 1), None: 2})
 
 
+def _linked_rows(rows, threshold=0.8):
+    """(id, text) rows as documents of their own: the sorted (id, class, links), rows of one id in one class."""
+    runs = [{tuple(w[k : k + 5]) for k in range(len(w) - 4)} for w in (text.split() for _, text in rows)]
+    near = [[len(a & b) >= threshold * len(a | b) - 1e-9 for b in runs] for a in runs]
+    top = [i for i, _ in rows]
+    while True:
+        new = [min(top[j] for j in range(len(rows)) if near[i][j] or rows[i][0] == rows[j][0]) for i in range(len(rows))]
+        if new == top:
+            return sorted((i, c, sum(n) - 1) for (i, _), c, n in zip(rows, top, near, strict=True))
+        top = new
+
+
+@pytest.mark.parametrize("block", [400, 7])
+def test_near_duplicates_of_repeated_ids(spark, monkeypatch, block):
+    monkeypatch.setattr(near_duplicates, "BLOCK", block)
+    rng = np.random.default_rng(9)
+    prose = lambda: [f"w{k}" for k in rng.integers(0, 10**6, 60)]
+
+    def changed(words, k):
+        return " ".join([*words[:k], f"other{k}", *words[k + 1 :]])
+
+    one, two = prose(), prose()
+    rows = [(1, " ".join(one))] * 2 + [(2, changed(one, 0))]
+    # An id on a third of the rows: copies, near copies and texts of their own, some met under other ids.
+    rows += [(9, " ".join(two))] * 15 + [(9, changed(two, k)) for k in (0, 1, 58, 59)] + [(9, " ".join(prose())) for _ in range(6)]
+    rows += [(3, rows[-1][1]), (4, " ".join(two)), (12, changed(two, 2))] + [(20 + k, " ".join(prose())) for k in range(45)]
+    classes = near_duplicates.near_classes(spark.createDataFrame(rows, "doc_id long, text string").repartition(3))
+    assert sorted((r["doc_id"], r["class_id"], r["n_links"]) for r in classes.collect()) == _linked_rows(rows)
+
+
 def test_prefixes_are_shortened_to_the_recall():
     assert near_duplicates.prefix_length(0.8, 0.999, 20, 8) == 5
     assert near_duplicates.prefix_length(0.99, 0.999, 20, 8) == 8
