@@ -166,7 +166,7 @@ def anchors(texts: DataFrame) -> DataFrame:
         columns = [*_take(batch, windows.text[heads]), _signed(windows.name[heads]), pa.array(windows.anchor(heads))]
         return pa.RecordBatch.from_arrays(columns, names=[*_ID, "name", "anchor"])
 
-    return map_batches(texts, work, "doc_id long, text_key int, name long, anchor long")
+    return map_batches(texts, work, "doc_id long, text_key long, name long, anchor long")
 
 
 def _unpack(batch: pa.RecordBatch) -> Texts:
@@ -182,7 +182,7 @@ def packed(texts: DataFrame) -> DataFrame:
         small = [press.compress(t) for t in batch.column("text").cast(pa.binary()).to_pylist()]
         return pa.RecordBatch.from_arrays([*(batch.column(c) for c in _ID), pa.array(small, pa.binary())], names=[*_ID, "packed"])
 
-    return map_batches(texts, work, "doc_id long, text_key int, packed binary")
+    return map_batches(texts, work, "doc_id long, text_key long, packed binary")
 
 
 def candidate_windows(texts: DataFrame) -> DataFrame:
@@ -222,7 +222,7 @@ def candidate_windows(texts: DataFrame) -> DataFrame:
         ]
         return pa.RecordBatch.from_arrays(columns, names=["name", "hot", *_ID, "low", "place", "hashes"])
 
-    return map_batches(wanted.select(*_ID, "packed", "found"), work, "name long, hot boolean, doc_id long, text_key int, low long, place long, hashes array<long>")
+    return map_batches(wanted.select(*_ID, "packed", "found"), work, "name long, hot boolean, doc_id long, text_key long, low long, place long, hashes array<long>")
 
 
 def repeated_windows(texts: DataFrame) -> DataFrame:
@@ -265,7 +265,7 @@ def dedup_substrings(documents: DataFrame, width: int = WIDTH) -> DataFrame:
     spark = documents.sparkSession
     small_batches(spark)
     texts = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    texts = texts.withColumn("text_key", F.hash("text")).select("doc_id", "text_key", "text")
+    texts = texts.withColumn("text_key", F.xxhash64("text")).select("doc_id", "text_key", "text")
     hits = materialize(repeated_windows(texts), "hits").withColumnsRenamed({c: f"_{c}" for c in _ID})
     joined = packed(texts).join(hits, F.col("doc_id").eqNullSafe(F.col("_doc_id")) & (F.col("text_key") == F.col("_text_key")), "left")
 

@@ -110,19 +110,19 @@ def count_tokens(documents: DataFrame, model_path: str) -> DataFrame:
                 total = sum(x for x in have if x is not None)
                 rest = Counter(t for t, x in zip(found, have, strict=True) if x is None)
                 # One row stands for the document itself, with what the broadcast part already counts. Its token
-                # is none that a text can have, and differs by document, so the join below deals it out evenly.
+                # is none that a text can have, and differs by document (few digits do), so the join below deals it out evenly.
                 ids += [doc_id] * (1 + len(rest))
                 keys += [key] * (1 + len(rest))
-                tokens += [f"\n{key}", *rest]
+                tokens += [f"\n{key & 0xFFFFFFF:x}", *rest]
                 counts += [total, *rest.values()]
                 sizes += [n_bytes] + [None] * len(rest)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(ids, pa.int64()), pa.array(keys, pa.int32()), pa.array(tokens, pa.string()), pa.array(counts, pa.int64()), pa.array(sizes, pa.int64())],
+                [pa.array(ids, pa.int64()), pa.array(keys, pa.int64()), pa.array(tokens, pa.string()), pa.array(counts, pa.int64()), pa.array(sizes, pa.int64())],
                 names=["doc_id", "key", "token", "n", "n_bytes"],
             )
 
-    keyed = texts.select(F.col("doc_id").cast("long").alias("doc_id"), F.hash("text").alias("key"), "text")
-    rows = keyed.mapInArrow(frequencies, "doc_id long, key int, token string, n long, n_bytes long")
+    keyed = texts.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("key"), "text")
+    rows = keyed.mapInArrow(frequencies, "doc_id long, key long, token string, n long, n_bytes long")
     summed = (
         rows.join(counted.select("token", "pieces"), "token", "left")
         .groupBy("doc_id", "key")

@@ -10,6 +10,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
@@ -49,6 +50,14 @@ def test_substring_dedup(documents, corpus, monkeypatch, hot):
             assert (r["n_words"], r["n_removed"], r["kept_sha256"], r["kept"]) == expected[r["doc_id"]]
 
 
+def test_substring_dedup_tells_texts_of_one_short_hash_apart(spark):
+    prefix = " ".join(f"w{k}" for k in range(25))
+    texts = spark.range(200_000).select(F.concat(F.lit(prefix + " "), "id").alias("text"))
+    pair = texts.groupBy(F.hash("text")).agg(F.collect_list("text").alias("both")).where("size(both) = 2").first()["both"]
+    rows = recompression.dedup_substrings(spark.createDataFrame([(None, t) for t in pair], "doc_id long, text string")).collect()
+    assert sorted(r["n_removed"] for r in rows) == [0, 25]
+
+
 def test_substring_dedup_of_nothing(no_documents):
     assert recompression.dedup_substrings(no_documents).count() == 0
 

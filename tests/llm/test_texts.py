@@ -11,6 +11,7 @@ import public_tokenizers
 import pyarrow as pa
 import pytest
 import sentencepiece
+from pyspark.sql import functions as F
 
 from cohortry.llm import quality_rules, quality_trees, token_counts, toxicity
 from cohortry.llm.base import Texts, calibrate
@@ -43,6 +44,16 @@ def test_token_counts_without_broadcast_words(documents, corpus, monkeypatch):
     assert found == {i: len(model.encode(t or "")) for i, t, *_ in corpus if i is not None}
 
 
+def test_token_counts_tell_texts_of_one_short_hash_apart(spark):
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    model = sentencepiece.SentencePieceProcessor(model_file=path)
+    texts = spark.range(300_000).select(F.repeat(F.concat(F.lit("word "), F.col("id").cast("string")), (F.col("id") % 3 + 1).cast("int")).alias("text"))
+    pairs = texts.groupBy(F.hash("text")).agg(F.collect_list("text").alias("both")).where("size(both) = 2 and length(both[0]) != length(both[1])")
+    both = pairs.first()["both"]
+    found = token_counts.count_tokens(spark.createDataFrame([(None, t) for t in both], "doc_id long, text string"), path).collect()
+    assert sorted((r["n_bytes"], r["n_tokens"]) for r in found) == sorted((len(t), len(model.encode(t))) for t in both)
+
+
 def test_pre_tokens_rebuild_the_text():
     for text in ("a b", " a", "a ", "  a\n\n b", "▁x ▁▁ y", "\n", " "):
         assert "".join(token_counts._pre_tokens(text)) == "▁" + text.replace(" ", "▁")
