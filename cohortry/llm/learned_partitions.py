@@ -7,7 +7,8 @@ to its most probable ones, as many as the sample needs for the wanted recall. Wh
 products of the original vectors.
 
 A part is split into blocks of about ``BLOCK`` rows by a hash of the id, so one vector with very many copies makes more
-blocks, not a larger task. Of equal vectors in a block only the smallest ids can be among the nearest ones.
+blocks, not a larger task. The queries a part is asked are split in the same way, by ``QUERY_BLOCK``; every block of queries meets
+every block of rows. The number of parts grows with the table, as far as the sample can tell parts apart. Of equal vectors in a block only the smallest ids can be among the nearest ones.
 """
 
 from __future__ import annotations
@@ -23,6 +24,10 @@ SAMPLE = 6_000
 """Rows the graph and the network are fitted on, at most."""
 PARTS, DEGREE, HIDDEN, EPOCHS, RATE = 16, 20, 128, 250, 0.01
 BLOCK = 20_000
+QUERY_BLOCK = 50_000
+"""Queries of a part that one group holds, about."""
+ROWS_A_PART, MOST_PARTS = 1_000_000, 64
+"""Larger tables are cut into more parts than ``PARTS``, up to about a hundred sampled rows in each."""
 RECALL = 0.96
 """Recall on the sample that decides how many parts a query visits."""
 NEAREST, EVERY = 20, 20
@@ -190,6 +195,7 @@ def nearest(embeddings: DataFrame, is_query: Column, k: int = NEAREST, parts: in
     rows = rows.where(F.size("embedding") == width)
     sample = rows.select("vec_id", "embedding").orderBy(F.xxhash64("vec_id"), "vec_id").limit(SAMPLE).collect()
     points = np.array([r["embedding"] for r in sample], dtype=float).reshape(len(sample), width)
+    parts = max(parts, min(widths["count"] // ROWS_A_PART, MOST_PARTS) if widths else 0)
     router, parts, probes = fit(points, parts, recall, k)
 
     def route(batches):
@@ -205,18 +211,28 @@ def nearest(embeddings: DataFrame, is_query: Column, k: int = NEAREST, parts: in
     indexed = rows.mapInPandas(route, "vec_id long, embedding array<double>, asks boolean, visits array<int>")
     indexed = materialize(indexed.withColumn("part", F.col("visits")[0]), "vector-index")
     many = {r["part"]: r["count"] for r in indexed.groupBy("part").count().collect()}  # one row per part
-    blocks = spark.createDataFrame([(p, -(-n // BLOCK)) for p, n in many.items()] or [(-1, 1)], "part int, blocks int")
-    blocks = F.broadcast(blocks)  # one row per part
-    base = indexed.join(blocks, "part").select("part", F.pmod(F.xxhash64("vec_id"), "blocks").cast("int").alias("block"), "vec_id", "embedding")
     asked = indexed.where("asks").select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("query"), F.explode("visits").alias("part"))
-    asked = asked.join(blocks, "part").withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).drop("blocks")
+    asks = {r["part"]: r["count"] for r in asked.groupBy("part").count().collect()}  # one row per part
+    counts = [(p, -(-n // BLOCK), max(1, -(-asks.get(p, 0) // QUERY_BLOCK))) for p, n in many.items()]
+    blocks = spark.createDataFrame(counts or [(-1, 1, 1)], "part int, blocks int, query_blocks int")
+    blocks = F.broadcast(blocks)  # one row per part
+
+    def own(column: str, count: str) -> Column:
+        return F.pmod(F.xxhash64(column), count).cast("int")
+
+    def every(count: str) -> Column:
+        return F.explode(F.sequence(F.lit(0), F.col(count) - 1))
+
+    base = indexed.join(blocks, "part").select("part", every("query_blocks").alias("query_block"), own("vec_id", "blocks").alias("block"), "vec_id", "embedding")
+    asked = asked.join(blocks, "part").select("part", own("query_id", "query_blocks").alias("query_block"), every("blocks").alias("block"), "query_id", "query")
 
     def search(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         if not len(left) or not len(right):
             return pd.DataFrame({"query_id": [], "vec_id": [], "score": []})
         return _best(np.stack(left["query"].to_numpy()), left["query_id"].to_numpy(), np.stack(right["embedding"].to_numpy()), right["vec_id"].to_numpy(), k)
 
-    found = asked.groupBy("part", "block").cogroup(base.groupBy("part", "block")).applyInPandas(search, "query_id long, vec_id long, score double")
+    meet = ["part", "query_block", "block"]
+    found = asked.groupBy(*meet).cogroup(base.groupBy(*meet)).applyInPandas(search, "query_id long, vec_id long, score double")
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     ranked = found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
     return ranked.select("query_id", "rank", "vec_id", "score")

@@ -312,6 +312,28 @@ def test_nearest_of_a_small_table_are_exact(spark):
     assert learned_partitions.nearest(table.limit(0), table["vec_id"] % 20 == 0).count() == 0
 
 
+def test_nearest_splits_the_queries_of_a_part(spark, monkeypatch):
+    monkeypatch.setattr(learned_partitions, "QUERY_BLOCK", 40, raising=False)
+    monkeypatch.setattr(learned_partitions, "BLOCK", 100)
+    whole = learned_partitions._best
+
+    def bounded(queries, *rest):
+        assert len(queries) < 100
+        return whole(queries, *rest)
+
+    monkeypatch.setattr(learned_partitions, "_best", bounded)
+    rng = np.random.default_rng(7)
+    rows = [(i, rng.normal(size=4).astype("float32").astype(float).tolist()) for i in range(60)]
+    rows += [(100 + i, rows[3][1]) for i in range(240)]
+    found = defaultdict(list)
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    for r in learned_partitions.nearest(table, F.lit(True), parts=1).orderBy("query_id", "rank").collect():
+        found[r["query_id"]].append(r["vec_id"])
+    assert len(found) == 300
+    for i, v in rows[::7]:
+        assert found[i] == _exact(rows, (i, v))
+
+
 def test_nearest_recall(spark, sf):
     folder = sf.replace("0.001", "0.1")
     table = spark.read.parquet(f"{folder}/embeddings.parquet").collect()
