@@ -241,7 +241,8 @@ def labelled_texts(
 ) -> tuple[pa.Array, np.ndarray]:
     """A bounded sample of labelled texts on the driver: at most ``2 * per_class`` texts of at most ``max_chars``.
 
-    The picked ids are a table of bounded size, so the broadcast that finds their texts is bounded too.
+    The picked ids are a table of bounded size, so the broadcast that finds their texts is bounded too. An id on several rows
+    gives its smallest text.
     """
     ids = labelled_ids(labels, column, per_class)
     rows = ids.collect()
@@ -253,7 +254,8 @@ def labelled_texts(
         documents.select("doc_id", "text")
         .where(F.length("text") <= max_chars)
         .join(F.broadcast(picked), "doc_id")
-        .select("doc_id", "text", "label")
+        .groupBy("doc_id", "label")
+        .agg(F.min("text").alias("text"))
         .collect()
     )
     found.sort(key=lambda r: (r["doc_id"], r["label"], r["text"]))

@@ -167,8 +167,10 @@ def score_quality(documents: DataFrame, labels: DataFrame, per_class: int = PER_
     described = materialize(map_batches(documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), work, schema), "statistics")
 
     share0, share1 = class_shares(labels, "quality")
-    # At most 2 * per_class rows: the broadcast and what comes back are bounded by the sample.
-    rows = described.join(F.broadcast(labelled_ids(labels, "quality", per_class)), "doc_id").orderBy("doc_id", "label", *STATISTICS).collect()
+    # At most 2 * per_class rows: the broadcast and what comes back are bounded by the sample, an id on several rows counts once.
+    sampled = described.join(F.broadcast(labelled_ids(labels, "quality", per_class)), "doc_id").groupBy("doc_id", "label")
+    sampled = sampled.agg(F.min(F.struct(*STATISTICS)).alias("smallest")).select("doc_id", "label", "smallest.*")
+    rows = sampled.orderBy("doc_id", "label").collect()
     x = np.array([[r[c] for c in STATISTICS] for r in rows]).reshape(len(rows), len(STATISTICS))
     y = np.array([r["label"] for r in rows], dtype=float)
     # The sample holds as many rows of either class; weights bring back the shares of all labelled rows.

@@ -14,7 +14,7 @@ import sentencepiece
 from pyspark.sql import functions as F
 
 from cohortry.llm import quality_rules, quality_trees, token_counts, toxicity
-from cohortry.llm.base import Texts, calibrate
+from cohortry.llm.base import Texts, calibrate, labelled_ids, labelled_texts
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -90,6 +90,20 @@ def test_scores_of_odd_rows_and_tables(spark, documents, no_documents, corpus, l
     assert score(documents, labels.where("toxic = 1 and quality = 1")).count() == len(corpus)
 
 
+def test_a_labelled_id_on_many_rows_counts_once(spark, labels, documents, monkeypatch):
+    ids = {r["doc_id"] for r in labelled_ids(labels, "quality", 1000).collect()}
+    many = documents.where("doc_id is not null and doc_id < 90").dropDuplicates(["doc_id"]).select("doc_id", "text")
+    hot = min(ids & {r["doc_id"] for r in many.collect()})
+    many = many.union(spark.range(500).select(F.lit(hot), F.concat(F.lit("another text "), "id")))
+    texts, label = labelled_texts(many, labels, "quality", 1000, 20_000)
+    assert len(texts) == len(label) <= len(ids)
+    sizes = []
+    whole = quality_trees.fit
+    monkeypatch.setattr(quality_trees, "fit", lambda x, *rest: (sizes.append(len(x)), whole(x, *rest))[1])
+    assert quality_trees.score_quality(many, labels).count() == many.count()
+    assert sizes == [len(texts)]
+
+
 def test_held_out_rows_are_the_fifth_by_checksum(documents, labels):
     for r in quality_trees.score_quality(documents, labels).collect():
         assert r["held_out"] == (r["doc_id"] is not None and zlib.crc32(str(r["doc_id"]).encode()) % 5 == 0)
