@@ -1,8 +1,8 @@
 """Toxicity: subword-bag embeddings averaged into a linear softmax, trained jointly in numpy.
 
 A word is its character n-grams (3 to 5 bytes of the lower-cased word between spaces), each hashed to one of
-``BUCKETS`` vectors; a passage of ``PASSAGE`` words is the average of its words' averages (a shorter last one is
-filled up with zero vectors), and a linear softmax over
+``BUCKETS`` vectors; a passage, ``PASSAGE`` words in a row from any word on, is the average of its words' averages (a text
+shorter than that is one passage, filled up with zero vectors), and a linear softmax over
 that average tells toxic from clean. Embeddings and softmax are trained together, so a misspelling never seen takes
 the vectors of the n-grams it shares. A document is as toxic as its worst passage; in training the attention to a
 document's passages narrows from all of them to the worst.
@@ -42,13 +42,12 @@ def _grams(texts: Texts) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray
     return distinct_grams(texts, SPANS, BUCKETS, lower=True)
 
 
-def _passages(texts: Texts) -> tuple[np.ndarray, np.ndarray]:
-    """The passage of every word, and the text of every passage; passages do not cross texts."""
-    text = texts.text_of_word()
-    place = np.arange(len(text)) - texts.word_offsets[text]
-    counts = -(-texts.n_words // PASSAGE)
-    first = np.concatenate(([0], np.cumsum(counts)))
-    return first[text] + place // PASSAGE, np.repeat(np.arange(texts.n), counts)
+def _passages(texts: Texts) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """First word, end and text of every passage; passages do not cross texts."""
+    counts = np.maximum(texts.n_words - PASSAGE + 1, np.minimum(texts.n_words, 1))
+    owner = np.repeat(np.arange(texts.n), counts)
+    first = np.arange(len(owner)) - np.repeat(np.cumsum(counts) - counts, counts) + texts.word_offsets[owner]
+    return first, np.minimum(first + PASSAGE, texts.word_offsets[owner + 1]), owner
 
 
 def _worst(logit: np.ndarray, owner: np.ndarray, n: int, empty: float) -> np.ndarray:
@@ -66,10 +65,11 @@ class Model:
     def margin(self, texts: Texts) -> np.ndarray:
         number, bucket, word, many = _grams(texts)
         value = np.bincount(word, self.logit[bucket], len(many)) / many
-        passage, owner = _passages(texts)
-        size = np.maximum(np.bincount(passage, minlength=len(owner)), PASSAGE)
-        logit = np.bincount(passage, value[number], len(owner)) / size + self.bias
-        return _worst(logit, owner, texts.n, self.bias)
+        first, end, owner = _passages(texts)
+        # Added word by word, so that a score does not depend on the other texts of the batch.
+        of_word = np.concatenate((value[number], np.zeros(PASSAGE)))
+        total = sum(np.where(first + k < end, of_word[first + k], 0.0) for k in range(PASSAGE))
+        return _worst(total / PASSAGE + self.bias, owner, texts.n, self.bias)
 
     def score(self, texts: Texts) -> np.ndarray:
         return sigmoid(self.slope * self.margin(texts) + self.intercept)
@@ -79,10 +79,10 @@ def train(texts: Texts, label: np.ndarray, seed: int = 5) -> Model:
     """Adam on the cross entropy of the softmax, embeddings and softmax weights moving together."""
     rng = np.random.default_rng(seed)
     number, bucket, word, many = _grams(texts)
-    passage, owner = _passages(texts)
+    first, end, owner = _passages(texts)
     if not len(owner) or len(np.unique(label)) < 2:
         return Model(np.zeros(BUCKETS), 0.0)
-    part, size = 1.0 / many[word], np.maximum(np.bincount(passage, minlength=len(owner)), PASSAGE)
+    part = 1.0 / many[word]
     embed = rng.normal(0, 0.1, (BUCKETS, SIZE))
     soft = rng.normal(0, 0.5, (SIZE, 2))
     bias = np.zeros(2)
@@ -93,13 +93,16 @@ def train(texts: Texts, label: np.ndarray, seed: int = 5) -> Model:
     for step in range(1, EPOCHS + 1):
         way = soft[:, 1] - soft[:, 0]
         value = np.bincount(word, part * (embed @ way)[bucket], len(many))
-        logit = np.bincount(passage, value[number], len(owner)) / size + bias[1] - bias[0]
+        total = np.concatenate(([0.0], np.cumsum(value[number])))
+        logit = (total[end] - total[first]) / PASSAGE + bias[1] - bias[0]
         p = sigmoid(logit)
         # Attention over a document's passages: even at first, on the worst of them towards the end.
         focus = np.exp(SHARPNESS * step / EPOCHS * (logit - _worst(logit, owner, texts.n, -np.inf)[owner]))
         focus /= np.bincount(owner, focus, texts.n)[owner]
         error = np.where(of_clean, focus * p / clean + p / of_clean.sum(), focus * (p - 1) / toxic.sum())
-        of_word = np.bincount(number, (error / size)[passage], len(many))
+        # A word takes part in every passage over it.
+        change = np.bincount(first, error, len(number) + 1) - np.bincount(end, error, len(number) + 1)
+        of_word = np.bincount(number, np.cumsum(change)[:-1] / PASSAGE, len(many))
         pull = np.bincount(bucket, part * of_word[word], BUCKETS)
         toward = pull @ embed
         grads = (np.outer(pull, way), np.stack((-toward, toward), axis=1), np.array([-error.sum(), error.sum()]))

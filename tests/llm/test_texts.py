@@ -128,6 +128,15 @@ def test_toxicity_finds_misspellings_never_seen():
     assert (model.score(Texts(pa.array([f + " grobnakken " + f for f in fresh]))) > 3 * clean.max()).all()
 
 
+def test_toxicity_does_not_depend_on_the_word_offset():
+    logit = np.zeros(toxicity.BUCKETS)
+    grams = toxicity._grams(Texts(pa.array(["grobnak"])))
+    logit[grams[1]] = 5.0
+    model = toxicity.Model(logit, -1.0)
+    found = model.margin(Texts(pa.array([" ".join(["xy"] * k + ["grobnak", "grobnak"] + ["xy"] * (20 - k)) for k in range(21)])))
+    assert np.allclose(found, found[0]) and np.isclose(found[0], model.margin(Texts(pa.array(["grobnak grobnak"])))[0])
+
+
 def test_held_out_accuracy(spark, sf):
     folder = sf.replace("0.001", "0.1")
     labels = {r["doc_id"]: r for r in spark.read.parquet(f"{folder}/labels.parquet").collect()}
