@@ -10,6 +10,7 @@ from cohortry.llm.packing import op9_packing
 from cohortry.llm.quality_rules import op5_quality_rules
 from cohortry.llm.quality_trees import op3_quality_trees
 from cohortry.llm.recompression import OP1_SQL, op1_recompression
+from cohortry.llm.sharding import OP13_SQL, op13_interleaved_shards
 from cohortry.llm.token_counts import op8_token_counts
 from cohortry.llm.toxicity import op7_toxicity
 
@@ -24,6 +25,13 @@ REGISTRY = {
     "op8_token_counts": op8_token_counts,
     "op9_packing": op9_packing,
     "op10_line_chunks": op10_line_chunks,
+    "op13_interleaved_shards": op13_interleaved_shards,
 }
 
-ORACLES: dict[str, str] = {"op1_recompression": OP1_SQL, "op4_mixing": OP4_SQL, "op6_near_duplicates": OP6_SQL, "op10_line_chunks": OP10_SQL}
+ORACLES: dict[str, str] = {
+    "op1_recompression": OP1_SQL,
+    "op4_mixing": OP4_SQL,
+    "op6_near_duplicates": OP6_SQL,
+    "op10_line_chunks": OP10_SQL,
+    "op13_interleaved_shards": OP13_SQL,
+}
