@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from cohortry.llm.learned_partitions import op2_learned_partitions
+from cohortry.llm.lexical_search import OP12_SQL, op12_dense_search
 from cohortry.llm.line_chunks import OP10_SQL, op10_line_chunks
 from cohortry.llm.mixing import OP4_SQL, op4_mixing
 from cohortry.llm.near_duplicates import OP6_SQL, op6_near_duplicates
@@ -25,6 +26,7 @@ REGISTRY = {
     "op8_token_counts": op8_token_counts,
     "op9_packing": op9_packing,
     "op10_line_chunks": op10_line_chunks,
+    "op12_dense_search": op12_dense_search,
     "op13_interleaved_shards": op13_interleaved_shards,
 }
 
@@ -33,5 +35,6 @@ ORACLES: dict[str, str] = {
     "op4_mixing": OP4_SQL,
     "op6_near_duplicates": OP6_SQL,
     "op10_line_chunks": OP10_SQL,
+    "op12_dense_search": OP12_SQL,
     "op13_interleaved_shards": OP13_SQL,
 }
