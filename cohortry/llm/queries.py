@@ -8,6 +8,7 @@ from cohortry.llm.line_chunks import OP10_SQL, op10_line_chunks
 from cohortry.llm.mixing import OP4_SQL, op4_mixing
 from cohortry.llm.near_duplicates import OP6_SQL, op6_near_duplicates
 from cohortry.llm.packing import op9_packing
+from cohortry.llm.prefix_trie import OP11_SQL, op11_prefix_trie
 from cohortry.llm.quality_rules import op5_quality_rules
 from cohortry.llm.quality_trees import op3_quality_trees
 from cohortry.llm.recompression import OP1_SQL, op1_recompression
@@ -26,6 +27,7 @@ REGISTRY = {
     "op8_token_counts": op8_token_counts,
     "op9_packing": op9_packing,
     "op10_line_chunks": op10_line_chunks,
+    "op11_prefix_trie": op11_prefix_trie,
     "op12_dense_search": op12_dense_search,
     "op13_interleaved_shards": op13_interleaved_shards,
 }
@@ -35,6 +37,7 @@ ORACLES: dict[str, str] = {
     "op4_mixing": OP4_SQL,
     "op6_near_duplicates": OP6_SQL,
     "op10_line_chunks": OP10_SQL,
+    "op11_prefix_trie": OP11_SQL,
     "op12_dense_search": OP12_SQL,
     "op13_interleaved_shards": OP13_SQL,
 }
