@@ -11,6 +11,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cohortry.schemas import AUDIT_LOG, CONDITION_MAP_SEED, RAW_TABLES
+from cohortry.sources.csv_records import SURPLUS, SchemaError as SchemaError, read_records as read_records
+from cohortry.sources.published import Store, is_published, open_version
+
 
 
 class RawTables:
@@ -52,44 +55,25 @@ class RawTables:
         return {name: getattr(self, name) for name in RAW_TABLES}
 
 
-class SchemaError(ValueError):
-    """A file lacks columns that its table declares."""
+def misfits(schema: T.StructType) -> Column:
+    """What is wrong with a record: the declared columns whose text does not fit their type, and ``SURPLUS``; NULL if nothing is."""
+    failing = [F.when(F.col(f.name).isNotNull() & F.col(f.name).try_cast(f.dataType).isNull(), F.lit(f.name)) for f in schema.fields]
+    return F.nullif(F.concat_ws(", ", *failing, F.when(F.col("_surplus"), F.lit(SURPLUS))), F.lit(""))
 
 
-def read_csv_text(spark: SparkSession, path: str, schema: T.StructType, quoted_newlines: bool = True) -> DataFrame:
-    """A headed CSV file, folder or glob as text columns, bound by the names in the header.
+def read_csv(
+    spark: SparkSession, path: str, schema: T.StructType, quoted_newlines: bool = True, where: Column | None = None
+) -> DataFrame:
+    """A headed CSV file, folder or glob, bound by name (``read_records``) and cast to the declared types.
 
-    Declared columns come first and in their order, further ones follow; a missing declared column is an error, and so is
-    a file whose header differs from the others'. Short rows end in NULLs. With ``quoted_newlines`` quoted fields
-    may hold line breaks and one file is one task; without it Spark splits large files.
+    Nothing is lost silently: under ANSI a value that does not fit is an error, and so is a record with surplus fields.
     """
-    reader = spark.read.option("header", True).option("enforceSchema", False).option("multiLine", quoted_newlines)
-    landed = reader.option("mode", "PERMISSIVE").option("escape", '"').csv(path)
-    present = {name.lower(): name for name in landed.columns}
-    missing = [name for name in schema.fieldNames() if name.lower() not in present]
-    if missing:
-        raise SchemaError(f"{path} has no column {', '.join(missing)}")
-    declared = {name.lower() for name in schema.fieldNames()}
-    further = [F.col(f"`{name}`") for name in landed.columns if name.lower() not in declared]
-    return landed.select(*[F.col(f"`{present[name.lower()]}`").alias(name) for name in schema.fieldNames()], *further)
-
-
-def typed(text: DataFrame, schema: T.StructType) -> DataFrame:
-    """Declared columns cast to their types; under ANSI a value that does not fit is an error, never a NULL."""
+    text = read_records(spark, path, schema, quoted_newlines, where)
+    surplus = F.raise_error(F.concat(F.lit("more fields than the header: "), F.col("_record"))).cast("boolean")
+    text = text.where(F.when(F.col("_surplus"), surplus).otherwise(True)).drop("_record", "_surplus")
     return text.withColumns({f.name: F.col(f.name).cast(f.dataType) for f in schema.fields})
 
 
-def misfits(schema: T.StructType) -> Column:
-    """The names of the declared columns whose text does not fit their type, NULL if all do."""
-    failing = [F.when(F.col(f.name).isNotNull() & F.col(f.name).try_cast(f.dataType).isNull(), F.lit(f.name)) for f in schema.fields]
-    return F.nullif(F.concat_ws(", ", *failing), F.lit(""))
-
-
-def read_csv(spark: SparkSession, path: str, schema: T.StructType, quoted_newlines: bool = True) -> DataFrame:
-    """A headed CSV file, folder or glob, bound by name (``read_csv_text``) and cast to the declared types."""
-    return typed(read_csv_text(spark, path, schema, quoted_newlines), schema)
-
-
 def read_condition_map(spark: SparkSession, path: str) -> DataFrame:
     """The seed file with its pinned column types."""
     return read_csv(spark, path, CONDITION_MAP_SEED)
@@ -105,14 +89,26 @@ def read_landed_csv(
 ) -> DataFrame:
     """Landed files of a table with their run date; ``run_date`` prunes to one folder."""
     dated = T.StructType([*schema.fields, T.StructField("ds", T.DateType())])
-    landed = read_csv(spark, f"{base}/{table}", dated)
-    return landed if run_date is None else landed.where(F.col("ds") == F.lit(str(run_date)).cast("date"))
+    one = None if run_date is None else F.col("ds") == F.lit(str(run_date)).cast("date")
+    return read_csv(spark, f"{base}/{table}", dated, where=one)
 
 
 def read_table(spark: SparkSession, base: str, table: str, schema: T.StructType | None = None) -> DataFrame:
-    """A Parquet table below ``base``."""
+    """A table below ``base``: the current version of a published one, or a plain Parquet folder."""
+    path = f"{base}/{table}"
+    if is_published(spark, path):
+        return open_version(spark, path, schema)
     reader = spark.read if schema is None else spark.read.schema(schema)
-    return reader.parquet(f"{base}/{table}")
+    return reader.parquet(path)
+
+
+def read_rejected(spark: SparkSession, base: str, table: str) -> DataFrame:
+    """The records that the last load of a table set aside, published or not: their fields as text, ``_record`` and ``_misfits``."""
+    store = Store(spark, f"{base}/{table}")
+    folder = store.folders()[-1]
+    if "verdict=rejected" not in store.names(folder):
+        return spark.createDataFrame([], "_record string, _misfits string")
+    return spark.read.parquet(f"{store.path}/{folder}/verdict=rejected").select("_fields.*", "_record", "_misfits")
 
 
 def read_raw(spark: SparkSession, base: str) -> RawTables:
@@ -121,12 +117,34 @@ def read_raw(spark: SparkSession, base: str) -> RawTables:
     return RawTables(lambda table: read_table(spark, base, table, schemas[table]))
 
 
-def read_mart(spark: SparkSession, base: str, mart: str, year: int | None = None) -> DataFrame:
-    """A mart, pruned to one measurement year if given."""
-    df = read_table(spark, base, mart)
+def read_mart(spark: SparkSession, base: str, mart: str, year: int | None = None, version: int | None = None) -> DataFrame:
+    """A published mart, its current version by default; a year prunes the scan to that year's folder."""
+    df = open_version(spark, f"{base}/{mart}", version=version)
     return df if year is None else df.where(F.col("measurement_year") == year)
 
 
+class StoredMarts:
+    """The published marts below a folder, each opened at its current version when first asked for."""
+
+    def __init__(self, spark: SparkSession, base: str):
+        self._spark, self._base = spark, base
+        self._open: dict[str, DataFrame] = {}
+
+    def names(self) -> list[str]:
+        return [name for name in Store(self._spark, self._base).names() if is_published(self._spark, f"{self._base}/{name}")]
+
+    def years(self, mart: str) -> list[int]:
+        """The years a mart holds, empty ones included; from its manifest, no file is read."""
+        return sorted(int(year) for year in Store(self._spark, f"{self._base}/{mart}").manifest().parts)
+
+    def mart(self, name: str, year: int | None = None) -> DataFrame:
+        """A mart, one year of it if given. All calls see the version of the first one."""
+        if name not in self._open:
+            self._open[name] = read_mart(self._spark, self._base, name)
+        df = self._open[name]
+        return df if year is None else df.where(F.col("measurement_year") == year)
+
+
 def read_audit_log(spark: SparkSession, path: str) -> DataFrame:
     """The audit log; a log that was never written is empty."""
     schema = T.StructType(

@@ -12,41 +12,20 @@ from pyspark.sql import types as T
 from cohortry.functions.dates import as_date
 from cohortry.operators.quality import unexpired
 from cohortry.schemas import AUDIT_LOG, CONDITION_MAP_SEED, RAW_TABLES
-from cohortry.sources.readers import (
-    RawTables,
-    landing_folder,
-    misfits,
-    read_audit_log,
-    read_csv_text,
-    read_raw,
-    read_table,
-    typed,
-)
+from cohortry.sources.published import Store, finish, open_version, publish
+from cohortry.sources.readers import RawTables, landing_folder, misfits, read_audit_log, read_raw, read_records
 
 
 class LoadError(RuntimeError):
-    """A written table does not hold the rows that were sent."""
+    """More records of a load do not fit than the caller allows."""
 
 
-def replace_table(df: DataFrame, path: str, partition_by: str | None = None) -> None:
-    """Replace a Parquet table, so a repeated load never duplicates rows.
+def load_table(df: DataFrame, base: str, table: str) -> int:
+    """Replace a table and return its row count, read back and compared with the rows sent.
 
-    A partitioned table keeps the partitions of which ``df`` has no row: building one year leaves the others.
+    The old rows stay current until the new ones are all there (``published``).
     """
-    writer = df.write.mode("overwrite")
-    if partition_by:
-        writer = writer.partitionBy(partition_by).option("partitionOverwriteMode", "dynamic")
-    writer.parquet(path)
-
-
-def load_table(df: DataFrame, base: str, table: str) -> int:
-    """Replace a table and return its row count, read back and compared with the rows sent."""
-    sent = Observation()
-    replace_table(df.observe(sent, F.count(F.lit(1)).alias("rows")), f"{base}/{table}")
-    stored = read_table(df.sparkSession, base, table, df.schema).count()
-    if stored != sent.get["rows"]:
-        raise LoadError(f"{table}: sent {sent.get['rows']} rows, stored {stored}")
-    return stored
+    return sum(publish(df, f"{base}/{table}").rows.values())
 
 
 def load_csv(
@@ -54,16 +33,31 @@ def load_csv(
 ) -> int:
     """Load one CSV file, folder or glob into a typed table and return its row count.
 
-    Rows with a value that does not fit its type go to ``_rejected/<table>`` as text, with the names of those columns in
-    ``_misfits``; more than ``max_rejected`` of them fail the load. Undeclared columns are kept as text.
+    One job reads the files, judges every record and writes all of them. Records with a value that does not fit its type or with
+    more fields than the header are set aside as text (``read_rejected``), with what is wrong in ``_misfits``;
+    more than ``max_rejected`` of them fail the load, and the table keeps its rows. Undeclared columns are kept as text.
     """
-    checked = read_csv_text(spark, path, schema, quoted_newlines).withColumn("_misfits", misfits(schema))
-    refused = Observation()
-    bad = checked.where(F.col("_misfits").isNotNull()).observe(refused, F.count(F.lit(1)).alias("rows"))
-    replace_table(bad, f"{base}/_rejected/{table}")
-    if refused.get["rows"] > max_rejected:
-        raise LoadError(f"{table}: {refused.get['rows']} rows do not fit their types, see {base}/_rejected/{table}")
-    return load_table(typed(checked.where(F.col("_misfits").isNull()).drop("_misfits"), schema), base, table)
+    text = read_records(spark, path, schema, quoted_newlines)
+    own = [name for name in text.columns if name not in ("_record", "_surplus")]
+    kinds = {f.name: f.dataType for f in schema.fields}
+    good = F.col("_misfits").isNull()
+    column = [F.col(f"`{name}`").try_cast(kinds.get(name, T.StringType())) for name in own]
+    judged = text.withColumn("_misfits", misfits(schema)).select(
+        *[F.when(good, c).alias(name) for c, name in zip(column, own, strict=True)],
+        F.when(~good, F.struct(*[F.col(f"`{name}`") for name in own])).alias("_fields"),
+        "_record",
+        "_misfits",
+        F.when(good, "good").otherwise("rejected").alias("verdict"),
+    )
+    seen = Observation()
+    judged_rows = judged.observe(seen, F.count_if(F.col("_misfits").isNull()).alias("good"), F.count_if(F.col("_misfits").isNotNull()).alias("rejected"))
+    store = Store(spark, f"{base}/{table}")
+    folder = store.new_folder()
+    judged_rows.write.partitionBy("verdict").parquet(f"{store.path}/{folder}")
+    if seen.get["rejected"] > max_rejected:
+        raise LoadError(f"{table}: {seen.get['rejected']} rows do not fit, see {store.path}/{folder}/verdict=rejected")
+    stored = T.StructType([T.StructField(name, kinds.get(name, T.StringType())) for name in own])
+    return sum(finish(store, f"{folder}/verdict=good", stored, None, None, seen.get["good"]).rows.values())
 
 
 def ingest(
@@ -86,14 +80,16 @@ def ingest(
 
 
 def write_mart(df: DataFrame, base: str, mart: str, year: int | None = None) -> DataFrame:
-    """Replace a mart and return it as read back; yearly marts are partitioned by year.
+    """Publish a mart as a new version and return it as read back.
 
-    A yearly mart keeps its other years; with ``year`` only that one is returned.
+    A yearly mart, one with a column ``measurement_year``, is partitioned by it. With ``year`` that year is replaced, by nothing
+    if ``df`` has no row of it, the other years stay, and that year is returned; a row of another year is an error. Without, all
+    years are replaced.
     """
     yearly = "measurement_year" if "measurement_year" in df.columns else None
     stamped = df.withColumn("_loaded_at", F.current_timestamp())
-    replace_table(stamped, f"{base}/{mart}", yearly)
-    back = read_table(df.sparkSession, base, mart, stamped.schema).drop("_loaded_at")
+    publish(stamped, f"{base}/{mart}", yearly, [year] if yearly and year is not None else None)
+    back = open_version(df.sparkSession, f"{base}/{mart}").drop("_loaded_at")
     return back.where(F.col(yearly) == year) if yearly and year is not None else back
 
 

@@ -43,22 +43,12 @@ def test_bad_values_are_set_aside_and_fail_the_load(spark, tmp_path):
     write(tmp_path / "c.csv", "PATIENT,ENCOUNTER,START,STOP,CODE,DESCRIPTION\np,e,not-a-date,,1,d\nq,e,2020-01-02,,1,d\n")
     with pytest.raises(writers.LoadError, match="1 rows"):
         writers.load_csv(spark, str(tmp_path / "c.csv"), schemas.CONDITIONS, str(tmp_path / "raw"), "conditions")
-    bad = readers.read_table(spark, str(tmp_path / "raw"), "_rejected/conditions").head()
+    bad = readers.read_rejected(spark, str(tmp_path / "raw"), "conditions").head()
     assert (bad["PATIENT"], bad["START"], bad["_misfits"]) == ("p", "not-a-date", "START")
+    assert not readers.is_published(spark, str(tmp_path / "raw/conditions"))
     assert writers.load_csv(spark, str(tmp_path / "c.csv"), schemas.CONDITIONS, str(tmp_path / "raw"), "conditions", max_rejected=1) == 1
 
 
-def test_large_files_without_quoted_newlines_are_split(spark, tmp_path):
-    write(tmp_path / "p.csv", "Id\n" + "".join(f"{n}\n" for n in range(200_000)))
-    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
-    try:
-        spark.conf.set("spark.sql.files.maxPartitionBytes", "200k")
-        assert readers.read_csv(spark, str(tmp_path / "p.csv"), schemas.PROVIDERS, quoted_newlines=False).rdd.getNumPartitions() > 3
-        assert readers.read_csv(spark, str(tmp_path / "p.csv"), schemas.PROVIDERS).rdd.getNumPartitions() == 1
-    finally:
-        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
-
-
 def test_ingest_of_a_run_date(spark, tmp_path):
     for table, schema in {**schemas.RAW_TABLES, "condition_map": schemas.CONDITION_MAP_SEED}.items():
         first = ["x" if f.dataType.simpleString() == "string" else "" for f in schema.fields]
@@ -71,7 +61,7 @@ def test_ingest_of_a_run_date(spark, tmp_path):
 def test_a_built_year_leaves_the_others(spark, tmp_path):
     for year in (2000, 2001, 2001):
         mart = spark.createDataFrame([(f"m{year}", year)], "member_id string, measurement_year int")
-        writers.write_mart(mart, str(tmp_path), "m")
+        writers.write_mart(mart, str(tmp_path), "m", year)
     for year in (2000, 2001):
         assert [r["member_id"] for r in readers.read_mart(spark, str(tmp_path), "m", year).collect()] == [f"m{year}"]
 
