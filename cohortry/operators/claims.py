@@ -66,10 +66,35 @@ def _procedure_detail(procedures: DataFrame) -> DataFrame:
     return procedures.select(*_line("procedure_id", _no_text(), _no_text(), F.col("snomed_code"), _no_spend()))
 
 
+def heavy_claims(detail: DataFrame, partitions: int) -> DataFrame:
+    """(claim_id, pieces) of the claims with more than a quarter of a partition's share of all lines.
+
+    A frequency sketch of bounded size finds them in the scan that counts the lines, without a shuffle by claim. There are at
+    most ``4 * partitions`` of them, so the table has a size bound. The sketch's counts only choose the number of pieces.
+    """
+    ways = 4 * partitions
+    counted = detail.where(F.col("claim_id").isNotNull()).agg(
+        F.expr(f"approx_top_k(claim_id, {ways}, {min(64 * ways, 1_000_000)})").alias("top"), F.count("*").alias("lines")
+    )
+    heavy = counted.select("lines", F.inline("top")).where(F.col("count") * ways > F.col("lines"))
+    pieces = F.ceil(F.col("count") * ways / F.col("lines")).cast("int")
+    return heavy.select(F.col("item").alias("claim_id"), pieces.alias("pieces"))
+
+
 def _within_encounters(detail: DataFrame, encounters: DataFrame) -> DataFrame:
-    # Lines without a known encounter are dropped. A claim that holds a large share of all lines
-    # is split by the adaptive skew join; nothing downstream reuses this join's partitioning.
-    return detail.join(_encounter_context(encounters), "claim_id").select(*LINE_COLUMNS)
+    """Lines with their encounter's columns; lines without a known encounter are dropped.
+
+    The lines of a heavy claim are dealt into pieces by their own key, and only its encounter row is repeated once per piece; all
+    other claims are one piece. No task gets more than a partition's share of lines and a quarter.
+    """
+    context = _encounter_context(encounters)
+    partitions = int(detail.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # At most four rows per shuffle partition.
+    heavy = F.broadcast(heavy_claims(detail.select("claim_id"), partitions))
+    pieces = F.coalesce("pieces", F.lit(1))
+    dealt = detail.join(heavy, "claim_id", "left").withColumn("_piece", F.pmod(F.xxhash64("claims_line_id", "member_id"), pieces).cast("int")).drop("pieces")
+    spread = context.join(heavy, "claim_id", "left").withColumn("_piece", F.explode(F.sequence(F.lit(0), pieces - 1))).drop("pieces")
+    return dealt.join(spread, ["claim_id", "_piece"]).select(*LINE_COLUMNS)
 
 
 def claims_dx_lines(conditions: DataFrame, encounters: DataFrame) -> DataFrame:

@@ -24,9 +24,9 @@ def _tier_domain(df: DataFrame) -> DataFrame:
     return df.sparkSession.sql(f"select * from values {tiers} as tiers(tier_rank, risk_tier)")
 
 
-def _rate(flag: str) -> Column:
-    """Average of a 0/1 column in percent."""
-    return ratio((F.sum(flag) * 100).cast("decimal(30,6)"), F.count(flag), 6)
+def _rate(flag: str, digits: int = 6, half_even: bool = False) -> Column:
+    """Average of a 0/1 column in percent, rounded once."""
+    return ratio((F.sum(flag) * 100).cast("decimal(30,6)"), F.count(flag), digits, half_even)
 
 
 # Population
@@ -150,7 +150,7 @@ def report_gap_summary(gaps_with_tier: DataFrame) -> DataFrame:
         .agg(
             F.count_distinct("member_id").alias("eligible_members"),
             F.sum("gap_open").alias("open_gaps"),
-            F.bround(_rate("gap_open"), 1).alias("gap_rate_pct"),
+            _rate("gap_open", 1, half_even=True).alias("gap_rate_pct"),
         )
         .withColumn("gap_type_label", display_label(F.col("gap_type")))
         .orderBy(F.desc("gap_rate_pct"), "gap_type")

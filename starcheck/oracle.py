@@ -25,6 +25,14 @@ def ratio(part: str, whole: str, digits: int) -> str:
     return f"cast(cast(sign({above}) * sign({below}) * ({steps}) as decimal(22,0)) * cast({10.0**-digits:.{digits}f} as decimal(7,{digits})) as decimal(28,{digits}))"
 
 
+def ratio_even(part: str, whole: str, digits: int) -> str:
+    """Rounded once, halves to the even digit; for values that are not negative."""
+    above, below = (f"cast(cast({x} as decimal(38,6)) * 1000000 as hugeint)" for x in (part, whole))
+    doubled, twice = f"({above} * {2 * 10**digits} + {below})", f"nullif(2 * {below}, 0)"
+    steps = f"({doubled} // {twice} - if({doubled} % {twice} = 0 and ({doubled} // {twice}) % 2 = 1, 1, 0))"
+    return f"cast(cast({steps} as decimal(22,0)) * cast({10.0**-digits:.{digits}f} as decimal(7,{digits})) as decimal(28,{digits}))"
+
+
 def mean(column: str, digits: int) -> str:
     return ratio(f"sum({column})", f"count({column})", digits)
 
@@ -479,9 +487,12 @@ def expect(query: str, reads: str, columns: str, tail: str | None = None) -> Non
 expect(
     "ingest_roundtrip",
     "conditions",
-    "t:PATIENT t:ENCOUNTER t:START t:STOP t:CODE t:DESCRIPTION t:NOTE",
+    "t:PATIENT t:ENCOUNTER t:START t:STOP t:CODE t:DESCRIPTION t:NOTE t:misfits",
     """from (select patient as "PATIENT", encounter as "ENCOUNTER", start_date as "START", stop_date as "STOP",
-         code as "CODE", 'n' || code as "NOTE", description || chr(10) || 'says "' || code || '"' as "DESCRIPTION" from conditions)""",
+         code as "CODE", 'n' || code as "NOTE", description || chr(10) || 'says "' || code || '"' as "DESCRIPTION",
+         cast(null as varchar) as misfits from conditions
+       union all
+       select patient, encounter, start_date, stop_date, code, 'n' || code, description, '(surplus fields)' from conditions where code like '%7')""",
 )
 expect(
     "condition_map_scan",
@@ -914,16 +925,16 @@ _AUDIT_COLUMNS = (
 )
 expect(
     "dq_audit_rows",
-    "profile gaps cost efficiency visits services",
+    "profile gaps cost efficiency visits services supply",
     _AUDIT_COLUMNS,
     f"""from (select timestamp '2001-12-31 06:00:00' as run_timestamp, 'run-2001' as run_id, * from (
           select 'row_count' as check_type, table_name, cast(null as varchar) as column_name,
             if(prior_count - row_count > prior_count * 0.1, 'fail', 'pass') as check_result, row_count,
             cast(null as double) as null_rate_pct, 'row_count=' || row_count as details
-          from (select 'mart_member_risk_profile' as table_name, count(*) as row_count, count(*) as prior_count from profile
+          from (select 'mart_member_risk_profile' as table_name, count(*) as row_count, (select count(*) from visits) as prior_count from profile
                 union all select 'mart_care_gaps', count(*), (select count(*) from services) from gaps
-                union all select 'mart_cost_utilization', count(*), count(*) from cost
-                union all select 'mart_provider_efficiency', count(*), count(*) from efficiency)
+                union all select 'mart_cost_utilization', count(*), (select count(distinct claim_type) from visits) from cost
+                union all select 'mart_provider_efficiency', count(*), (select count(*) from supply) from efficiency)
           union all
           select 'null_rate', table_name, column_name, check_result, null, null_rate_pct,
             'null_rate=' || cast(cast(null_rate_pct as decimal(28,3)) as varchar) || '%'
@@ -1021,7 +1032,7 @@ expect(
     "tiered_gaps",
     "t:gap_type i:eligible_members i:open_gaps d:gap_rate_pct t:gap_type_label",
     f"""from (select gap_type, count(distinct member_id) as eligible_members, sum(gap_open) as open_gaps,
-          round_even({ratio("sum(gap_open) * 100", "count(*)", 6)}, 1) as gap_rate_pct, {_GAP_TITLE} as gap_type_label
+          {ratio_even("sum(gap_open) * 100", "count(*)", 1)} as gap_rate_pct, {_GAP_TITLE} as gap_type_label
         from tiered_gaps group by gap_type)""",
 )
 expect(
@@ -1095,3 +1106,6 @@ expect(
     """from (select provider_npi as npi, attributed_member_count as members, round_even(avg_cost_pmpm, 0) as avg_pmpm,
          avg_hcc_score, gap_closure_rate_pct as gap_closure_pct, top_condition, efficiency_quadrant as quadrant from shown)""",
 )
+
+# The report of the year before, over marts stored for two years: the same SQL with that year and its last day.
+ORACLES["report_stored_cost_by_tier"] = ORACLES["report_cost_by_tier"].replace(str(YEAR), str(YEAR - 1))
