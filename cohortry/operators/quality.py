@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -56,6 +56,7 @@ def accepted_range(table: str, column: str, low: float, high: float | None = Non
     return Check(table, column, "accepted_range", low=low, high=high)
 
 
+# The declared checks of each layer.
 RAW_CHECKS = [
     unique("patients", "Id"),
     *not_null("patients", "Id", "BIRTHDATE", "GENDER"),
@@ -120,7 +121,7 @@ MART_CHECKS = [
 
 DEFAULT_SUITE = RAW_CHECKS + STAGING_CHECKS + INTERMEDIATE_CHECKS + MART_CHECKS
 
-# Columns whose null rate is logged for each mart.
+# Columns whose null rate is logged for each mart.
 NULL_RATE_COLUMNS = {
     "mart_member_risk_profile": ["member_id", "risk_tier", "measurement_year", "hcc_risk_score"],
     "mart_care_gaps": ["member_id", "gap_type", "gap_open", "measurement_year"],
@@ -148,43 +149,64 @@ def _violates(check: Check) -> Column:
     return broken if check.high is None else broken | (column > check.high)
 
 
-def duplicated_values(df: DataFrame, column: str) -> DataFrame:
-    """One row: how many non-null values occur more than once."""
-    counts = df.where(F.col(column).isNotNull()).groupBy(column).agg(F.count("*").alias("occurrences"))
-    return counts.agg(F.count_if(F.col("occurrences") > 1).alias("failing"))
+RESULT_SCHEMA = "check_type string, table_name string, column_name string, failing bigint, check_result string"
+
+
+class RowChecks:
+    """Row-level checks collected while a table is written: no scan of their own.
+
+    ``on`` puts the collector under the write; after it, ``results`` has a row per check. ``within`` limits the
+    checks to some of the rows written.
+    """
+
+    def __init__(self, checks: Sequence[Check], within: Column | None = None):
+        self.checks = [check for check in checks if check.kind != "unique"]
+        self._within = within
+        self._seen = Observation()
+
+    def on(self, df: DataFrame) -> DataFrame:
+        broken = [_violates(check) if self._within is None else self._within & _violates(check) for check in self.checks]
+        return df.observe(self._seen, *[F.count_if(x).alias(f"c{i}") for i, x in enumerate(broken)]) if broken else df
+
+    def results(self) -> list[tuple[str, str, str, int, str]]:
+        found = self._seen.get if self.checks else {}
+        return [
+            (check.kind, check.table, check.column, found[f"c{i}"], "fail" if found[f"c{i}"] else "pass") for i, check in enumerate(self.checks)
+        ]
+
+
+def duplicated_values(df: DataFrame, columns: Mapping[str, Column]) -> DataFrame:
+    """One row: per name, how many non-null values of the column occur more than once.
+
+    All columns are one grouping of (column, value), so the table is read and shuffled once, however many keys it has.
+    """
+    keys = [F.struct(F.lit(i).alias("no"), column.cast("string").alias("value")) for i, column in enumerate(columns.values())]
+    stacked = df.select(F.explode(F.array(*keys)).alias("key")).select("key.*") if len(keys) > 1 else df.select(keys[0].alias("key")).select("key.*")
+    counts = stacked.where(F.col("value").isNotNull()).groupBy("no", "value").agg(F.count("*").alias("occurrences"))
+    return counts.agg(*[F.count_if((F.col("no") == i) & (F.col("occurrences") > 1)).alias(name) for i, name in enumerate(columns)])
 
 
 def run_checks(tables: Mapping[str, DataFrame], checks: Sequence[Check]) -> DataFrame:
     """Failing rows (for unique: failing values) and verdict of every check.
 
-    Per table, all row-level checks are one aggregation over only the checked columns; each
-    unique check is one grouped count with map-side combine.
+    Per table, all row-level checks are one aggregation over only the checked columns, and all unique checks one grouping of
+    (check, value) with map-side combine. A table that is being written is checked on the way (``RowChecks``).
     """
     results: list[DataFrame] = []
     for table in dict.fromkeys(check.table for check in checks):
         own = [check for check in checks if check.table == table]
-        row_level = [check for check in own if check.kind != "unique"]
-        if row_level:
-            wide = tables[table].agg(
-                *[F.count_if(_violates(check)).alias(f"c{i}") for i, check in enumerate(row_level)]
-            )
-            cells = [
-                cell
-                for i, check in enumerate(row_level)
-                for cell in (F.lit(check.kind), F.lit(check.column), F.col(f"c{i}"))
-            ]
-            results.append(
-                wide.select(F.stack(F.lit(len(row_level)), *cells).alias("check_type", "column_name", "failing"))
-                .withColumn("table_name", F.lit(table))
-            )
-        for check in own:
-            if check.kind == "unique":
-                results.append(
-                    duplicated_values(tables[table], check.column)
-                    .withColumn("check_type", F.lit("unique"))
-                    .withColumn("column_name", F.lit(check.column))
-                    .withColumn("table_name", F.lit(table))
-                )
+        for unique_checks in (False, True):
+            part = [check for check in own if (check.kind == "unique") == unique_checks]
+            if not part:
+                continue
+            names = [f"c{i}" for i in range(len(part))]
+            if unique_checks:
+                wide = duplicated_values(tables[table], {n: F.col(check.column) for n, check in zip(names, part, strict=True)})
+            else:
+                wide = tables[table].agg(*[F.count_if(_violates(check)).alias(n) for n, check in zip(names, part, strict=True)])
+            cells = [cell for n, check in zip(names, part, strict=True) for cell in (F.lit(check.kind), F.lit(check.column), F.col(n))]
+            long = wide.select(F.stack(F.lit(len(part)), *cells).alias("check_type", "column_name", "failing"))
+            results.append(long.withColumn("table_name", F.lit(table)))
     return union_all(results).select(
         "check_type", "table_name", "column_name", "failing", _verdict(F.col("failing") > 0).alias("check_result")
     )

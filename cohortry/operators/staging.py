@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -20,10 +23,22 @@ def _money(name: str) -> Column:
     return F.coalesce(F.col(name).cast(MONEY), F.lit(0).cast(MONEY))
 
 
-def _present(df: DataFrame, *names: str) -> DataFrame:
-    for name in names:
-        df = df.where(F.col(name).isNotNull())
-    return df
+KEPT = "_kept"
+"""Where raw columns are carried along: whether the row has its keys, and so belongs to the staging table."""
+
+
+def carried_name(raw_column: str) -> str:
+    return f"_raw_{raw_column}"
+
+
+def _staged(raw: DataFrame, keys: Sequence[str], columns: Sequence[Column], carried: Sequence[str] | None) -> DataFrame:
+    """The rows that have their ``keys``. With ``carried`` all rows, marked by ``KEPT``, and those raw columns, for checks of the raw table."""
+    if carried is None:
+        for name in keys:
+            raw = raw.where(F.col(name).isNotNull())
+        return raw.select(*columns)
+    kept = reduce(Column.__and__, [F.col(name).isNotNull() for name in keys])
+    return raw.select(*columns, kept.alias(KEPT), *[F.col(name).alias(carried_name(name)) for name in carried])
 
 
 def claim_type_of(encounter_class: Column) -> Column:
@@ -36,12 +51,12 @@ def claim_type_of(encounter_class: Column) -> Column:
     return mapped.otherwise(DEFAULT_CLAIM_TYPE)
 
 
-def stg_members(patients: DataFrame, year: int) -> DataFrame:
+def stg_members(patients: DataFrame, year: int, carried: Sequence[str] | None = None) -> DataFrame:
     """One row per patient, with age at the end of the measurement year."""
     born = F.col("BIRTHDATE").cast("date")
     gender = F.upper("GENDER")
     expenses, coverage = _money("HEALTHCARE_EXPENSES"), _money("HEALTHCARE_COVERAGE")
-    return _present(patients, "Id").select(
+    columns = [
         _text("Id").alias("member_id"),
         born.alias("date_of_birth"),
         F.col("DEATHDATE").cast("date").alias("death_date"),
@@ -57,15 +72,16 @@ def stg_members(patients: DataFrame, year: int) -> DataFrame:
         (expenses - coverage).cast(MONEY).alias("total_out_of_pocket"),
         F.col("DEATHDATE").isNotNull().alias("is_deceased"),
         F.lit(year).alias("measurement_year"),
-    )
+    ]
+    return _staged(patients, ["Id"], columns, carried)
 
 
-def stg_encounters(encounters: DataFrame) -> DataFrame:
+def stg_encounters(encounters: DataFrame, carried: Sequence[str] | None = None) -> DataFrame:
     """One row per encounter with its claim type and cost split."""
     start, stop = F.col("START").cast("timestamp"), F.col("STOP").cast("timestamp")
     encounter_class = F.lower(_text("ENCOUNTERCLASS"))
     paid, covered = _money("TOTAL_CLAIM_COST"), _money("PAYER_COVERAGE")
-    return _present(encounters, "Id", "PATIENT", "START").select(
+    columns = [
         _text("Id").alias("encounter_id"),
         _text("PATIENT").alias("member_id"),
         _text("PROVIDER").alias("provider_id"),
@@ -85,13 +101,14 @@ def stg_encounters(encounters: DataFrame) -> DataFrame:
         covered.alias("payer_coverage"),
         (paid - covered).cast(MONEY).alias("member_paid_amount"),
         F.year(start).alias("service_year"),
-    )
+    ]
+    return _staged(encounters, ["Id", "PATIENT", "START"], columns, carried)
 
 
-def stg_conditions(conditions: DataFrame) -> DataFrame:
+def stg_conditions(conditions: DataFrame, carried: Sequence[str] | None = None) -> DataFrame:
     """One row per diagnosis onset; open-ended ones are active."""
     onset = F.col("START").cast("date")
-    return _present(conditions, "PATIENT", "CODE").select(
+    columns = [
         surrogate_key("PATIENT", "CODE", "START").alias("condition_id"),
         _text("PATIENT").alias("member_id"),
         _text("ENCOUNTER").alias("encounter_id"),
@@ -101,13 +118,14 @@ def stg_conditions(conditions: DataFrame) -> DataFrame:
         _text("DESCRIPTION").alias("condition_description"),
         F.col("STOP").isNull().alias("is_active"),
         F.year(onset).alias("onset_year"),
-    )
+    ]
+    return _staged(conditions, ["PATIENT", "CODE"], columns, carried)
 
 
-def stg_procedures(procedures: DataFrame) -> DataFrame:
+def stg_procedures(procedures: DataFrame, carried: Sequence[str] | None = None) -> DataFrame:
     """One row per procedure; the single raw date is both start and end."""
     performed = F.col("DATE").cast("date")
-    return _present(procedures, "PATIENT").select(
+    columns = [
         surrogate_key("PATIENT", "CODE", "DATE", "ENCOUNTER").alias("procedure_id"),
         _text("PATIENT").alias("member_id"),
         _text("ENCOUNTER").alias("encounter_id"),
@@ -117,12 +135,13 @@ def stg_procedures(procedures: DataFrame) -> DataFrame:
         _text("DESCRIPTION").alias("procedure_description"),
         _money("BASE_COST").alias("base_cost"),
         F.year(performed).alias("procedure_year"),
-    )
+    ]
+    return _staged(procedures, ["PATIENT"], columns, carried)
 
 
-def stg_medications(medications: DataFrame) -> DataFrame:
+def stg_medications(medications: DataFrame, carried: Sequence[str] | None = None) -> DataFrame:
     """One row per prescription; the key needs six columns to be unique."""
-    return _present(medications, "PATIENT", "CODE").select(
+    columns = [
         surrogate_key("PATIENT", "CODE", "START", "ENCOUNTER", "STOP", "TOTALCOST").alias("rx_id"),
         _text("PATIENT").alias("member_id"),
         _text("ENCOUNTER").alias("encounter_id"),
@@ -138,4 +157,5 @@ def stg_medications(medications: DataFrame) -> DataFrame:
         _text("REASONCODE").alias("reason_snomed_code"),
         _text("REASONDESCRIPTION").alias("reason_description"),
         F.col("STOP").isNull().alias("is_active"),
-    )
+    ]
+    return _staged(medications, ["PATIENT", "CODE"], columns, carried)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import gc
+import time
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -29,8 +31,8 @@ def configure(spark: SparkSession, shuffled_bytes: int | None = None) -> SparkSe
     """
     for key, value in RUNTIME_SETTINGS.items():
         spark.conf.set(key, value)
-    if shuffled_bytes:
-        planned = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-shuffled_bytes // SHUFFLE_TARGET_BYTES))
+    if shuffled_bytes is not None:
+        planned = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-int(shuffled_bytes) // SHUFFLE_TARGET_BYTES))
         spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", planned)
     return spark
 
@@ -66,19 +68,59 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{_session_scratch(spark)}/{label}-{uuid.uuid4().hex}"
 
 
+def _delete(spark: SparkSession, path: str) -> None:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def release_scratch(spark: SparkSession) -> None:
     """Delete what this session has materialized, once no DataFrame that reads it is needed."""
-    folder = spark._jvm.org.apache.hadoop.fs.Path(_session_scratch(spark))
-    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+    _delete(spark, _session_scratch(spark))
+    _owned.clear()
+
+
+_owned: dict[str, list] = {}
+"""Per scratch folder weak references to the JVM's file relations that read it."""
+
+
+def owned(df: DataFrame, path: str) -> DataFrame:
+    """``df``, with the scratch folder ``path`` belonging to its file scans.
+
+    Every plan derived from ``df`` holds the same relations, so they live as long as anything can still read the folder. Once
+    the JVM has collected them, the next ``sweep_scratch`` deletes it.
+    """
+    reference = df.sparkSession._jvm.java.lang.ref.WeakReference
+    leaves = df._jdf.queryExecution().analyzed().collectLeaves()
+    relations = [leaves.apply(k) for k in range(leaves.size())]
+    _owned[path] = [reference(leaf.relation()) for leaf in relations if leaf.getClass().getSimpleName() == "LogicalRelation"]
+    return df
+
+
+def sweep_scratch(spark: SparkSession, collect: bool = False) -> int:
+    """Delete the scratch folders that nothing can read any more and return how many are left.
+
+    ``collect`` runs the garbage collections of both sides first; without it only folders already found unreachable go.
+    """
+    # The driver's side gives its handles up a little later than it is asked to.
+    for _ in range(3 if collect else 0):
+        gc.collect()
+        spark._jvm.System.gc()
+        time.sleep(0.1)
+    for path, references in list(_owned.items()):
+        if all(r.get() is None for r in references):
+            _owned.pop(path)
+            _delete(spark, path)
+    return len(_owned)
 
 
 def materialize(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` once as Parquet in the shared folder and read it back.
 
     Used where several branches read the same derived table: the lineage is cut, a lost
-    executor costs no recomputation, and each reader prunes its own columns.
+    executor costs no recomputation, and each reader prunes its own columns. The folder goes with its last reader (``owned``).
     """
     spark = df.sparkSession
+    sweep_scratch(spark)
     path = scratch_path(spark, label)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return owned(spark.read.schema(df.schema).parquet(path), path)

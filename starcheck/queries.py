@@ -12,7 +12,7 @@ from cohortry.functions.codes import code_in, code_in_range, condition_flag
 from cohortry.operators import claims, codes, conditions, gaps, providers, quality, reports, risk
 from cohortry.plans.datasets import Datasets
 from cohortry.schemas import CONDITIONS, RAW_TABLES
-from cohortry.session import configure, materialize, scratch_path
+from cohortry.session import configure, materialize, owned, scratch_path
 from cohortry.sources.readers import StoredMarts, read_rejected, read_table
 from cohortry.sources.writers import load_csv, write_mart
 from cohortry.vocabulary import SERVICE_CODES
@@ -85,7 +85,7 @@ def ingest_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     load_csv(spark, f"{folder}/landed", CONDITIONS, folder, "conditions", max_rejected=1 << 62)
     good = read_table(spark, folder, "conditions").withColumn("misfits", F.lit(None).cast("string"))
     set_aside = read_rejected(spark, folder, "conditions").drop("_record").withColumnRenamed("_misfits", "misfits")
-    return comparable(good).unionByName(set_aside)
+    return owned(comparable(good).unionByName(set_aside), folder)
 
 
 @dataset
@@ -547,7 +547,7 @@ def report_stored_cost_by_tier(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder, raw = scratch_path(spark, "marts"), bind.raw_tables(spark, sf_dir)
     for year in (YEAR - 1, YEAR):
         write_mart(Datasets(raw, year, f"{year}-12-31").mart_cost_utilization, folder, "mart_cost_utilization", year)
-    return reports.report_cost_by_tier(StoredMarts(spark, folder).mart("mart_cost_utilization", YEAR - 1), YEAR - 1)
+    return owned(reports.report_cost_by_tier(StoredMarts(spark, folder).mart("mart_cost_utilization", YEAR - 1), YEAR - 1), folder)
 
 
 @dataset
