@@ -1,12 +1,12 @@
-"""Exact medians without gathering the column in one task."""
+"""Exact medians and grouped quantiles without gathering a column or a group in one task."""
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from decimal import ROUND_FLOOR, ROUND_HALF_UP, Decimal, localcontext
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -120,3 +120,58 @@ def _middle(values: DataFrame, search: _Search, kind: T.DataType) -> Decimal:
 def exact_median(df: DataFrame, column: str, name: str) -> DataFrame:
     """One row with the interpolated median of one column, see ``exact_medians``."""
     return exact_medians(df, {column: name})
+
+
+SMALL_GROUP = 10 * SKETCH_ACCURACY // BRACKET_ERRORS
+"""Groups of up to so many rows are ranked whole; in larger ones a bracket's margin is more than a rank."""
+
+
+def exact_quantiles(df: DataFrame, by: Sequence[str], column: str, quantiles: Mapping[str, str], digits: int = 6) -> DataFrame:
+    """Per group the rows (``n``) and interpolated quantiles (``{name: "0.25"}``) of a decimal or integer column; NULLs are ignored.
+
+    A mergeable rank sketch per group brackets every quantile, with a margin of several times the sketch's error bound. One more pass
+    counts, for all groups and quantiles at once, the rows below the bracket and those on each value inside it, and ranks the
+    latter: about a five-hundredth of a large group's rows. So no state holds a group's values, and no task a group. The result is
+    exact, rounded once (halves away from zero) to ``digits``. A group without values is left out.
+    """
+    kind = df.schema[column].dataType
+    exact = kind if isinstance(kind, T.DecimalType) else T.DecimalType(28, 0)
+    value = F.col(column).cast(exact)
+    rows = df.where(F.col(column).isNotNull()).select(*by, value.alias("_value"))
+    shares = [Decimal(q) for q in quantiles.values()]
+    margin = Decimal(BRACKET_ERRORS) / SKETCH_ACCURACY
+    cuts = [float(c) for q in shares for c in (max(q - margin, Decimal(0)), min(q + margin, Decimal(1)))]
+    known = rows.groupBy(*by).agg(
+        F.count("*").alias("n"), F.min("_value").alias("_min"), F.max("_value").alias("_max"), F.percentile_approx("_value", cuts, SKETCH_ACCURACY).alias("_cuts")
+    )
+    # Ranks from 0: the position (n - 1) * q in units of 10^-places, its floor, and the fraction after it.
+    places = max([0, *(-int(q.as_tuple().exponent) for q in shares)])
+    unit = 10**places
+    asked = []
+    for k, (name, q) in enumerate(zip(quantiles, shares, strict=True)):
+        position = (F.col("n") - 1) * F.lit(int(q * unit))
+        small = F.col("n") <= SMALL_GROUP
+        low = F.when(small, F.col("_min")).otherwise(F.col("_cuts")[2 * k])
+        high = F.when(small, F.col("_max")).otherwise(F.col("_cuts")[2 * k + 1])
+        rank = F.call_function("div", position, F.lit(unit))
+        asked.append(F.struct(F.lit(name).alias("name"), low.alias("low"), high.alias("high"), rank.alias("rank"), (position % unit).alias("part")))
+    known = known.select(*by, "n", F.explode(F.array(*asked)).alias("q"))
+    keys = {c: f"_by_{c}" for c in by}
+    brackets = known.groupBy(*by).agg(F.collect_list("q").alias("_asked")).withColumnsRenamed(keys)  # one struct per quantile
+    same = [F.col(c).eqNullSafe(F.col(k)) for c, k in keys.items()]
+    # Rows above a bracket go, and each task adds those below it up before the shuffle.
+    met = rows.join(brackets, same).select(*by, "_value", F.explode("_asked").alias("q")).where("_value <= q.high")
+    below = F.col("_value") < F.col("q.low")
+    counted = met.groupBy(*by, F.col("q.name").alias("name"), F.when(~below, F.col("_value")).alias("_value")).agg(F.count("*").alias("_rows"))
+    # The rows below have no value and come first.
+    upto = Window.partitionBy(*by, "name").orderBy(F.asc_nulls_first("_value")).rowsBetween(Window.unboundedPreceding, 0)
+    ranked = counted.withColumn("_upto", F.sum("_rows").over(upto)).withColumnsRenamed({**keys, "name": "_name"})
+    both = known.select(*by, "n", "q.*").join(ranked, [*same, F.col("name") == F.col("_name")])
+    first = F.min(F.when(F.col("_upto") > F.col("rank"), F.col("_value")))
+    second = F.min(F.when(F.col("_upto") > F.col("rank") + 1, F.col("_value")))
+    found = both.groupBy(*by, "n", "name", "part").agg(first.alias("_first"), second.alias("_second"))
+    step = (F.coalesce("_second", "_first") - F.col("_first")).cast(T.DecimalType(28, exact.scale)) * F.col("part").cast(f"decimal({places + 1},0)")
+    scaled = F.col("_first").cast(T.DecimalType(28, exact.scale)) * F.lit(unit).cast(f"decimal({places + 1},0)") + step
+    # One division by a power of ten, hence exact, and one rounding.
+    quantile = F.round(scaled / F.lit(unit).cast(f"decimal({places + 1},0)"), digits).cast(f"decimal(28,{digits})")
+    return found.groupBy(*by, "n").agg(*[F.max(F.when(F.col("name") == name, quantile)).alias(name) for name in quantiles])

@@ -77,7 +77,8 @@ def heavy_claims(detail: DataFrame, partitions: int) -> DataFrame:
         F.expr(f"approx_top_k(claim_id, {ways}, {min(64 * ways, 1_000_000)})").alias("top"), F.count("*").alias("lines")
     )
     heavy = counted.select("lines", F.inline("top")).where(F.col("count") * ways > F.col("lines"))
-    pieces = F.ceil(F.col("count") * ways / F.col("lines")).cast("int")
+    # Pieces are four times as fine, so that those which meet in one partition by chance make no large one.
+    pieces = F.ceil(F.col("count") * (4 * ways) / F.col("lines")).cast("int")
     return heavy.select(F.col("item").alias("claim_id"), pieces.alias("pieces"))
 
 
@@ -85,7 +86,7 @@ def _within_encounters(detail: DataFrame, encounters: DataFrame) -> DataFrame:
     """Lines with their encounter's columns; lines without a known encounter are dropped.
 
     The lines of a heavy claim are dealt into pieces by their own key, and only its encounter row is repeated once per piece; all
-    other claims are one piece. No task gets more than a partition's share of lines and a quarter.
+    other claims are one piece.
     """
     context = _encounter_context(encounters)
     partitions = int(detail.sparkSession.conf.get("spark.sql.shuffle.partitions"))

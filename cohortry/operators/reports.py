@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cohortry.functions.numeric import mean, percent, ratio
-from cohortry.functions.quantiles import exact_medians
+from cohortry.functions.quantiles import exact_medians, exact_quantiles
 from cohortry.functions.text import display_label
 from cohortry.operators.cost import tier_rank
 from cohortry.vocabulary import GAP_TYPES, RISK_TIERS
@@ -76,37 +76,39 @@ def report_top_conditions(profile: DataFrame, year: int, limit: int | None = Non
 
 
 def report_hcc_box(profile: DataFrame, year: int) -> DataFrame:
-    """Box-plot numbers of positive scores per tier.
+    """Box-plot numbers of positive scores per tier, with exact quartiles."""
+    scores = _of_year(profile, year).where(F.col("hcc_risk_score") > 0)
+    return box_plot(scores, "risk_tier", "hcc_risk_score")
+
+
+def box_plot(rows: DataFrame, group: str, value: str) -> DataFrame:
+    """Quartiles, whiskers (the last values within one and a half interquartile ranges) and outliers per group of a decimal column.
 
-    The exact percentile keeps one counter per distinct score; scores are three-digit decimals
-    between 0 and 5, so at most 5,000 counters per tier whatever the number of members.
+    Groups of any number, size and values: quartiles are found without a state per value (``exact_quantiles``), and
+    the whiskers are one more aggregation. Rows without a value or a group are left out.
     """
-    scores = _of_year(profile, year).where(F.col("hcc_risk_score") > 0)
-    histogram = scores.groupBy("risk_tier", F.col("hcc_risk_score").cast("double").alias("score")).agg(
-        F.count("*").alias("members")
-    )
-    quartiles = histogram.groupBy("risk_tier").agg(
-        F.percentile("score", [0.25, 0.5, 0.75], F.col("members")).alias("q")
-    )
-    boxes = quartiles.select(
-        "risk_tier", *[F.col("q")[i].cast("decimal(28,6)").alias(name) for i, name in enumerate(("q1", "median", "q3"))]
-    )
+    rows = rows.where(F.col(group).isNotNull() & F.col(value).isNotNull())
+    boxes = exact_quantiles(rows, [group], value, {"q1": "0.25", "median": "0.5", "q3": "0.75"})
     reach = (F.col("q3") - F.col("q1")) * F.lit(1.5).cast("decimal(2,1)")
-    score = F.col("score").cast("decimal(28,6)")
-    inside = score.between(F.col("q1") - reach, F.col("q3") + reach)
-    # Both sides are grouped by tier, at most four rows against at most 5,000 scores each.
+    exact = F.col(value).cast("decimal(28,6)")
+    inside = exact.between(F.col("q1") - reach, F.col("q3") + reach)
     return (
-        histogram.join(boxes, "risk_tier")
-        .groupBy("risk_tier", "q1", "median", "q3")
+        rows.select(group, value).join(boxes, group)
+        .groupBy(group, "q1", "median", "q3")
         .agg(
-            F.sum("members").alias("member_count"),
-            F.min(F.when(inside, score)).alias("lower_whisker"),
-            F.max(F.when(inside, score)).alias("upper_whisker"),
-            F.sum(F.when(inside, 0).otherwise(F.col("members"))).alias("outlier_count"),
+            F.count("*").alias("member_count"),
+            F.min(F.when(inside, exact)).alias("lower_whisker"),
+            F.max(F.when(inside, exact)).alias("upper_whisker"),
+            F.count_if(~inside).alias("outlier_count"),
         )
     )
 
 
+def report_claim_cost_box(encounters: DataFrame) -> DataFrame:
+    """Box-plot numbers of the paid amount per provider; encounters without a provider are left out."""
+    return box_plot(encounters, "provider_id", "paid_amount").withColumnRenamed("member_count", "claim_count")
+
+
 # Care gaps
 
 

@@ -68,14 +68,15 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{_session_scratch(spark)}/{label}-{uuid.uuid4().hex}"
 
 
-def _delete(spark: SparkSession, path: str) -> None:
+def delete_scratch(spark: SparkSession, path: str) -> None:
+    """Delete a scratch folder that nothing reads any more."""
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)
     folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def release_scratch(spark: SparkSession) -> None:
     """Delete what this session has materialized, once no DataFrame that reads it is needed."""
-    _delete(spark, _session_scratch(spark))
+    delete_scratch(spark, _session_scratch(spark))
     _owned.clear()
 
 
@@ -109,7 +110,7 @@ def sweep_scratch(spark: SparkSession, collect: bool = False) -> int:
     for path, references in list(_owned.items()):
         if all(r.get() is None for r in references):
             _owned.pop(path)
-            _delete(spark, path)
+            delete_scratch(spark, path)
     return len(_owned)
 
 

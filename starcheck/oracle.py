@@ -878,6 +878,16 @@ expect(
                 90 as days_allowed from visits
               union all select 'stg_procedures', 'procedure_date', max(procedure_date), 60 from services))""",
 )
+expect(
+    "dq_stored_freshness",
+    "visits services",
+    "t:table_name t:column_name t:max_date i:days_stale t:check_result i:row_count",
+    f"""from (select table_name, column_name, max_date, date '{AS_OF}' - max_date as days_stale, row_count,
+          if(date '{AS_OF}' - max_date > days_allowed, 'fail', 'pass') as check_result
+        from (select 'stg_encounters' as table_name, 'service_date' as column_name, max(service_date) as max_date, count(*) as row_count,
+                90 as days_allowed from visits
+              union all select 'stg_procedures', 'procedure_date', max(procedure_date), count(*), 60 from services))""",
+)
 _CONTRACT = {
     "patients": (
         "Id:string:id BIRTHDATE:date:born DEATHDATE:date:died GENDER:string:gender RACE:string:race"
@@ -1010,6 +1020,32 @@ expect(
                from profile where hcc_risk_score > 0 group by risk_tier)) b on b.risk_tier = s.risk_tier
        group by s.risk_tier, b.q1, b.median, b.q3)""",
 )
+
+
+def _interpolated(share: str) -> str:
+    """Exact quantile of ranked rows (rank r from 0, n rows): both neighbours of the position, weighted in ten-thousandths."""
+    position = f"((n - 1) * {round(float(share) * 10_000)})"
+    first, second = f"max(cents) filter (where r = {position} // 10000)", f"max(cents) filter (where r = {position} // 10000 + 1)"
+    part = f"max({position} % 10000)"
+    return f"cast({first} * 10000 + (coalesce({second}, {first}) - {first}) * {part} as decimal(28,0)) * cast(0.000001 as decimal(7,6))"
+
+
+expect(
+    "report_claim_cost_box",
+    "visits",
+    "t:provider_id d:q1 d:median d:q3 i:claim_count d:lower_whisker d:upper_whisker i:outlier_count",
+    f"""from (select s.provider_id, b.q1, b.median, b.q3, count(*) as claim_count,
+         min(s.paid_amount) filter (where s.paid_amount between b.low and b.high) as lower_whisker,
+         max(s.paid_amount) filter (where s.paid_amount between b.low and b.high) as upper_whisker,
+         count(*) filter (where s.paid_amount not between b.low and b.high) as outlier_count
+       from visits s
+       join (select *, q1 - 1.5 * (q3 - q1) as low, q3 + 1.5 * (q3 - q1) as high from (
+               select provider_id, {_interpolated("0.25")} as q1, {_interpolated("0.5")} as median, {_interpolated("0.75")} as q3
+               from (select provider_id, cast(paid_amount * 100 as bigint) as cents, count(*) over (partition by provider_id) as n,
+                       row_number() over (partition by provider_id order by paid_amount) - 1 as r
+                     from visits where provider_id is not null) group by provider_id)) b on b.provider_id = s.provider_id
+       group by s.provider_id, b.q1, b.median, b.q3)""",
+)
 expect("report_gaps_with_tier", "tiered_gaps", f"{_GAP} t:risk_tier")
 expect(
     "report_gap_kpis",

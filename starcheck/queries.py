@@ -12,7 +12,9 @@ from cohortry.functions.codes import code_in, code_in_range, condition_flag
 from cohortry.operators import claims, codes, conditions, gaps, providers, quality, reports, risk
 from cohortry.plans.datasets import Datasets
 from cohortry.schemas import CONDITIONS, RAW_TABLES
-from cohortry.session import configure, materialize, owned, scratch_path
+from cohortry.session import configure, delete_scratch, materialize, owned, scratch_path
+from cohortry.sources.footers import stored_counts, stored_freshness
+from cohortry.sources.published import publish
 from cohortry.sources.readers import StoredMarts, read_rejected, read_table
 from cohortry.sources.writers import load_csv, write_mart
 from cohortry.vocabulary import SERVICE_CODES
@@ -452,6 +454,21 @@ def dq_freshness(d: Datasets) -> DataFrame:
     )
 
 
+@registered
+def dq_stored_freshness(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Freshness and row counts of published tables, from their footers and manifests."""
+    d, folder = bind.datasets(spark, sf_dir), scratch_path(spark, "stored")
+    publish(d.stg_encounters, f"{folder}/stg_encounters", "service_year")
+    publish(d.stg_procedures, f"{folder}/stg_procedures")
+    fresh = stored_freshness(spark, f"{folder}/stg_encounters", "stg_encounters", "service_date", AS_OF).unionByName(
+        stored_freshness(spark, f"{folder}/stg_procedures", "stg_procedures", "procedure_date", AS_OF, max_days=60)
+    )
+    counts = stored_counts(spark, {name: f"{folder}/{name}" for name in ("stg_encounters", "stg_procedures")})
+    done = fresh.join(F.broadcast(counts), "table_name")  # two rows
+    delete_scratch(spark, folder)
+    return done
+
+
 @dataset
 def dq_schema_contract(d: Datasets) -> DataFrame:
     raw = d.raw.as_dict()
@@ -506,6 +523,11 @@ def _gaps_with_tier(d: Datasets) -> DataFrame:
     return reports.report_gaps_with_tier(d.shared_gaps, d.shared_profile, YEAR)
 
 
+@dataset
+def report_claim_cost_box(d: Datasets) -> DataFrame:
+    return reports.report_claim_cost_box(d.stg_encounters)
+
+
 @dataset
 def report_gaps_with_tier(d: Datasets) -> DataFrame:
     return _gaps_with_tier(d)
