@@ -16,6 +16,8 @@ from pyspark.sql import functions as F
 
 BATCH_ROWS = 500
 """Texts handed to a Python worker at once; bounds its memory."""
+HASH_BYTES = 1 << 20
+"""Text hashed at once: the work arrays are eight times as large."""
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
@@ -31,6 +33,12 @@ def labels_of(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/labels.parquet")
 
 
+def shielded(documents: DataFrame, *used: str) -> tuple[DataFrame, Callable[[DataFrame], DataFrame]]:
+    """``documents`` with all columns but the ``used`` ones renamed out of the way of an operator's own, and the way back."""
+    names = {c: f"_own_{k}" for k, c in enumerate(documents.columns) if c not in used}
+    return documents.withColumnsRenamed(names), lambda df: df.withColumnsRenamed({own: c for c, own in names.items()})
+
+
 def small_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
     """Keep the Arrow batches of text small, whatever the session says."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
@@ -104,11 +112,19 @@ class Texts:
         """A 64-bit hash of each word's bytes: a polynomial over them, scrambled."""
         base = pow(0x9E3779B97F4A7C15 + 2 * seed, 1, 1 << 64) | 1
         inverse = pow(base, -1, 1 << 64)
-        size = len(self.bytes)
-        total = np.empty(size + 1, dtype=np.uint64)
-        total[0] = 0
-        np.cumsum((self.bytes.astype(np.uint64) + np.uint64(1)) * _powers(base, size), dtype=np.uint64, out=total[1:])
-        value = (total[self.word_end] - total[self.word_start]) * _powers(inverse, size)[self.word_start]
+        value = np.empty(len(self.word_start), dtype=np.uint64)
+        low = 0
+        while low < len(value):  # words of about HASH_BYTES at a time
+            begin = self.word_start[low]
+            high = max(low + 1, int(np.searchsorted(self.word_end, begin + HASH_BYTES, side="right")))
+            part = self.bytes[begin : self.word_end[high - 1]].astype(np.uint64)
+            total = np.zeros(len(part) + 1, dtype=np.uint64)
+            part += np.uint64(1)
+            part *= _powers(base, len(part))
+            np.cumsum(part, out=total[1:])
+            start, end = self.word_start[low:high] - begin, self.word_end[low:high] - begin
+            value[low:high] = (total[end] - total[start]) * _powers(inverse, len(part))[start]
+            low = high
         return mix64(value + np.uint64(seed))
 
     def window_hash(self, words: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
@@ -165,8 +181,9 @@ def distinct_grams(texts: Texts, spans: tuple[int, ...], size: int, lower: bool)
     inside = np.arange(len(owner)) - np.repeat(np.cumsum(length) - length, length)
     inner = texts.bytes[start[owner] + inside]
     plain[begin[owner] + inside] = _LOWER[inner] if lower else inner
+    del owner, inside, inner
     space = plain == 32
-    at = np.cumsum(space) - 1
+    at = np.cumsum(space, dtype=np.int32) - 1
     wide = plain.astype(np.uint64)
     buckets, words = [], []
     for span in spans:
@@ -176,7 +193,8 @@ def distinct_grams(texts: Texts, spans: tuple[int, ...], size: int, lower: bool)
         value = np.zeros(count, dtype=np.uint64)
         inner = np.zeros(count, dtype=bool)
         for k in range(span):
-            value = value * np.uint64(257) + wide[k : count + k]
+            value *= np.uint64(257)
+            value += wide[k : count + k]
             if 0 < k < span - 1:
                 inner |= space[k : count + k]
         here = np.flatnonzero(~inner)

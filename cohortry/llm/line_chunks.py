@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortry.llm.base import documents_of
+from cohortry.llm.base import documents_of, shielded
 from cohortry.session import materialize
 
 CUT_DIGITS = "0123"
@@ -81,7 +81,7 @@ def dedup_lines(documents: DataFrame) -> DataFrame:
     rows equal in id and text are treated alike and do not count as repeats of one another, an empty table
     gives no rows. Input columns of the new names are replaced.
     """
-    documents = documents.drop("n_lines", "n_removed")
+    documents, restored = shielded(documents.drop("n_lines", "n_removed"), "doc_id", "text")
     removed = materialize(repeated_chunks(documents), "removed-chunks").select(F.col("doc_id").alias("_doc_id"), F.col("text_key").alias("_key"), "removed")
     # Documents are dealt out by id at every size; a broadcast of the list would only fit small corpora.
     joined = documents.withColumn("_text_key", F.xxhash64("text")).join(
@@ -94,7 +94,7 @@ def dedup_lines(documents: DataFrame) -> DataFrame:
     text = F.when(F.col("removed").isNull(), F.col("text")).otherwise(F.array_join(kept, "\n"))
     own = [text.alias(c) if c == "text" else F.col(c) for c in documents.columns]
     n_lines = F.when(F.col("text").isNull(), 0).otherwise(F.col("_n_lines")).cast("long").alias("n_lines")
-    return cut.select(*own, n_lines, F.when(F.col("removed").isNull(), 0).otherwise(lines_gone).cast("long").alias("n_removed"))
+    return restored(cut.select(*own, n_lines, F.when(F.col("removed").isNull(), 0).otherwise(lines_gone).cast("long").alias("n_removed")))
 
 
 def _runs(documents: DataFrame) -> DataFrame:
@@ -137,9 +137,13 @@ def repeated_runs(documents: DataFrame) -> DataFrame:
     often = runs.groupBy("run_hash").agg(F.count(F.lit(1)).alias("many")).where("many > 1").select("run_hash")
     often = materialize(often, "run-hashes")
     wanted = runs.join(often, "run_hash").groupBy("doc_id", "text_key").agg(F.collect_set(F.struct("at", "n", "run_hash")).alias("wanted"))
-    wanted = wanted.withColumnsRenamed({"doc_id": "_doc_id", "text_key": "_key"})
-    keyed = documents.select("doc_id", "text", F.xxhash64("text").alias("text_key")).dropDuplicates(["doc_id", "text"])
-    joined = keyed.join(wanted.hint("merge"), F.col("doc_id").eqNullSafe(F.col("_doc_id")) & (F.col("text_key") == F.col("_key")))
+    # The texts are reduced to one per document and joined by the same columns, hence shuffled once. (No id is as small as the one
+    # that stands for null, and if one were, the text's key would tell the two apart.)
+    with_id = F.coalesce("doc_id", F.lit(-(1 << 63))).alias("_id")
+    wanted = wanted.select(with_id, "text_key", "wanted")
+    keyed = documents.select(with_id, F.xxhash64("text").alias("text_key"), "doc_id", "text").groupBy("_id", "text_key")
+    keyed = keyed.agg(F.first("doc_id").alias("doc_id"), F.first("text").alias("text"))
+    joined = keyed.join(wanted.hint("merge"), ["_id", "text_key"])
     split = joined.select("doc_id", "text_key", "wanted", F.explode(F.array(F.split("text", "\n", -1))).alias("lines"))
 
     def text_of(w):
@@ -161,6 +165,7 @@ def dedup_document_lines(documents: DataFrame) -> DataFrame:
     has that chunk. The line stands there too, so the earliest place of every line keeps it. Null texts stay null, a text of
     which every line goes becomes empty, rows equal in id and text are treated alike.
     """
+    documents, restored = shielded(documents, "doc_id", "text", "n_chars")
     runs = materialize(repeated_runs(documents), "removed-runs").select(F.col("doc_id").alias("_doc_id"), F.col("text_key").alias("_key"), "runs")
     # Documents are dealt out by id at every size; a broadcast of the list would only fit small corpora.
     joined = documents.withColumn("_text_key", F.xxhash64("text")).join(
@@ -171,7 +176,7 @@ def dedup_document_lines(documents: DataFrame) -> DataFrame:
     kept = F.array_except(F.sequence(F.lit(0), F.size("_lines") - 1), gone)
     text = F.when(F.col("runs").isNull(), F.col("text")).otherwise(F.array_join(F.transform(kept, lambda i: F.get("_lines", i)), "\n"))
     done = cut.select(*(text.alias(c) if c == "text" else F.col(c) for c in documents.columns))
-    return done.withColumn("n_chars", F.length("text").cast("long")) if "n_chars" in done.columns else done
+    return restored(done.withColumn("n_chars", F.length("text").cast("long")) if "n_chars" in done.columns else done)
 
 
 def op10_line_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from cohortry.llm.base import documents_of
+from cohortry.llm.base import documents_of, shielded
 from cohortry.session import materialize
 
 SHARE = 1.5
@@ -139,10 +139,11 @@ def mix_sources(documents: DataFrame, share: float = SHARE, weights: tuple[float
 
 
 def take_mix(documents: DataFrame) -> DataFrame:
-    """The rows of the mix: each document as often as it is taken, with its own columns."""
-    mixed = mix_sources(documents)
+    """The rows of the mix: each document as often as it is taken, with its own columns, whatever their names."""
+    inner, restored = shielded(documents, "doc_id", "text", "source")
+    mixed = mix_sources(inner)
     repeated = mixed.where("copies > 0").withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("copies"))))
-    return repeated.select(*documents.columns)
+    return restored(repeated.select(*inner.columns))
 
 
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -178,7 +178,7 @@ def packed(texts: DataFrame) -> DataFrame:
     """(doc_id, text_key, packed): texts compressed before they are shuffled."""
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-        press = zstandard.ZstdCompressor(level=6)
+        press = zstandard.ZstdCompressor(level=10)
         small = [press.compress(t) for t in batch.column("text").cast(pa.binary()).to_pylist()]
         return pa.RecordBatch.from_arrays([*(batch.column(c) for c in _ID), pa.array(small, pa.binary())], names=[*_ID, "packed"])
 

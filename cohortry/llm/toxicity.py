@@ -25,6 +25,7 @@ from cohortry.llm.base import (
     labelled_texts,
     labels_of,
     map_batches,
+    shielded,
     sigmoid,
     small_batches,
 )
@@ -56,6 +57,15 @@ def _worst(logit: np.ndarray, owner: np.ndarray, n: int, empty: float) -> np.nda
     return np.where(np.isinf(found), empty, found)
 
 
+def _sums(target: np.ndarray, values: np.ndarray, source: np.ndarray, size: int) -> np.ndarray:
+    """``values[source]`` added up by ``target``, some n-grams at a time."""
+    total = np.zeros(size)
+    for low in range(0, len(target), 1 << 20):
+        part = slice(low, low + (1 << 20))
+        total += np.bincount(target[part], values[source[part]], size)
+    return total
+
+
 class Model:
     """After training only each bucket's logit is left: the softmax is linear in the embeddings."""
 
@@ -82,7 +92,6 @@ def train(texts: Texts, label: np.ndarray, seed: int = 5) -> Model:
     first, end, owner = _passages(texts)
     if not len(owner) or len(np.unique(label)) < 2:
         return Model(np.zeros(BUCKETS), 0.0)
-    part = 1.0 / many[word]
     embed = rng.normal(0, 0.1, (BUCKETS, SIZE))
     soft = rng.normal(0, 0.5, (SIZE, 2))
     bias = np.zeros(2)
@@ -92,7 +101,7 @@ def train(texts: Texts, label: np.ndarray, seed: int = 5) -> Model:
     floor = None
     for step in range(1, EPOCHS + 1):
         way = soft[:, 1] - soft[:, 0]
-        value = np.bincount(word, part * (embed @ way)[bucket], len(many))
+        value = _sums(word, embed @ way, bucket, len(many)) / many
         total = np.concatenate(([0.0], np.cumsum(value[number])))
         logit = (total[end] - total[first]) / PASSAGE + bias[1] - bias[0]
         p = sigmoid(logit)
@@ -103,17 +112,22 @@ def train(texts: Texts, label: np.ndarray, seed: int = 5) -> Model:
         # A word takes part in every passage over it.
         change = np.bincount(first, error, len(number) + 1) - np.bincount(end, error, len(number) + 1)
         of_word = np.bincount(number, np.cumsum(change)[:-1] / PASSAGE, len(many))
-        pull = np.bincount(bucket, part * of_word[word], BUCKETS)
+        pull = _sums(bucket, of_word / many, word, BUCKETS)
         toward = pull @ embed
-        grads = (np.outer(pull, way), np.stack((-toward, toward), axis=1), np.array([-error.sum(), error.sum()]))
         # n-grams seen seldom have small gradients; a floor under Adam's divisor keeps their steps small as well.
-        floor = floor or (FLOOR * float(np.abs(grads[0]).max()), 1e-8, 1e-8)
-        for k, (value, grad) in enumerate(zip((embed, soft, bias), grads, strict=True)):
-            m, v = state[2 * k], state[2 * k + 1]
+        floor = floor or FLOOR * float(np.abs(pull).max() * np.abs(way).max())
+
+        def move(value: np.ndarray, m: np.ndarray, v: np.ndarray, grad: np.ndarray, rate: float, least: float) -> None:
             m += 0.1 * (grad - m)
             v += 0.01 * (grad * grad - v)
             value *= 1 - DECAY
-            value -= RATES[k] * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.99**step)) + floor[k])
+            value -= rate * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.99**step)) + least)
+
+        for low in range(0, BUCKETS, 1 << 14):  # some embeddings at a time, so that the work arrays stay small
+            rows = slice(low, low + (1 << 14))
+            move(embed[rows], state[0][rows], state[1][rows], np.outer(pull[rows], way), RATES[0], floor)
+        move(soft, state[2], state[3], np.stack((-toward, toward), axis=1), RATES[1], 1e-8)
+        move(bias, state[4], state[5], np.array([-error.sum(), error.sum()]), RATES[2], 1e-8)
     way = soft[:, 1] - soft[:, 0]
     return Model(embed @ way, float(bias[1] - bias[0]))
 
@@ -158,9 +172,15 @@ def score_toxicity(documents: DataFrame, labels: DataFrame, per_class: int = PER
 
 
 def keep_civil(documents: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """The rows of ``documents`` that are not toxic, with their own columns."""
-    scored = score_toxicity(documents, labels)
-    return scored.where(F.col("toxic_score") < threshold).drop("toxic_score")
+    """The rows of ``documents`` that are not toxic, with their own columns, whatever their names.
+
+    Without labels of both classes nothing can be told apart, and every row stays.
+    """
+    if not all(class_shares(labels, "toxic")):
+        return documents
+    inner, restored = shielded(documents, "doc_id", "text")
+    scored = score_toxicity(inner, labels)
+    return restored(scored.where(F.col("toxic_score") < threshold).drop("toxic_score"))
 
 
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from cohortry.llm import learned_partitions, line_chunks, mixing, near_duplicates, packing, queries, recompression
+from cohortry.llm import learned_partitions, line_chunks, mixing, near_duplicates, packing, queries, recompression, toxicity
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -369,3 +369,23 @@ def test_pipeline(spark, sf):
     packed = corpus_pipeline.run(spark, sf).collect()
     assert {r["doc_id"] for r in packed} == {r["doc_id"] for r in docs.collect()}
     assert Counter(r["doc_id"] for r in packed if r["start"] == 0) == Counter(r["doc_id"] for r in docs.collect())
+
+
+def test_stages_keep_columns_of_any_name(spark, corpus):
+    names = ["runs", "removed", "draw", "size", "_class", "toxic_score", "copies", "_row", "_key", "labels"]
+    rows = [(i, t, "en", s, len(t or ""), *(f"{n} {i}" for n in names)) for i, t, _, s in _distinct(corpus)]
+    schema = "doc_id long, text string, lang string, source string, n_chars long, " + ", ".join(f"`{n}` string" for n in names)
+    docs = spark.createDataFrame(rows, schema).repartition(3)
+    labels = spark.createDataFrame([(i, 1, int(i % 2)) for i in range(60)], "doc_id long, quality int, toxic int")
+    for stage in (lambda d: toxicity.keep_civil(d, labels), line_chunks.dedup_document_lines, near_duplicates.keep_one_of_each, mixing.take_mix):
+        done = stage(docs)
+        assert done.columns == docs.columns
+        for r in done.collect():
+            assert all(r[n] == f"{n} {r['doc_id']}" for n in names)
+    assert line_chunks.dedup_lines(docs).columns == [*docs.columns, "n_lines", "n_removed"]
+
+
+def test_nothing_is_toxic_without_labels_of_both_classes(spark, documents, corpus):
+    one = spark.createDataFrame([(1, 1, 1)], "doc_id long, quality int, toxic int")
+    for labels in (one, one.limit(0)):
+        assert toxicity.keep_civil(documents, labels).count() == len(corpus)
