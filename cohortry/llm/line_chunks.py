@@ -1,124 +1,90 @@
 """Line dedup: content-defined chunks of lines, of which global repeats are removed after byte comparison.
 
-A text is cut after a line wherever a rolling hash over that line's and the previous line's hash falls into one of four
-classes of sixteen, so chunk boundaries depend on nearby lines only and survive insertions elsewhere: four lines a
-chunk on average. A chunk counts as multi-line if at least two of its lines hold a word. Of equal multi-line chunks the
-one in the document with the smallest id (then the earliest in it) stays; all others are removed, line breaks included.
-
-One set of boundaries leaves most short passages in place that two otherwise different documents share, since their edges
-rarely fall on cuts. ``dedup_document_lines`` therefore cuts every text ``SETS`` times. There a cut hangs on one line's own hash,
-after the line by its 'end' hash or before it by its 'start' hash, and a line goes if a repeated multi-line chunk of any set
-covers it.
-
-Only DataFrame functions are used. Hashes find the repeated chunks; only those carry their text on, and grouping by that
-text is the byte comparison.
+A text is cut into chunks of lines ``SETS`` times. In each boundary set a cut hangs on the hash of one line alone, after the
+line by its 'end' digit or before it by its 'start' digit, so boundaries survive any change elsewhere and the edges of a
+passage are found whatever surrounds it. A chunk counts as multi-line if at least two of its lines hold a word. A line
+goes if a multi-line chunk of any set covers it that also stands at an earlier place (smaller document id, or earlier in
+the document). The line stands there too, so the earliest place of every line keeps it.
+
+A chunk can only repeat if each of its lines does. So single lines are counted first, and from then on documents are what is
+left of them: their repeated lines, each with its neighbours' hashes, which tell where chunks start and end.
+Hashes find the repeated chunks; those alone fetch their text, and grouping by that text is the byte comparison.
+Only DataFrame functions are used.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cohortry.llm.base import documents_of, shielded
 from cohortry.session import materialize
 
-CUT_DIGITS = "0123"
-"""A cut follows where the first hex digit of the rolling hash is one of these."""
-SETS, CUT_SHARE = 16, 3
-"""Boundary sets of ``dedup_document_lines``; one in ``CUT_SHARE`` lines ends a chunk, and one in as many starts one."""
+SETS = 16
+"""Boundary sets, at most 16: each has two digits of a line's hash of its own."""
+CUT_DIGIT = "4"
+"""A line starts (or ends) a chunk of a set where its digit is not above this: five of sixteen."""
 _IN_WORD = "[^\\x20\\x09-\\x0D]"
 
 
-def _with_chunks(documents: DataFrame) -> DataFrame:
-    """``documents`` with ``_chunks``, the texts of its chunks in order."""
-    # Lambdas read nothing but their arguments: Spark may inline another column, and compute it anew for each element.
-    lines = F.split("text", "\n", -1)
-    hashes = F.transform(lines, lambda x: F.md5(x.cast("binary")))
-    nothing = F.lit(None).cast("string")
-    # Beside each line the hashes of the two before it, which tell whether a chunk starts here.
-    starts = F.zip_with(
-        F.concat(F.array(nothing), hashes),
-        F.concat(F.array(nothing, nothing), hashes),
-        lambda last, before: F.substring(F.md5(F.concat(F.coalesce(before, F.lit("")), last).cast("binary")), 1, 1).isin(*CUT_DIGITS),
+def _line_hash(line: Column) -> Column:
+    return F.conv(F.substring(F.md5(line.cast("binary")), 1, 15), 16, 10).cast("long")
+
+
+def _lines(documents: DataFrame) -> DataFrame:
+    """(doc_id, text_key, pos, hash, last, next, worded): every line with the hashes of the lines around it."""
+    split = F.transform(F.split("text", "\n", -1), lambda x: F.struct(_line_hash(x).alias("hash"), x.rlike(_IN_WORD).alias("worded")))
+    # Behind a generator the parts are a column that lambdas read, not an expression computed anew for each element.
+    rows = documents.select("doc_id", F.xxhash64("text").alias("text_key"), F.explode(F.array(split)).alias("parts"))
+    near = F.transform(
+        "parts",
+        lambda p, i: F.struct(p["hash"].alias("hash"), F.get("parts", i - 1)["hash"].alias("last"), F.get("parts", i + 1)["hash"].alias("next"), p["worded"].alias("worded")),
     )
-    # Every line gets a first character, and the first line of a chunk an empty line before it: empty lines mark chunks and
-    # nothing else, and the chunks fall out of one split, in time that grows with the text however many lines it has.
-    # (Places after the last line are null and left out.)
-    marked = F.zip_with(lines, starts, lambda x, start: F.concat(F.when(start, "\n").otherwise(""), F.lit("x"), x))
-    parts = F.split(F.array_join(marked, "\n"), "\n\n", -1)
-    chunks = F.transform(parts, lambda c: F.substr(F.replace(c, F.lit("\nx"), F.lit("\n")), F.lit(2)))
-    return documents.withColumn("_chunks", chunks).withColumn("_n_lines", F.size(lines))
+    return rows.select("doc_id", "text_key", F.posexplode(near).alias("pos", "line")).select("doc_id", "text_key", "pos", "line.*")
 
 
-def _exploded(documents: DataFrame) -> DataFrame:
-    """(doc_id, text_key, pos, chunk_hash, chunk) of every multi-line chunk; equal rows are one document."""
-    keyed = documents.select("doc_id", "text").withColumn("text_key", F.xxhash64("text"))
-    rows = _with_chunks(keyed).select("doc_id", "text_key", F.posexplode("_chunks").alias("pos", "chunk"))
-    worded = F.filter(F.split("chunk", "\n", -1), lambda x: x.rlike(_IN_WORD))
-    return rows.where(F.contains("chunk", F.lit("\n")) & (F.size(worded) > 1)).withColumn("chunk_hash", F.xxhash64("chunk"))
+def _repeated_lines(documents: DataFrame) -> DataFrame:
+    """(doc_id, text_key, parts): per document its lines that stand in more than one place, in order; wordless lines always stay."""
+    lines = _lines(documents)
+    often = lines.where("worded").groupBy("hash").agg(F.count(F.lit(1)).alias("many")).where("many > 1").select("hash")
+    often = materialize(often, "line-hashes")
+    found = lines.where("worded").join(often, "hash").select(*lines.columns).unionByName(lines.where("NOT worded"))
+    # Rows equal in id and text are one document, hence a set.
+    parts = F.collect_set(F.struct("pos", "hash", "last", "next", "worded"))
+    grouped = found.groupBy("doc_id", "text_key").agg(F.sort_array(parts).alias("parts"), F.count_if("worded").alias("n_worded"))
+    return grouped.where("n_worded > 1").drop("n_worded")
 
 
-def repeated_chunks(documents: DataFrame) -> DataFrame:
-    """(doc_id, text_key, removed): per document the positions of the chunks that an earlier document or place has.
+def _runs(parts: DataFrame) -> DataFrame:
+    """(doc_id, text_key, at, n, run_hash): the multi-line chunks of all boundary sets that have repeated lines only, each place once.
 
-    Rows that are equal in id and text count as one document; a null id comes before all others.
+    ``at`` is the first of ``n`` lines.
     """
-    occurrences = _exploded(documents)
-    often = occurrences.groupBy("chunk_hash").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("chunk_hash")
-    often = materialize(often, "chunk-hashes")
-    repeated = occurrences.join(often, "chunk_hash").select("chunk_hash", "chunk", F.struct("doc_id", "text_key", "pos").alias("place"))
-    repeated = materialize(repeated, "chunks")
-    # Grouped by the text itself: chunks of one hash but other bytes stay apart.
-    first = repeated.groupBy("chunk_hash", "chunk").agg(F.min("place").alias("first"))
-    later = repeated.join(first, ["chunk_hash", "chunk"]).where(F.col("place") != F.col("first"))
-    return later.groupBy("place.doc_id", "place.text_key").agg(F.collect_set("place.pos").alias("removed"))
 
+    def digits(h):
+        return F.md5(h.cast("string").cast("binary"))
 
-def dedup_lines(documents: DataFrame) -> DataFrame:
-    """``documents`` with ``text`` less its repeated chunks, and ``n_lines`` and ``n_removed`` (lines) after its columns.
+    known = F.transform("parts", lambda p: F.struct(p.alias("p"), digits(p["hash"]).alias("own"), digits(p["last"]).alias("last"), digits(p["next"]).alias("next")))
+    rows = parts.select("doc_id", "text_key", F.explode(F.array(known)).alias("lines"))
 
-    Null texts stay null (0 lines), an empty text is one line without a word, a text whose chunks all repeat becomes empty,
-    rows equal in id and text are treated alike and do not count as repeats of one another, an empty table
-    gives no rows. Input columns of the new names are replaced.
-    """
-    documents, restored = shielded(documents.drop("n_lines", "n_removed"), "doc_id", "text")
-    removed = materialize(repeated_chunks(documents), "removed-chunks").select(F.col("doc_id").alias("_doc_id"), F.col("text_key").alias("_key"), "removed")
-    # Documents are dealt out by id at every size; a broadcast of the list would only fit small corpora.
-    joined = documents.withColumn("_text_key", F.xxhash64("text")).join(
-        removed.hint("merge"), F.col("doc_id").eqNullSafe(F.col("_doc_id")) & (F.col("_text_key") == F.col("_key")), "left"
-    )
-    cut = _with_chunks(joined)
-    kept = F.filter("_chunks", lambda c, k: ~F.array_contains(F.col("removed"), k))
-    gone = F.filter("_chunks", lambda c, k: F.array_contains(F.col("removed"), k))
-    lines_gone = F.aggregate(gone, F.lit(0), lambda n, c: n + F.size(F.split(c, "\n", -1)))
-    text = F.when(F.col("removed").isNull(), F.col("text")).otherwise(F.array_join(kept, "\n"))
-    own = [text.alias(c) if c == "text" else F.col(c) for c in documents.columns]
-    n_lines = F.when(F.col("text").isNull(), 0).otherwise(F.col("_n_lines")).cast("long").alias("n_lines")
-    return restored(cut.select(*own, n_lines, F.when(F.col("removed").isNull(), 0).otherwise(lines_gone).cast("long").alias("n_removed")))
-
-
-def _runs(documents: DataFrame) -> DataFrame:
-    """(doc_id, text_key, at, n, run_hash): the multi-line chunks of all boundary sets, each place once; ``at`` is the first of ``n`` lines."""
-    lines = F.split("text", "\n", -1)
-    hashes = F.transform(lines, lambda x: F.xxhash64(x))
-    before = F.concat(F.array(F.lit(None).cast("long")), F.transform(F.split("text", "\n", -1), lambda x: F.xxhash64(x)))
-    tokens = F.transform(lines, lambda x, i: F.concat(i.cast("string"), F.when(x.rlike(_IN_WORD), ":w").otherwise(":b"), F.xxhash64(x).cast("string")))
-    # (The place after the last line has no token.)
-    parts = F.filter(F.arrays_zip(tokens.alias("token"), hashes.alias("own"), before.alias("last")), lambda p: p["token"].isNotNull())
-    # Behind a generator the parts are a column that lambdas read, not an expression computed anew for each element.
-    rows = documents.select("doc_id", F.xxhash64("text").alias("text_key"), F.explode(F.array(parts)).alias("parts"))
+    def low(digest, at):
+        return F.substring(digest, at, 1) <= CUT_DIGIT
 
-    def cut(p, k):
-        starts = F.pmod(F.xxhash64(p["own"], k), F.lit(CUT_SHARE)) == 0
-        return starts | F.coalesce(F.pmod(F.xxhash64(p["last"], k + SETS), F.lit(CUT_SHARE)) == 0, F.lit(False))
+    def token(k):
+        def of_line(x, i):
+            starts = x["last"].isNull() | low(x["own"], k + 1) | low(x["last"], k + 17)
+            ends = x["next"].isNull() | low(x["next"], k + 1) | low(x["own"], k + 17)
+            gap = F.coalesce(F.get("lines", i - 1)["p"]["pos"] != x["p"]["pos"] - 1, F.lit(False))
+            mark = F.when(starts, "\nS").when(gap, "\n").otherwise("")
+            line = F.concat(x["p"]["pos"].cast("string"), F.when(x["p"]["worded"], ":w").otherwise(":b"), x["p"]["hash"].cast("string"))
+            return F.concat(mark, line, F.when(ends, "E ").otherwise(" "))
 
-    def chunks(k):
-        return F.split(F.array_join(F.transform("parts", lambda p: F.concat(F.when(cut(p, k), "\n").otherwise(""), p["token"])), " "), "\n", -1)
+        return of_line
 
-    every = F.flatten(F.transform(F.sequence(F.lit(0), F.lit(SETS - 1)), chunks))
-    multi = F.filter(every, lambda c: F.length(c) - F.length(F.replace(c, F.lit("w"), F.lit(""))) > 1)
-    single = F.array_distinct(F.transform(multi, lambda c: F.trim(c)))
-    found = rows.select("doc_id", "text_key", F.explode(single).alias("run"))
+    # A chunk is whole where it begins with the line that starts it and ends with the one that ends it.
+    every = F.flatten(F.array(*(F.split(F.array_join(F.transform("lines", token(k)), ""), "\n", -1) for k in range(SETS))))
+    whole = F.filter(every, lambda c: c.startswith("S") & c.endswith("E ") & (F.length(c) - F.length(F.replace(c, F.lit("w"), F.lit(""))) > 1))
+    found = rows.select("doc_id", "text_key", F.explode(F.array_distinct(F.transform(whole, lambda c: F.translate(c, "SE", "")))).alias("run"))
     return found.select(
         "doc_id",
         "text_key",
@@ -133,7 +99,7 @@ def repeated_runs(documents: DataFrame) -> DataFrame:
 
     Rows that are equal in id and text count as one document; a null id comes before all others.
     """
-    runs = _runs(documents)
+    runs = _runs(materialize(_repeated_lines(documents), "repeated-lines"))
     often = runs.groupBy("run_hash").agg(F.count(F.lit(1)).alias("many")).where("many > 1").select("run_hash")
     often = materialize(often, "run-hashes")
     wanted = runs.join(often, "run_hash").groupBy("doc_id", "text_key").agg(F.collect_set(F.struct("at", "n", "run_hash")).alias("wanted"))
@@ -158,14 +124,14 @@ def repeated_runs(documents: DataFrame) -> DataFrame:
     return later.groupBy("place.doc_id", "place.text_key").agg(F.collect_set(F.struct("place.at", "place.n")).alias("runs"))
 
 
-def dedup_document_lines(documents: DataFrame) -> DataFrame:
-    """The rows and columns of ``documents``, with shortened texts and ``n_chars`` to match.
+def dedup_lines(documents: DataFrame) -> DataFrame:
+    """``documents`` with shortened texts, and ``n_lines`` (of the whole text) and ``n_removed`` (lines) after its columns.
 
-    A line goes if a multi-line chunk of any of the ``SETS`` boundary sets covers it and an earlier document or place
-    has that chunk. The line stands there too, so the earliest place of every line keeps it. Null texts stay null, a text of
-    which every line goes becomes empty, rows equal in id and text are treated alike.
+    Null texts stay null (0 lines), an empty text is one line without a word, a text of which every line goes becomes empty,
+    rows equal in id and text are treated alike and do not count as repeats of one another, an empty table gives no
+    rows, a text's work grows with its lines. Input columns of the new names are replaced.
     """
-    documents, restored = shielded(documents, "doc_id", "text", "n_chars")
+    documents, restored = shielded(documents.drop("n_lines", "n_removed"), "doc_id", "text")
     runs = materialize(repeated_runs(documents), "removed-runs").select(F.col("doc_id").alias("_doc_id"), F.col("text_key").alias("_key"), "runs")
     # Documents are dealt out by id at every size; a broadcast of the list would only fit small corpora.
     joined = documents.withColumn("_text_key", F.xxhash64("text")).join(
@@ -173,9 +139,18 @@ def dedup_document_lines(documents: DataFrame) -> DataFrame:
     )
     cut = joined.withColumn("_lines", F.explode(F.array(F.split("text", "\n", -1))))
     gone = F.flatten(F.transform("runs", lambda r: F.sequence(r["at"], r["at"] + r["n"] - 1)))
-    kept = F.array_except(F.sequence(F.lit(0), F.size("_lines") - 1), gone)
-    text = F.when(F.col("runs").isNull(), F.col("text")).otherwise(F.array_join(F.transform(kept, lambda i: F.get("_lines", i)), "\n"))
-    done = cut.select(*(text.alias(c) if c == "text" else F.col(c) for c in documents.columns))
+    kept = cut.withColumn("_kept", F.explode(F.array(F.array_except(F.sequence(F.lit(0), F.size("_lines") - 1), gone))))
+    text = F.when(F.col("runs").isNull(), F.col("text")).otherwise(F.array_join(F.transform("_kept", lambda i: F.get("_lines", i)), "\n"))
+    own = [text.alias(c) if c == "text" else F.col(c) for c in documents.columns]
+    n_lines = F.when(F.col("text").isNull(), 0).otherwise(F.size("_lines")).cast("long")
+    n_removed = F.when(F.col("runs").isNull(), 0).otherwise(F.size("_lines") - F.size("_kept")).cast("long")
+    return restored(kept.select(*own, n_lines.alias("n_lines"), n_removed.alias("n_removed")))
+
+
+def dedup_document_lines(documents: DataFrame) -> DataFrame:
+    """The rows and columns of ``documents``, with the texts of ``dedup_lines`` and ``n_chars`` to match."""
+    inner, restored = shielded(documents, "doc_id", "text", "n_chars")
+    done = dedup_lines(inner).drop("n_lines", "n_removed")
     return restored(done.withColumn("n_chars", F.length("text").cast("long")) if "n_chars" in done.columns else done)
 
 
@@ -183,19 +158,24 @@ def op10_line_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup_lines(documents_of(spark, sf_dir).select("doc_id", "text"))
 
 
-OP10_SQL = """
+OP10_SQL = f"""
 WITH lines AS (
   SELECT doc_id, unnest(string_split(text, chr(10))) AS line, unnest(range(len(string_split(text, chr(10))))) AS i FROM documents),
-hashed AS (SELECT *, md5(line) AS h FROM lines),
-marked AS (SELECT *, left(md5(coalesce(lag(h) OVER (PARTITION BY doc_id ORDER BY i), '') || h), 1) IN ('0', '1', '2', '3') AS cut FROM hashed),
-placed AS (
-  SELECT *, coalesce(sum(cut::INT) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS pos FROM marked),
+hashed AS (SELECT *, md5((('0x' || substr(md5(line), 1, 15))::BIGINT)::VARCHAR) AS own FROM lines),
+beside AS (SELECT *, lag(own) OVER (PARTITION BY doc_id ORDER BY i) AS last FROM hashed),
+marked AS (
+  SELECT b.*, k, substr(own, (k + 1)::INT, 1) <= '{CUT_DIGIT}' OR coalesce(substr(last, (k + 17)::INT, 1) <= '{CUT_DIGIT}', false) AS cut
+  FROM beside b, range({SETS}) AS sets(k)),
+placed AS (SELECT *, sum(cut::INT) OVER (PARTITION BY doc_id, k ORDER BY i) AS pos FROM marked),
 chunks AS (
-  SELECT doc_id, pos, string_agg(line, chr(10) ORDER BY i) AS chunk, count(*) AS n,
-    count(*) FILTER (regexp_matches(line, '[^\\x20\\x09-\\x0D]')) > 1 AS multi
-  FROM placed GROUP BY doc_id, pos),
-ranked AS (SELECT *, multi AND row_number() OVER (PARTITION BY chunk ORDER BY doc_id, pos) > 1 AS gone FROM chunks)
-SELECT d.doc_id, coalesce(string_agg(chunk, chr(10) ORDER BY pos) FILTER (NOT gone), CASE WHEN d.text IS NOT NULL THEN '' END) AS text,
-  coalesce(sum(n), 0)::BIGINT AS n_lines, coalesce(sum(n) FILTER (gone), 0)::BIGINT AS n_removed
-FROM documents d LEFT JOIN ranked r ON d.doc_id = r.doc_id GROUP BY d.doc_id, d.text
+  SELECT DISTINCT doc_id, top, n, chunk FROM (
+    SELECT doc_id, k, pos, min(i) AS top, count(*) AS n, string_agg(line, chr(10) ORDER BY i) AS chunk,
+      count(*) FILTER (regexp_matches(line, '[^\\x20\\x09-\\x0D]')) > 1 AS multi
+    FROM placed GROUP BY doc_id, k, pos) WHERE multi),
+later AS (SELECT *, row_number() OVER (PARTITION BY chunk ORDER BY doc_id, top) > 1 AS gone FROM chunks),
+covered AS (SELECT DISTINCT doc_id, unnest(range(top, top + n)) AS i FROM later WHERE gone),
+kept AS (SELECT l.*, c.i IS NULL AS stays FROM lines l LEFT JOIN covered c ON l.doc_id = c.doc_id AND l.i = c.i)
+SELECT d.doc_id, coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (stays), CASE WHEN d.text IS NOT NULL THEN '' END) AS text,
+  count(k.i) AS n_lines, count(*) FILTER (NOT stays) AS n_removed
+FROM documents d LEFT JOIN kept k ON d.doc_id = k.doc_id GROUP BY d.doc_id, d.text
 """

@@ -157,34 +157,29 @@ def test_components_are_those_of_a_search(spark):
     assert {r["node"]: r["root"] for r in found} == {i: top(i) for i in parent}
 
 
-def _cut(text):
+def _chunks(text):
+    """(first line, lines, chunk) of all boundary sets."""
     digest = lambda s: hashlib.md5(s.encode()).hexdigest()
-    chunks, at, before = [], [], ""
     lines = text.split("\n")
-    for k, line in enumerate(lines):
-        at.append(line)
-        if k == len(lines) - 1 or digest(before + digest(line))[0] in "0123":
-            chunks.append("\n".join(at))
-            at = []
-        before = digest(line)
-    return chunks
+    digits = [digest(str(int(digest(x)[:15], 16))) for x in lines]
+    for k in range(line_chunks.SETS):
+        starts = [i for i in range(len(lines)) if i == 0 or digits[i][k] in "01234" or digits[i - 1][16 + k] in "01234"]
+        for i, j in zip(starts, [*starts[1:], len(lines)]):
+            if sum(bool(WORD.search(x)) for x in lines[i:j]) > 1:
+                yield i, j - i, "\n".join(lines[i:j])
 
 
 def test_line_chunks(documents, corpus):
-    seen, expected = set(), {}
+    first, chunks, expected = {}, {}, {}
     for i, text, *_ in sorted(_distinct(corpus)):
-        if text is None:
-            expected[i] = (None, 0, 0)
-            continue
-        kept, removed = [], 0
-        for chunk in _cut(text):
-            multi = sum(bool(WORD.search(x)) for x in chunk.split("\n")) > 1
-            if multi and chunk in seen:
-                removed += len(chunk.split("\n"))
-            else:
-                kept.append(chunk)
-            seen |= {chunk} if multi else set()
-        expected[i] = ("\n".join(kept), len(text.split("\n")), removed)
+        chunks[i] = set(_chunks(text or ""))
+        for at, _, chunk in chunks[i]:
+            first[chunk] = min(first.get(chunk, (i, at)), (i, at))
+    for i, text, *_ in _distinct(corpus):
+        lines = [] if text is None else text.split("\n")
+        gone = {k for at, n, chunk in chunks[i] if first[chunk] != (i, at) for k in range(at, at + n)}
+        kept = [x for k, x in enumerate(lines) if k not in gone]
+        expected[i] = (None if text is None else "\n".join(kept), len(lines), len(gone))
     rows = line_chunks.dedup_lines(documents).collect()
     assert len(rows) == len(corpus) and sum(r["n_removed"] for r in rows) > 0
     for r in rows:
@@ -192,6 +187,18 @@ def test_line_chunks(documents, corpus):
             assert (r["text"], r["n_lines"], r["n_removed"]) == expected[r["doc_id"]]
 
 
+def test_line_chunks_of_long_texts_and_frequent_lines(spark):
+    long = [f"line {k} of a long text" for k in range(60000)]
+    frequent = ["the same line everywhere", ""]
+    rows = [(1, "\n".join(long)), (2, "\n".join(["other words", *long[20000:50000], "and others"]))]
+    rows += [(10 + i, "\n".join([f"own line {i}", *frequent, f"own line {i} again"])) for i in range(3000)]
+    found = {r["doc_id"]: r for r in line_chunks.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)).collect()}
+    assert found[1]["n_removed"] == 0 and found[1]["n_lines"] == 60000
+    left = found[2]["text"].split("\n")
+    assert left[0] == "other words" and left[-1] == "and others" and len(left) < 20
+    assert all(found[10 + i]["text"] == rows[2 + i][1] for i in range(3000))  # one worded line is no multi-line chunk
+
+
 def test_line_chunks_of_nothing(no_documents):
     done = line_chunks.dedup_document_lines(no_documents)
     assert done.columns == no_documents.columns and done.count() == 0
