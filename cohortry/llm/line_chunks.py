@@ -6,10 +6,10 @@ passage are found whatever surrounds it. A chunk counts as multi-line if at leas
 goes if a multi-line chunk of any set covers it that also stands at an earlier place (smaller document id, or earlier in
 the document). The line stands there too, so the earliest place of every line keeps it.
 
-A chunk can only repeat if each of its lines does. So single lines are counted first, and from then on documents are what is
-left of them: their repeated lines, each with its neighbours' hashes, which tell where chunks start and end.
-Hashes find the repeated chunks; those alone fetch their text, and grouping by that text is the byte comparison.
-Only DataFrame functions are used.
+A chunk can only repeat if each of its lines does. So single lines are counted first, and there the lines of one hash are
+compared byte by byte: where they differ, none of them counts as repeated. From then on a hash stands for its line, and documents
+are what is left of them: their repeated lines, each with its neighbours' hashes, which tell where chunks start and end.
+Chunks are equal if their sequences of lines are. Only DataFrame functions are used.
 """
 
 from __future__ import annotations
@@ -32,33 +32,38 @@ def _line_hash(line: Column) -> Column:
 
 
 def _lines(documents: DataFrame) -> DataFrame:
-    """(doc_id, text_key, pos, hash, last, next, worded): every line with the hashes of the lines around it."""
-    split = F.transform(F.split("text", "\n", -1), lambda x: F.struct(_line_hash(x).alias("hash"), x.rlike(_IN_WORD).alias("worded")))
+    """(doc_id, text_key, pos, hash, last, next, blank): every line with the hashes of the lines around it.
+
+    ``blank`` has the bytes of a line without a word and is null for others.
+    """
+    split = F.transform(F.split("text", "\n", -1), lambda x: F.struct(_line_hash(x).alias("hash"), F.when(~x.rlike(_IN_WORD), F.lower(F.hex(x))).alias("blank")))
     # Behind a generator the parts are a column that lambdas read, not an expression computed anew for each element.
     rows = documents.select("doc_id", F.xxhash64("text").alias("text_key"), F.explode(F.array(split)).alias("parts"))
     near = F.transform(
         "parts",
-        lambda p, i: F.struct(p["hash"].alias("hash"), F.get("parts", i - 1)["hash"].alias("last"), F.get("parts", i + 1)["hash"].alias("next"), p["worded"].alias("worded")),
+        lambda p, i: F.struct(p["hash"].alias("hash"), F.get("parts", i - 1)["hash"].alias("last"), F.get("parts", i + 1)["hash"].alias("next"), p["blank"].alias("blank")),
     )
     return rows.select("doc_id", "text_key", F.posexplode(near).alias("pos", "line")).select("doc_id", "text_key", "pos", "line.*")
 
 
 def _repeated_lines(documents: DataFrame) -> DataFrame:
     """(doc_id, text_key, parts): per document its lines that stand in more than one place, in order; wordless lines always stay."""
+    # The lines of one hash are compared where they are counted; those of a task are reduced to one before the shuffle.
+    every = documents.select(F.explode(F.split("text", "\n", -1)).alias("line")).where(F.col("line").rlike(_IN_WORD))
+    counted = every.groupBy(_line_hash(F.col("line")).alias("hash")).agg(F.count(F.lit(1)).alias("many"), F.min("line").alias("low"), F.max("line").alias("high"))
+    often = materialize(counted.where("many > 1 AND low = high").select("hash"), "line-hashes")
     lines = _lines(documents)
-    often = lines.where("worded").groupBy("hash").agg(F.count(F.lit(1)).alias("many")).where("many > 1").select("hash")
-    often = materialize(often, "line-hashes")
-    found = lines.where("worded").join(often, "hash").select(*lines.columns).unionByName(lines.where("NOT worded"))
+    found = lines.where("blank IS NULL").join(often, "hash").select(*lines.columns).unionByName(lines.where("blank IS NOT NULL"))
     # Rows equal in id and text are one document, hence a set.
-    parts = F.collect_set(F.struct("pos", "hash", "last", "next", "worded"))
-    grouped = found.groupBy("doc_id", "text_key").agg(F.sort_array(parts).alias("parts"), F.count_if("worded").alias("n_worded"))
+    parts = F.collect_set(F.struct("pos", "hash", "last", "next", "blank"))
+    grouped = found.groupBy("doc_id", "text_key").agg(F.sort_array(parts).alias("parts"), F.count_if(F.col("blank").isNull()).alias("n_worded"))
     return grouped.where("n_worded > 1").drop("n_worded")
 
 
 def _runs(parts: DataFrame) -> DataFrame:
-    """(doc_id, text_key, at, n, run_hash): the multi-line chunks of all boundary sets that have repeated lines only, each place once.
+    """(place, run_hash, run): the multi-line chunks of all boundary sets that have repeated lines only, each place once.
 
-    ``at`` is the first of ``n`` lines.
+    ``place`` is (doc_id, text_key, at, n), the first line and the number of lines; ``run`` is the sequence of lines.
     """
 
     def digits(h):
@@ -76,7 +81,8 @@ def _runs(parts: DataFrame) -> DataFrame:
             ends = x["next"].isNull() | low(x["next"], k + 1) | low(x["own"], k + 17)
             gap = F.coalesce(F.get("lines", i - 1)["p"]["pos"] != x["p"]["pos"] - 1, F.lit(False))
             mark = F.when(starts, "\nS").when(gap, "\n").otherwise("")
-            line = F.concat(x["p"]["pos"].cast("string"), F.when(x["p"]["worded"], ":w").otherwise(":b"), x["p"]["hash"].cast("string"))
+            own = F.coalesce(F.concat(F.lit("b"), x["p"]["blank"]), F.concat(F.lit("w"), x["p"]["hash"].cast("string")))
+            line = F.concat(x["p"]["pos"].cast("string"), F.lit(":"), own)
             return F.concat(mark, line, F.when(ends, "E ").otherwise(" "))
 
         return of_line
@@ -85,13 +91,10 @@ def _runs(parts: DataFrame) -> DataFrame:
     every = F.flatten(F.array(*(F.split(F.array_join(F.transform("lines", token(k)), ""), "\n", -1) for k in range(SETS))))
     whole = F.filter(every, lambda c: c.startswith("S") & c.endswith("E ") & (F.length(c) - F.length(F.replace(c, F.lit("w"), F.lit(""))) > 1))
     found = rows.select("doc_id", "text_key", F.explode(F.array_distinct(F.transform(whole, lambda c: F.translate(c, "SE", "")))).alias("run"))
-    return found.select(
-        "doc_id",
-        "text_key",
-        F.substring_index("run", ":", 1).cast("int").alias("at"),
-        (F.length("run") - F.length(F.replace("run", F.lit(":"), F.lit("")))).alias("n"),
-        F.xxhash64(F.regexp_replace("run", "\\d+:", "")).alias("run_hash"),
-    )
+    at = F.substring_index("run", ":", 1).cast("int").alias("at")
+    n = (F.length("run") - F.length(F.replace("run", F.lit(":"), F.lit("")))).alias("n")
+    sequence = F.regexp_replace("run", "\\d+:", "")
+    return found.select(F.struct("doc_id", "text_key", at, n).alias("place"), F.xxhash64(sequence).alias("run_hash"), sequence.alias("run"))
 
 
 def repeated_runs(documents: DataFrame) -> DataFrame:
@@ -100,27 +103,8 @@ def repeated_runs(documents: DataFrame) -> DataFrame:
     Rows that are equal in id and text count as one document; a null id comes before all others.
     """
     runs = _runs(materialize(_repeated_lines(documents), "repeated-lines"))
-    often = runs.groupBy("run_hash").agg(F.count(F.lit(1)).alias("many")).where("many > 1").select("run_hash")
-    often = materialize(often, "run-hashes")
-    wanted = runs.join(often, "run_hash").groupBy("doc_id", "text_key").agg(F.collect_set(F.struct("at", "n", "run_hash")).alias("wanted"))
-    # The texts are reduced to one per document and joined by the same columns, hence shuffled once. (No id is as small as the one
-    # that stands for null, and if one were, the text's key would tell the two apart.)
-    with_id = F.coalesce("doc_id", F.lit(-(1 << 63))).alias("_id")
-    wanted = wanted.select(with_id, "text_key", "wanted")
-    keyed = documents.select(with_id, F.xxhash64("text").alias("text_key"), "doc_id", "text").groupBy("_id", "text_key")
-    keyed = keyed.agg(F.first("doc_id").alias("doc_id"), F.first("text").alias("text"))
-    joined = keyed.join(wanted.hint("merge"), ["_id", "text_key"])
-    split = joined.select("doc_id", "text_key", "wanted", F.explode(F.array(F.split("text", "\n", -1))).alias("lines"))
-
-    def text_of(w):
-        return F.array_join(F.transform(F.sequence(w["at"], w["at"] + w["n"] - 1), lambda i: F.get("lines", i)), "\n")
-
-    pieces = split.select("doc_id", "text_key", F.explode(F.transform("wanted", lambda w: F.struct(w.alias("w"), text_of(w).alias("run")))).alias("piece"))
-    place = F.struct("doc_id", "text_key", F.col("piece.w.at").alias("at"), F.col("piece.w.n").alias("n"))
-    pieces = materialize(pieces.select(F.col("piece.w.run_hash").alias("run_hash"), F.col("piece.run").alias("run"), place.alias("place")), "runs")
-    # Grouped by the text itself: chunks of one hash but other bytes stay apart.
-    first = pieces.groupBy("run_hash", "run").agg(F.min("place").alias("first"))
-    later = pieces.join(first, ["run_hash", "run"]).where(F.col("place") != F.col("first"))
+    first = runs.groupBy("run_hash", "run").agg(F.count(F.lit(1)).alias("many"), F.min("place").alias("first")).where("many > 1").drop("many")
+    later = runs.join(materialize(first, "first-places"), ["run_hash", "run"]).where(F.col("place") != F.col("first"))
     return later.groupBy("place.doc_id", "place.text_key").agg(F.collect_set(F.struct("place.at", "place.n")).alias("runs"))
 
 
