@@ -8,6 +8,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
@@ -15,6 +16,7 @@ from tokenizers import Tokenizer
 
 import corpus_pipeline
 from cohortry.llm import learned_partitions, line_chunks, mixing, near_duplicates, packing, queries, recompression, toxicity
+from cohortry.llm.base import Texts
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -135,9 +137,60 @@ def test_near_duplicates_of_repeated_ids(spark, monkeypatch, block):
 
 
 def test_prefixes_are_shortened_to_the_recall():
-    assert near_duplicates.prefix_length(0.8, 0.999, 20, 8) == 5
-    assert near_duplicates.prefix_length(0.99, 0.999, 20, 8) == 8
-    assert near_duplicates.prefix_length(0.1, 0.999, 20, 8) == 1
+    none, odds = np.zeros(8), near_duplicates.meeting_odds
+    assert [near_duplicates.prefix_length(0, none, none, t, 0.999) for t in (0.8, 0.99, 0.1)] == [5, 8, 1]
+    # Very similar pairs allow longer prefixes, a pair that met at three values only needs short ones.
+    close = 1000 * odds(0.97)
+    assert near_duplicates.prefix_length(1000, np.full(8, 1000.0), close) == 8
+    assert near_duplicates.prefix_length(1000, np.array([1000.0] * 3 + [998] * 5), close) == 3
+    assert near_duplicates.prefix_length(1000, np.full(8, 1000.0), 1000 * odds(0.8)) == 5
+
+
+def _similar_texts(n, seed):
+    """Texts of 30 to 80 words, each other one a changed copy of the one before."""
+    rng, texts = np.random.default_rng(seed), []
+    for k in range(n):
+        words = [f"w{x}" for x in rng.integers(0, 10**6, rng.integers(30, 80))]
+        if k % 2:
+            words = texts[-1].split()
+            words[rng.integers(len(words))] = f"new{k}"
+        texts.append(" ".join(words))
+    return texts
+
+
+def test_sample_sees_the_links_of_all_texts(monkeypatch):
+    texts = _similar_texts(60, 4) + ["", "two words", "two words"]
+    sample = texts[::3]
+    value, starts = near_duplicates.shingle_sets(Texts(pa.array(texts)))
+    labels = near_duplicates.label_sets(value, starts)
+    probe = near_duplicates.Probe(sample, 0.8)
+    seen = probe.compare(value, starts, labels)
+    sets = [set(value[starts[i] : starts[i + 1]].tolist()) for i in range(len(texts))]
+    total = 0
+    for i, a in enumerate(sets):
+        linked = [j for j in range(0, len(texts), 3) if sets[j] != a and a and len(sets[j] & a) >= 0.8 * len(sets[j] | a)]
+        deepest = [max(next((d for d in range(8) if labels[i, t, d] != labels[j, t, d]), 8) for t in range(20)) for j in linked]
+        assert seen[i, 0] == len(linked)
+        assert seen[i, 1:9].tolist() == [sum(d >= k for d in deepest) for k in range(1, 9)]
+        total += len(linked)
+    assert total > 5
+    assert not near_duplicates.Probe([], 0.8).compare(value, starts, labels).any()
+
+
+def test_forest_finds_the_pairs_of_an_exact_join(spark):
+    texts = _similar_texts(400, 8)
+    rows = list(enumerate(texts))
+    found = near_duplicates.near_classes(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()
+    links = {i: n for i, (_, n) in _linked(rows).items()}
+    assert sum(r["n_links"] for r in found) >= 0.99 * sum(links.values()) > 100
+    assert all(r["n_links"] <= links[r["doc_id"]] for r in found)
+
+
+def test_unrelated_texts_of_one_id_stay(spark):
+    one, two, three = (" ".join(f"{c}{k}" for k in range(30)) for c in "abc")
+    rows = [(7, one, 0), (7, two, 1), (7, two, 2), (8, three, 3), (9, one + " end", 4), (5, three, 5), (6, "", 6), (6, "", 7), (6, None, 8), (None, one, 9)]
+    kept = near_duplicates.keep_one_of_each(spark.createDataFrame(rows, "doc_id long, text string, place long").repartition(3)).collect()
+    assert Counter((r["doc_id"], r["text"]) for r in kept) == Counter([(7, one), (7, two), (5, three), (6, ""), (6, None), (None, one)])
 
 
 def test_components_are_those_of_a_search(spark):
