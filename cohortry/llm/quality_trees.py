@@ -154,7 +154,7 @@ def score_quality(documents: DataFrame, labels: DataFrame, per_class: int = PER_
 
     Null and empty texts are scored by their (zero) statistics; a null id is not held out; repeated rows are scored
     alike; without usable labels of both classes every score is the labelled share (one half without any label).
-    Labels of unknown documents are ignored.
+    Labels of unknown documents are ignored. Very long texts are described whole, other columns are not read, and an empty table gives no rows.
     """
     spark = documents.sparkSession
     small_batches(spark)

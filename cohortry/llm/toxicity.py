@@ -153,6 +153,7 @@ def score_toxicity(documents: DataFrame, labels: DataFrame, per_class: int = PER
     Null and empty texts get the score of no evidence; repeated rows score alike; without labels of both classes
     every score is about the labelled share (one half without any label); labels of unknown documents are ignored.
     A column of that name in the input is replaced.
+    Very long texts are scored whole, they only take no part in the fit; an empty table gives no rows.
     """
     spark = documents.sparkSession
     small_batches(spark)

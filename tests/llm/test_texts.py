@@ -14,7 +14,7 @@ import sentencepiece
 from pyspark.sql import functions as F
 
 from cohortry.llm import quality_rules, quality_trees, token_counts, toxicity
-from cohortry.llm.base import Texts, calibrate, labelled_ids, labelled_texts
+from cohortry.llm.base import Texts, calibrate, labelled_ids, labelled_texts, mix64
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -160,6 +160,79 @@ def test_forest_arrays_walk_like_a_loop():
         assert abs(total - margin) < 1e-9
 
 
+ODD_TEXTS = [
+    None, "", " \n\t ", "a", "One two, two! ONE", "x\n\nsame line here\nsame line here\nsame line here\n", "é ü 中文 – dash", "a b c d e " * 30,
+    "# $5 <b>(x)</b> [y] {z} a/b\\c @me - _ = + ~ 100%", "no\u00a0break " * 9, " ".join(f"W{k}w" for k in range(4000)), "z" * 30_000,
+]
+
+
+def _statistics(text):
+    text = text or ""
+    words, raw = WORD.findall(text), text.encode()
+    size, n = max(len(raw), 1), max(len(words), 1)
+    lines = [x for x in text.split("\n") if WORD.search(x)]
+    runs = Counter(tuple(words[k : k + 5]) for k in range(len(words) - 4))
+    again = {j for k in range(len(words) - 4) if runs[tuple(words[k : k + 5])] > 1 for j in range(k, k + 5)}
+    upper, lower = (sum(low <= b <= low + 25 for b in raw) for low in (65, 97))
+    share = lambda chars: sum(b in chars.encode() for b in raw) / size
+    return {
+        "words": np.log1p(len(words)), "word_bytes": sum(len(w.encode()) for w in words) / n, "upper": upper / max(upper + lower, 1),
+        "breaks": text.count("\n") / n, "repeated_lines": (len(lines) - len(set(lines))) / (1 + text.count("\n")),
+        "distinct_words": len(set(words)) / n, "repeated_words": len(again) / n, "short_words": sum(len(w.encode()) == 1 for w in words) / n,
+        "non_ascii": sum(b > 127 for b in raw) / size, "marks": share("!?"), "symbols": share("#*$%&|<>"), "digits": share("0123456789"),
+        "stops": share(".,;:"), "brackets": share("()[]{}"), "slashes": share("/\\@"), "joiners": share("-_=+~"),
+    }
+
+
+def test_quality_statistics_equal_brute_force(corpus):
+    texts = ODD_TEXTS + [r[1] for r in corpus]
+    found = quality_trees.statistics(Texts(pa.array(texts, pa.string())))
+    assert sorted(found) == sorted(quality_trees.STATISTICS)
+    for i, text in enumerate(texts):
+        for name, value in _statistics(text).items():
+            assert abs(found[name][i] - value) < 1e-9, (i, name)
+
+
+def test_first_split_has_the_largest_gain():
+    rng = np.random.default_rng(6)
+    x = rng.integers(0, 40, (500, 3)).astype(float)
+    label, weight = ((x[:, 1] > 17) ^ (rng.random(500) < 0.1)).astype(float), rng.uniform(0.5, 2, 500)
+    forest = quality_trees.fit(x, label, weight)
+    p = 1 / (1 + np.exp(-forest.start))
+    g, h = weight * (p - label), np.full(500, p * (1 - p)) * weight
+
+    def gain(feature, cut):
+        left = x[:, feature] <= cut
+        parts = [(g[m].sum(), h[m].sum()) for m in (left, ~left, left | ~left)]
+        a, b, whole = (s**2 / (t + quality_trees.RIDGE) for s, t in parts)
+        return a + b - whole
+
+    best = max(gain(f, c) for f in range(3) for c in range(40))
+    assert forest.feature[0, 0] == 1 and np.isclose(gain(int(forest.feature[0, 0]), forest.cut[0, 0]), best)
+
+
+def test_toxic_margins_equal_brute_force(corpus):
+    logit = np.random.default_rng(3).normal(size=toxicity.BUCKETS).astype(np.float32)
+    model = toxicity.Model(logit, -0.5)
+    texts = [t for t in ODD_TEXTS if t is None or len(t) < 20_000] + [r[1] for r in corpus[:60]]
+
+    def value(word):
+        raw, found = b" " + bytes(b + 32 if 65 <= b <= 90 else b for b in word.encode()) + b" ", []
+        for span in toxicity.SPANS:
+            for k in range(len(raw) - span + 1):
+                total = 0
+                for b in raw[k : k + span]:
+                    total = (total * 257 + b) % (1 << 64)
+                found.append(float(logit[int(mix64(np.array([(total + span) % (1 << 64)], np.uint64))[0]) % toxicity.BUCKETS]))
+        return sum(found) / max(len(found), 1)
+
+    known = {w: value(w) for t in texts for w in set(WORD.findall(t or ""))}
+    for text, margin in zip(texts, model.margin(Texts(pa.array(texts, pa.string()))), strict=True):
+        words = [known[w] for w in WORD.findall(text or "")]
+        passages = [sum(words[k : k + 8]) / 8 for k in range(max(len(words) - 7, min(len(words), 1)))]
+        assert abs(margin - (max(passages, default=0.0) - 0.5)) < 1e-6, text
+
+
 def test_calibration_recovers_a_slope():
     rng = np.random.default_rng(2)
     logit = rng.normal(0, 2, 20_000)
