@@ -4,18 +4,20 @@ A document is the set of its runs of five words. Texts with one set are copies:
 goes on for all. Every tree of the forest labels a set with ``DEPTH`` MinHash values of ``WIDTH`` bytes; sorted, the labels are a
 prefix trie, and its nodes at one depth are the groups of equal prefixes. Two sets meet in a tree if they share a node.
 
-How far prefixes are shortened is decided on the data: a bounded sample of texts is compared exactly with every text while all
-are labelled, and for each linked pair that is found the deepest node it shares is counted. The prefixes are the longest with
-which the wanted share of these pairs meets (``prefix_length``). Only the depth hangs on the sample; all sets are joined.
+Prefixes are the longest with which a pair just at the threshold still meets with the wanted odds (``prefix_length``); nothing is
+estimated on a part of the texts. The links the forest may miss come from an exact filter over all sets (``shared_members``): a pair
+it leaves out cannot be linked. So the depth divides the work between the two, and no link hangs on it.
 
 Sets that meet, directly or through others, make a neighbourhood, found as a connected component over one edge per set
-and trie node, so no node's pairs are ever listed. Each neighbourhood gathers its word sets once and verifies
+and trie node or shared member, so no node's pairs are ever listed. Each neighbourhood gathers its word sets once and verifies
 all its pairs exactly with matrix products; a large one is split into blocks, and pairs of blocks are separate groups.
 Verified links are counted per set and reduced to a spanning star per block pair, never written out as pairs.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+
 import numpy as np
 import pandas as pd
 import pyarrow as pa
@@ -29,8 +31,8 @@ SHINGLE, THRESHOLD = 5, 0.8
 TREES, DEPTH, RECALL = 20, 8, 0.999
 WIDTH = 2
 """Bytes of a MinHash value in a label."""
-SAMPLE, SAMPLE_CHARS = 512, 20_000
-"""About how many texts, of at most so many characters, are compared with all to measure recall; at most twice as many."""
+BUCKET_MEMBERS, FLUSH_MEMBERS = 500_000, 1_000_000
+"""About how many members one bucket of the exact filter holds, and how many a task gathers before it deals them out."""
 BLOCK = 400
 """Sets of one neighbourhood that are compared in one group; larger neighbourhoods become pairs of blocks."""
 GROUP_SHINGLES = 1_000_000
@@ -43,10 +45,10 @@ def meeting_odds(similarity: float, trees: int = TREES, depth: int = DEPTH) -> n
 
 
 def prefix_length(pairs: float, met: np.ndarray, expected: np.ndarray, threshold: float = THRESHOLD, recall: float = RECALL) -> int:
-    """The longest prefix with which enough of the sample's linked pairs meet.
+    """The longest prefix with which enough linked pairs meet.
 
     ``met``: how many of the ``pairs`` share a prefix of 1, 2, ... values; ``expected``: the sum of their odds to do so. Both have to reach
-    ``recall``; to the odds those of one more pair, just at the threshold, are added, which alone decide where the sample has no link.
+    ``recall``; to the odds those of one more pair, just at the threshold, are added, which alone decide where no pairs are given.
     """
     odds = (expected + meeting_odds(threshold, depth=len(met))) / (pairs + 1)
     enough = np.flatnonzero((met >= recall * pairs) & (odds >= recall))
@@ -98,8 +100,14 @@ def label_sets(value: np.ndarray, starts: np.ndarray) -> np.ndarray:
     return labels
 
 
+def set_keys(value: np.ndarray, starts: np.ndarray) -> list[np.ndarray]:
+    """Two hashes of every text's set."""
+    total = [np.concatenate((np.zeros(1, np.uint64), np.cumsum(mix64(value + np.uint64(k)), dtype=np.uint64))) for k in (1, 2)]
+    return [_signed(t[starts[1:]] - t[starts[:-1]]) for t in total]
+
+
 class Probe:
-    """Sample texts that the texts of a batch are compared with exactly, to see at which depth linked ones meet."""
+    """Texts that the texts of a batch are compared with exactly, to see at which depth linked ones meet: measures the forest alone."""
 
     def __init__(self, texts: list[str], threshold: float):
         value, starts = shingle_sets(Texts(pa.array(texts, pa.string())))
@@ -137,12 +145,111 @@ class Probe:
         return seen
 
 
-def sample_texts(texts: DataFrame) -> list[str]:
-    """About ``SAMPLE`` different texts, drawn by their hashes."""
-    share = min(1.0, SAMPLE / max(1, texts.count()))
-    drawn = F.pmod(F.xxhash64("text_key", F.lit(5)), F.lit(1 << 40)) < int(share * (1 << 40))
-    picked = texts.where((F.length("text") <= SAMPLE_CHARS) & drawn).groupBy("text_key").agg(F.first("text").alias("text"))
-    return [r["text"] for r in sorted(picked.limit(2 * SAMPLE).collect(), key=lambda r: r["text_key"])]
+def lowest_members(sizes: np.ndarray, threshold: float) -> np.ndarray:
+    """How many members, the lowest by hash, stand for sets of these sizes in the exact filter."""
+    least, asked = _least_shared(sizes, threshold)
+    return sizes - least + asked
+
+
+def _least_shared(sizes: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray]:
+    """Of all members of a set, how many it shares at least with a linked one, and of its lowest if both sets were of this size."""
+    least = np.maximum(np.ceil(threshold * sizes - 1e-6), 1).astype(np.int64)
+    return least, np.minimum(((1 - threshold) / 2 * sizes).astype(np.int64) + 1, least)
+
+
+def members_needed(sizes: np.ndarray, threshold: float) -> np.ndarray:
+    """How many of its lowest members a set shares at least with the lowest members of any set that it is linked with.
+
+    Let x and y be linked, share c members, and the lowest members of x end first in hash order. Then all shared ones up to there are in both
+    lists, at least |lowest of x| - (|x| - c). As c is at least the threshold's share of either set, that is what ``_least_shared`` asks of x plus
+    the difference of both sets' least shares; two less than it asks of y at worst, by rounding.
+    """
+    return np.maximum(_least_shared(sizes, threshold)[1] - 2, 1)
+
+
+def _deal(threshold: float, buckets: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """A task's sets' lowest members, packed by bucket: (bucket, members, sets, sizes) with the arrays as bytes."""
+
+    def packed(parts: list[tuple[np.ndarray, ...]]) -> pa.RecordBatch:
+        member, owner, size = (np.concatenate(p) for p in zip(*parts, strict=True))
+        bucket = mix64(member ^ np.uint64(0x5BD1E995)) % np.uint64(buckets)
+        order = np.argsort(bucket, kind="stable")
+        edges = np.searchsorted(bucket[order], np.arange(buckets + 1, dtype=np.uint64))
+        there = np.flatnonzero(np.diff(edges))
+
+        def column(values: np.ndarray) -> pa.Array:
+            return pa.array([values[order[edges[k] : edges[k + 1]]].tobytes() for k in there.tolist()], pa.binary())
+
+        return pa.RecordBatch.from_arrays([pa.array(there, pa.int32()), column(member), column(owner), column(size)], names=["bucket", "members", "sets", "sizes"])
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts, held, known = [], 0, np.zeros(0, np.int64)
+        for batch in batches:
+            value, starts = shingle_sets(Texts(batch.column("text")))
+            keys, sizes = set_keys(value, starts)[0], np.diff(starts)
+            # Copies end here, so a task sends a set once.
+            first = np.unique(keys, return_index=True)[1]
+            new = first[(sizes[first] > 0) & ~np.isin(keys[first], known)]
+            known = np.concatenate((known, keys[new]))
+            if not len(new):
+                continue
+            text = np.repeat(np.arange(len(sizes)), sizes)
+            inside = np.isin(text, new)
+            text, member = text[inside], value[inside]  # in order of their hash
+            place = np.arange(len(text)) - np.searchsorted(text, text)
+            lowest = place < lowest_members(sizes, threshold)[text]
+            text, member = text[lowest], member[lowest]
+            parts.append((member, keys[text], sizes[text].astype(np.int32)))
+            held += len(member)
+            if held >= FLUSH_MEMBERS:
+                yield packed(parts)
+                parts, held = [], 0
+        if parts:
+            yield packed(parts)
+
+    return deal
+
+
+def _repeated(threshold: float) -> Callable[[pa.Table], pa.Table]:
+    """Of a bucket the members that different sets of sizes that can be linked hold: (member, set1, size)."""
+
+    def repeated(table: pa.Table) -> pa.Table:
+        member, owner, size = (
+            np.frombuffer(b"".join(table.column(c).to_pylist()), kind) for c, kind in (("members", np.uint64), ("sets", np.int64), ("sizes", np.int32))
+        )
+        order = np.lexsort((owner, size, member))
+        member, owner, size = member[order], owner[order], size[order].astype(np.int64)
+        # Of a member's sets in order of size, one has a partner if its neighbour is one.
+        again = (member[1:] == member[:-1]) & (owner[1:] == owner[:-1]) & (size[1:] == size[:-1])
+        own = np.concatenate((np.ones(min(1, len(member)), dtype=bool), ~again))
+        member, owner, size = member[own], owner[own], size[own]
+        near = (member[1:] == member[:-1]) & (size[:-1] >= threshold * size[1:] - 1e-6)
+        found = np.concatenate((near, [False])) | np.concatenate(([False], near)) if len(member) else np.zeros(0, dtype=bool)
+        return pa.table({"member": _signed(member[found]), "set1": owner[found], "size": size[found]})
+
+    return repeated
+
+
+def shared_members(texts: DataFrame, total: int, threshold: float) -> DataFrame:
+    """(member, set1): of two linked sets at least one member that stands there with both, for every linked pair of ``texts``.
+
+    Linked sets share many of their lowest members (``members_needed``). Members held by one set go, then sets with fewer left than
+    they need, and so once more; of the rest a set keeps its rarest, as many as go over its need and one: the rarest member that two
+    linked sets share is among them. ``total`` is the number of members of all sets; hot members are last in this order.
+    """
+    buckets = max(1, -(-int(total * (1 - threshold) * 1.5) // BUCKET_MEMBERS))
+    dealt = texts.select("text").mapInArrow(_deal(threshold, buckets), "bucket int, members binary, sets binary, sizes binary")
+    found = materialize(dealt.groupBy("bucket").applyInArrow(_repeated(threshold), "member long, set1 long, size long"), "shared")
+    least = F.greatest(F.ceil(threshold * F.col("size") - F.lit(1e-6)), F.lit(1))
+    asked = F.least(F.floor(F.lit((1 - threshold) / 2) * F.col("size")) + 1, least)
+    found = found.withColumn("need", F.greatest(asked - 2, F.lit(1)).cast("long"))
+    of_set = ["set1", "size", "need"]
+    enough = found.groupBy(*of_set).agg(F.count(F.lit(1)).alias("n")).where("n >= need").select(*of_set)
+    kept = materialize(found.join(enough, of_set, "left_semi"), "candidates")
+    held = kept.groupBy("member").agg(F.count(F.lit(1)).alias("holders")).where("holders > 1")
+    own = Window.partitionBy(*of_set)
+    ranked = kept.join(held, "member").withColumns({"n": F.count(F.lit(1)).over(own), "rank": F.row_number().over(own.orderBy("holders", "member"))})
+    return ranked.where("rank <= n - need + 1").select("member", "set1")
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -170,6 +277,12 @@ def components(edges: DataFrame) -> DataFrame:
     return found
 
 
+def _met(places: DataFrame, *node: str) -> DataFrame:
+    """Edges (a, b) from the sets of every node, named by the columns ``node``, to its first one."""
+    nodes = places.groupBy(*node).agg(F.min("set1").alias("first"), F.max("set1").alias("last")).where(F.col("first") < F.col("last"))
+    return places.join(nodes, list(node)).where(F.col("set1") != F.col("first")).select(F.col("set1").alias("a"), F.col("first").alias("b"))
+
+
 def _verify(rows: pd.DataFrame, threshold: float) -> pd.DataFrame:
     """Links between the sets of one neighbourhood's pair of blocks: per set the linked documents, and a spanning star."""
     left = rows["block"].to_numpy() == rows["low"].to_numpy()
@@ -209,29 +322,24 @@ def _classified(documents: DataFrame, threshold: float, recall: float, by_id: bo
     spark = documents.sparkSession
     small_batches(spark)
     texts = documents.where(F.col("doc_id").isNotNull()).select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_key"), "text")
-    probe = Probe(sample_texts(texts), threshold)
     label_bytes = DEPTH * WIDTH
 
     def sign(batch: pa.RecordBatch) -> pa.RecordBatch:
         value, starts = shingle_sets(Texts(batch.column("text")))
         labels = label_sets(value, starts)
-        seen = probe.compare(value, starts, labels)
-        total = [np.concatenate((np.zeros(1, np.uint64), np.cumsum(mix64(value + np.uint64(k)), dtype=np.uint64))) for k in (1, 2)]
-        keys = [_signed(t[starts[1:]] - t[starts[:-1]]) for t in total]
+        keys = set_keys(value, starts)
         sizes = np.diff(starts)
         n_labels = len(labels) * TREES
         ends = pa.py_buffer(np.arange(0, n_labels * label_bytes + 1, label_bytes, dtype=np.int32))
         label = pa.Array.from_buffers(pa.binary(), n_labels, [None, ends, pa.py_buffer(labels.tobytes())])
         listed = pa.ListArray.from_arrays(pa.array(np.arange(0, n_labels + 1, TREES), pa.int32()), label)
-        linked = pa.array([x.tolist() if x[0] else None for x in seen], pa.list_(pa.float64()))
-        columns = [batch.column("doc_id"), batch.column("text_key"), *(pa.array(k) for k in keys), pa.array(sizes, pa.int64()), listed, linked]
-        return pa.RecordBatch.from_arrays(columns, names=["doc_id", "text_key", "set1", "set2", "size", "labels", "seen"])
+        columns = [batch.column("doc_id"), batch.column("text_key"), *(pa.array(k) for k in keys), pa.array(sizes, pa.int64()), listed]
+        return pa.RecordBatch.from_arrays(columns, names=["doc_id", "text_key", "set1", "set2", "size", "labels"])
 
-    signature = "doc_id long, text_key long, set1 long, set2 long, size long, labels array<binary>, seen array<double>"
+    signature = "doc_id long, text_key long, set1 long, set2 long, size long, labels array<binary>"
     signed = materialize(map_batches(texts, sign, signature), "signatures")
-    sums = signed.where("seen is not null").agg(*(F.sum(F.col("seen")[k]).alias(f"s{k}") for k in range(1 + 2 * DEPTH))).first()
-    measured = np.array([x or 0.0 for x in sums])
-    length = prefix_length(measured[0], measured[1 : 1 + DEPTH], measured[1 + DEPTH :], threshold, recall)
+    no_pairs = np.zeros(DEPTH)
+    length = prefix_length(0, no_pairs, no_pairs, threshold, recall)
     of_set = ["set1", "set2", "size"]
     # Equal sets have equal labels, so any row's will do.
     smallest = F.min(F.struct("doc_id", "text_key")).alias("smallest")
@@ -242,9 +350,9 @@ def _classified(documents: DataFrame, threshold: float, recall: float, by_id: bo
     # Neighbourhoods are made of sets, not of ids: an id with many texts brings only those together that meet.
     places = reps.select("set1", F.posexplode("labels").alias("tree", "label"))
     places = places.withColumn("label", F.substring("label", 1, length * WIDTH))
-    nodes = places.groupBy("tree", "label").agg(F.min("set1").alias("first"), F.max("set1").alias("last")).where(F.col("first") < F.col("last"))
-    edges = places.join(nodes, ["tree", "label"]).where(F.col("set1") != F.col("first")).select(F.col("set1").alias("a"), F.col("first").alias("b")).distinct()
-    around = components(edges)
+    sizes = reps.agg(F.sum("size")).first()[0] or 0
+    shared = materialize(shared_members(texts, sizes, threshold), "members")
+    around = components(_met(places, "tree", "label").union(_met(shared, "member")).distinct())
 
     members = reps.drop("labels").join(around, F.col("set1") == F.col("node")).drop("node")
     counted = members.groupBy("root").agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("shingles"))
@@ -298,7 +406,7 @@ def near_classes(documents: DataFrame, threshold: float = THRESHOLD, recall: flo
     included; ``n_copies`` the documents with the same set, itself included. A document without words (null and empty texts)
     stands alone. Texts of one to four words are one run. Rows without an id are left out; rows that share an id and are
     copies come back as often as they stand there and count as copies, those of different texts are documents of their own
-    that fall into one class. Very long texts are compared whole, they only take no part in the sample; an empty table gives no rows.
+    that fall into one class. Very long texts are compared whole; an empty table gives no rows.
     Other columns are not read.
     """
     signed, decided = _classified(documents, threshold, recall, by_id=True)

@@ -186,6 +186,36 @@ def test_forest_finds_the_pairs_of_an_exact_join(spark):
     assert all(r["n_links"] <= links[r["doc_id"]] for r in found)
 
 
+def test_links_that_the_forest_misses_are_found(spark):
+    """Pairs just at the threshold that share no prefix in any tree, among pairs of all sizes at and below it."""
+    rng = np.random.default_rng(6)
+    texts = []
+    for _ in range(12_000):
+        words = [f"w{k}" for k in rng.integers(0, 10**6, 29)]
+        texts += [" ".join(words[:24]), " ".join(words)]  # 20 of 25 runs
+    labels = near_duplicates.label_sets(*near_duplicates.shingle_sets(Texts(pa.array(texts))))
+    missed = np.flatnonzero(~(labels[::2, :, :5] == labels[1::2, :, :5]).all(axis=2).any(axis=1))
+    assert len(missed)
+    rows = [text for k in missed.tolist() for text in texts[2 * k : 2 * k + 2]]
+    for n in (1, 3, 4, 5, 9, 10, 11, 14, 25, 60, 61, 200):
+        for more in range(1, 2 + n // 3):
+            words = [f"w{k}" for k in rng.integers(0, 10**6, n + 4 + more)]
+            rows += [" ".join(words[:n]), " ".join(words[: n + more]), " ".join(["common"] * 5 + words[:n])]
+    rows = list(enumerate(rows))
+    found = near_duplicates.near_classes(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()
+    assert {r["doc_id"]: (r["class_id"], r["n_links"]) for r in found} == _linked(rows)
+
+
+def test_shared_members_alone_find_every_link(spark, monkeypatch):
+    monkeypatch.setattr(near_duplicates, "BUCKET_MEMBERS", 2000)
+    monkeypatch.setattr(near_duplicates, "FLUSH_MEMBERS", 500)
+    unlike = lambda value, starts: np.random.default_rng(len(value)).integers(0, 1 << 16, (len(starts) - 1, 20, 8)).astype(">u2")
+    monkeypatch.setattr(near_duplicates, "label_sets", unlike)
+    rows = list(enumerate([*_similar_texts(200, 5), *_similar_texts(40, 5)]))
+    found = near_duplicates.near_classes(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()
+    assert {r["doc_id"]: (r["class_id"], r["n_links"]) for r in found} == _linked(rows)
+
+
 def test_unrelated_texts_of_one_id_stay(spark):
     one, two, three = (" ".join(f"{c}{k}" for k in range(30)) for c in "abc")
     rows = [(7, one, 0), (7, two, 1), (7, two, 2), (8, three, 3), (9, one + " end", 4), (5, three, 5), (6, "", 6), (6, "", 7), (6, None, 8), (None, one, 9)]
