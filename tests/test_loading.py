@@ -85,6 +85,28 @@ def test_a_record_over_many_blocks(spark, tmp_path, block_size):
     assert [(r["a"], r["b"], r["c"]) for r in found] == [("1", long, "x"), ("2", "y", "z")]
 
 
+@pytest.mark.parametrize("bits", [0, 1, 3])
+def test_records_over_the_edges_of_chunks(spark, tmp_path, block_size, monkeypatch, bits):
+    monkeypatch.setattr(csv_records, "CHUNK_BITS", bits)
+    rows = [("a", "b", "c"), *[(str(n), "\n".join(f'line {k}, "{n}"' for k in range(n % 7)), "é" * (n % 5)) for n in range(120)]]
+    with open(tmp_path / "t.csv", "w", newline="") as file:
+        csv.writer(file, lineterminator="\n").writerows(rows)
+    block_size("700")
+    found = csv_records.read_records(spark, str(tmp_path / "t.csv"), TEXT)
+    assert sorted(tuple(r[c] or "" for c in "abc") for r in found.collect()) == sorted(rows[1:])
+
+
+def test_the_text_of_longer_records_is_shuffled_once(spark, tmp_path, block_size):
+    """Records within a chunk are put together where their lines lie, and no window holds a whole block."""
+    (tmp_path / "t.csv").write_text("a,b\n" + "".join(f'{n},"two\nlines {n}"\n' for n in range(20_000)))
+    block_size("50m")
+    found = csv_records._records(csv_records._lines(spark, str(tmp_path / "t.csv"), None), [])
+    placed = csv_records._placed(csv_records._lines(spark, str(tmp_path / "t.csv"), None))
+    broken = placed.where("(_starts_inside or _ends_inside) and _broken")
+    assert found.count() == 20_001 and 0 < broken.count() < 40
+    assert placed.groupBy("_file", "_block", "_chunk").count().where("count > 4096").isEmpty()
+
+
 def test_large_quoted_files_make_many_tasks_and_one_scan(spark, tmp_path, block_size):
     rows = "".join(f'{n},"two\nlines {n}"\n' for n in range(20_000))
     (tmp_path / "t.csv").write_text("a,b\n" + rows)
