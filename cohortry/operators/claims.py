@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from cohortry.functions.keys import packed_key, unpacked_key
 from cohortry.schemas import MONEY
 
 LINE_COLUMNS = [
@@ -86,7 +87,7 @@ def _within_encounters(detail: DataFrame, encounters: DataFrame) -> DataFrame:
     """Lines with their encounter's columns; lines without a known encounter are dropped.
 
     The lines of a heavy claim are dealt into pieces by their own key, and only its encounter row is repeated once per piece; all
-    other claims are one piece.
+    other claims are one piece. Line keys are shuffled packed.
     """
     context = _encounter_context(encounters)
     partitions = int(detail.sparkSession.conf.get("spark.sql.shuffle.partitions"))
@@ -94,8 +95,10 @@ def _within_encounters(detail: DataFrame, encounters: DataFrame) -> DataFrame:
     heavy = F.broadcast(heavy_claims(detail.select("claim_id"), partitions))
     pieces = F.coalesce("pieces", F.lit(1))
     dealt = detail.join(heavy, "claim_id", "left").withColumn("_piece", F.pmod(F.xxhash64("claims_line_id", "member_id"), pieces).cast("int")).drop("pieces")
+    dealt = dealt.withColumn("claims_line_id", packed_key(F.col("claims_line_id")))
     spread = context.join(heavy, "claim_id", "left").withColumn("_piece", F.explode(F.sequence(F.lit(0), pieces - 1))).drop("pieces")
-    return dealt.join(spread, ["claim_id", "_piece"]).select(*LINE_COLUMNS)
+    joined = dealt.join(spread, ["claim_id", "_piece"])
+    return joined.withColumn("claims_line_id", unpacked_key(F.col("claims_line_id"))).select(*LINE_COLUMNS)
 
 
 def claims_dx_lines(conditions: DataFrame, encounters: DataFrame) -> DataFrame:

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cohortry.functions.dates import as_date
+from cohortry.functions.keys import packed_key
 from cohortry.functions.numeric import ratio
 from cohortry.schemas import AUDIT_LOG
 from cohortry.vocabulary import CLAIM_TYPES, GAP_TYPES, MIN_ATTRIBUTED_MEMBERS, QUADRANTS, RISK_TIERS, SEXES
@@ -178,9 +179,10 @@ class RowChecks:
 def duplicated_values(df: DataFrame, columns: Mapping[str, Column]) -> DataFrame:
     """One row: per name, how many non-null values of the column occur more than once.
 
-    All columns are one grouping of (column, value), so the table is read and shuffled once, however many keys it has.
+    All columns are one grouping of (column, value), so the table is read and shuffled once, however many keys it has; values are
+    shuffled as ``packed_key``.
     """
-    keys = [F.struct(F.lit(i).alias("no"), column.cast("string").alias("value")) for i, column in enumerate(columns.values())]
+    keys = [F.struct(F.lit(i).alias("no"), packed_key(column.cast("string")).alias("value")) for i, column in enumerate(columns.values())]
     stacked = df.select(F.explode(F.array(*keys)).alias("key")).select("key.*") if len(keys) > 1 else df.select(keys[0].alias("key")).select("key.*")
     counts = stacked.where(F.col("value").isNotNull()).groupBy("no", "value").agg(F.count("*").alias("occurrences"))
     return counts.agg(*[F.count_if((F.col("no") == i) & (F.col("occurrences") > 1)).alias(name) for i, name in enumerate(columns)])

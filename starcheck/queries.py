@@ -343,6 +343,9 @@ def _marts(d: Datasets) -> dict[str, DataFrame]:
 
 
 def _suite(d: Datasets, kind: str) -> DataFrame:
+    # Tables that a build has on disk; here each is the result of a join, and five datasets read them.
+    d.raw.conditions = materialize(d.raw.conditions, "conditions")
+    d.raw.procedures = materialize(d.raw.procedures, "procedures")
     tables = {
         **d.raw.as_dict(),
         "stg_members": d.stg_members,

@@ -109,3 +109,13 @@ def test_exact_medians_of_long_decimals(spark, monkeypatch, few):
     found = quantiles.exact_medians(df, {"a": "same", "b": "near", "c": "none"}).head()
     # 19.5 steps lie between two six-digit values; halves are rounded up.
     assert (found["same"], found["near"], found["none"]) == (base, base + Decimal("0.000020"), None)
+
+
+def test_packed_keys_are_short_and_come_back(spark):
+    digest = "0123456789abcdef" * 2
+    texts = ["", "a", digest, digest.upper(), digest[:-1] + "g", digest + "\n", digest[1:] + "\n", "\x01" + "a" * 16, "é" * 16, "0" * 32, None]
+    df = spark.createDataFrame([(t,) for t in texts], "k string").select("k", keys.packed_key(F.col("k")).alias("p"))
+    found = [(r["k"], r["b"], r["p"]) for r in df.withColumn("b", keys.unpacked_key(F.col("p"))).collect()]
+    assert all(k == b for k, b, _ in found) and [k for k, _, _ in found] == texts
+    assert len({bytes(p) for _, _, p in found if p is not None}) == len(texts) - 1
+    assert [len(p) for k, _, p in found if k in (digest, "0" * 32)] == [17, 17]

@@ -47,6 +47,17 @@ def test_checks_report_failing_rows(spark):
     )
 
 
+def test_unique_checks_shuffle_digests_in_half_their_length(spark):
+    """Digests are shuffled as bytes, and texts that look alike stay apart."""
+    digest = "00" * 8 + "41" * 8
+    t = spark.createDataFrame([(digest, 1), (digest, 1), ("A" * 8, 2), (digest.upper(), 2), (None, 3), (None, None)], "k string, n int")
+    counted = quality.duplicated_values(t, {"k": t["k"], "n": t["n"]})
+    assert counted.collect() == [(1, 2)]
+    plan = counted._jdf.queryExecution().executedPlan().toString()
+    assert "unhex" in plan and "hashpartitioning(no" in plan
+    assert quality.duplicated_values(t, {"k": t["k"]}).collect() == [(1,)]
+
+
 def test_gate_names_the_failed_checks(spark):
     t = spark.createDataFrame([("a",), (None,)], "k string")
     quality.enforce(quality.run_checks({"t": t}, [quality.unique("t", "k")]))
