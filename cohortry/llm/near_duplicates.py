@@ -5,11 +5,11 @@ goes on for all. Every tree of the forest labels a set with ``DEPTH`` MinHash va
 prefix trie, and its nodes at one depth are the groups of equal prefixes. Two sets meet in a tree if they share a node.
 
 Prefixes are the longest with which a pair just at the threshold still meets with the wanted odds (``prefix_length``); nothing is
-estimated on a part of the texts. The links the forest may miss come from an exact filter over all sets (``shared_members``): a pair
+estimated on a part of the texts. The links the forest may miss come from an exact filter over all sets (``sharing_sets``): a pair
 it leaves out cannot be linked. So the depth divides the work between the two, and no link hangs on it.
 
 Sets that meet, directly or through others, make a neighbourhood, found as a connected component over one edge per set
-and trie node or shared member, so no node's pairs are ever listed. Each neighbourhood gathers its word sets once and verifies
+and trie node or shared name, so no node's pairs are ever listed. Each neighbourhood gathers its word sets once and verifies
 all its pairs exactly with matrix products; a large one is split into blocks, and pairs of blocks are separate groups.
 Verified links are counted per set and reduced to a spanning star per block pair, never written out as pairs.
 """
@@ -31,10 +31,20 @@ SHINGLE, THRESHOLD = 5, 0.8
 TREES, DEPTH, RECALL = 20, 8, 0.999
 WIDTH = 2
 """Bytes of a MinHash value in a label."""
-BUCKET_MEMBERS, FLUSH_MEMBERS = 500_000, 1_000_000
-"""About how many members one bucket of the exact filter holds, and how many a task gathers before it deals them out."""
-BLOCK = 400
-"""Sets of one neighbourhood that are compared in one group; larger neighbourhoods become pairs of blocks."""
+COMBINED, SPARE = 0.7, 1.2
+"""From which threshold on the exact filter names parts of sets, and how many parts there are for each that has to be named."""
+NAME_BYTES = 5
+"""Of a name's hash; names are compared within a bucket only."""
+BUCKET_MEMBERS, FLUSH_MEMBERS = 4_000_000, 1_000_000
+"""About how many names one bucket of the exact filter holds, and how many a task gathers before it deals them out."""
+BLOCK, BLOCKS = 400, 16
+"""Sets of one neighbourhood that are compared in one group; larger neighbourhoods become pairs of blocks, up to this many."""
+BLOCK_SETS, BLOCK_SHINGLES = 4000, 4_000_000
+"""What a block holds at most, about; only neighbourhoods that exceed it have more blocks."""
+TILE = 512
+"""Sets that are compared at once."""
+LISTED, PAIRS, GROUP_PLACES = 1000, 200_000, 200_000
+"""Sets of a name whose pairs are listed to compare their sketches, pairs listed at once, and sets of names that a group holds."""
 GROUP_SHINGLES = 1_000_000
 """About how many set members one group of small neighbourhoods holds."""
 
@@ -145,42 +155,105 @@ class Probe:
         return seen
 
 
-def lowest_members(sizes: np.ndarray, threshold: float) -> np.ndarray:
-    """How many members, the lowest by hash, stand for sets of these sizes in the exact filter."""
-    least, asked = _least_shared(sizes, threshold)
-    return sizes - least + asked
+def size_bounds(largest: int, threshold: float) -> np.ndarray:
+    """Where the classes of set sizes start: linked sets are of one class or of neighbouring ones. The last class is empty."""
+    bounds = [1]
+    while bounds[-1] <= largest:
+        bounds.append(int(bounds[-1] * max(threshold**-2, 1.25)) + 1)
+    return np.array([*bounds, 2 * bounds[-1]])
 
 
-def _least_shared(sizes: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray]:
-    """Of all members of a set, how many it shares at least with a linked one, and of its lowest if both sets were of this size."""
-    least = np.maximum(np.ceil(threshold * sizes - 1e-6), 1).astype(np.int64)
-    return least, np.minimum(((1 - threshold) / 2 * sizes).astype(np.int64) + 1, least)
+def most_different(sizes: np.ndarray, largest: np.ndarray, threshold: float) -> np.ndarray:
+    """Members that a set of this size and a linked one of at most ``largest`` do not share, those of both together."""
+    other = np.minimum(np.floor(sizes / threshold + 1e-5), largest)
+    return np.floor((1 - threshold) / (1 + threshold) * (sizes + other) + 1e-5).astype(np.int64)
 
 
-def members_needed(sizes: np.ndarray, threshold: float) -> np.ndarray:
-    """How many of its lowest members a set shares at least with the lowest members of any set that it is linked with.
+class Signer:
+    """Names parts of sets such that linked sets have at least one name in common.
 
-    Let x and y be linked, share c members, and the lowest members of x end first in hash order. Then all shared ones up to there are in both
-    lists, at least |lowest of x| - (|x| - c). As c is at least the threshold's share of either set, that is what ``_least_shared`` asks of x plus
-    the difference of both sets' least shares; two less than it asks of y at worst, by rounding.
-    """
-    return np.maximum(_least_shared(sizes, threshold)[1] - 2, 1)
+    Sets of one class of sizes, and those of the class below that can be linked with one, are cut into as many parts by hash, a few more
+    than two linked sets can differ in members, so some parts of both are equal. All parts are taken in order of how many members they
+    hold, the fullest first; as equal parts have equal places in this order, two sets that differ in d members share one of the first d + 1
+    of either. So those are named, and parts of one or no member hardly ever: texts that share single runs do not meet.
+    Below ``COMBINED`` linked sets differ too much for that: there the lowest members themselves are the names, of which linked sets share one.
 
+    ``sets``: how many sets each class holds; it only decides how the names are dealt into buckets.
+    """
 
-def _deal(threshold: float, buckets: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """A task's sets' lowest members, packed by bucket: (bucket, members, sets, sizes) with the arrays as bytes."""
+    def __init__(self, bounds: np.ndarray, sets: np.ndarray, threshold: float):
+        self.threshold, self.combined = threshold, threshold >= COMBINED
+        self.bounds = bounds if self.combined else np.array([1, np.iinfo(np.int64).max])
+        self.last = self.bounds[1:] - 1
+        if self.combined:
+            self.parts = np.ceil(SPARE * (most_different(self.last, self.last, threshold) + 1)).astype(np.int64)
+            held = sets + np.concatenate(([0], sets[:-1]))
+        else:
+            self.parts, held = np.array([1 << 16]), np.array([sets.sum()])
+        # Parts of many sets are buckets of their own, dealt out further by name; parts of few sets share one.
+        self.slices = np.maximum(1, -(-held // BUCKET_MEMBERS))
+        self.joint = np.clip(BUCKET_MEMBERS // np.maximum(held, 1), 1, self.parts)
+        n = -(-self.parts // self.joint) * self.slices
+        self.first = np.cumsum(n) - n
+
+    def _cut(self, value: np.ndarray, sizes: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, ...]:
+        """Of sets, side by side and in order of hash, the text, part and name of all parts to be named under the classes ``at``."""
+        parts = self.parts[at]
+        text = np.repeat(np.arange(len(sizes)), sizes)
+        if not self.combined:
+            place = np.arange(len(text)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+            low = place < (sizes - np.maximum(np.ceil(self.threshold * sizes - 1e-6), 1) + 1)[text]
+            name = mix64(value[low])
+            return text[low], (name & np.uint64(0xFFFF)).astype(np.int64), mix64(name)
+        end = np.cumsum(parts)
+        first = end - parts
+        part = first[text] + np.minimum((value.astype(np.float64) / 2**64 * parts[text]).astype(np.int64), parts[text] - 1)
+        total = np.concatenate((np.zeros(1, np.uint64), np.cumsum(mix64(value + np.uint64(3)), dtype=np.uint64)))
+        edges = np.searchsorted(part, np.arange(end[-1] + 1 if len(end) else 1))
+        owner = np.repeat(np.arange(len(sizes)), parts)
+        fullest = np.lexsort((-np.diff(edges), owner))
+        place = np.arange(len(owner)) - first[owner]  # of the sorted parts, too: those of a text stay together
+        named = np.sort(fullest[place < (most_different(sizes, self.last[at], self.threshold) + 1)[owner]])
+        part = place[named]
+        name = mix64(total[edges[named + 1]] - total[edges[named]] + part.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+        return owner[named], part, name
+
+    def names(self, value: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Of sets, side by side and each in order of hash: the text, the bucket and a hash of every name."""
+        own = np.searchsorted(self.bounds, sizes, side="right") - 1
+        found = []
+        for above in (0, 1) if self.combined else (0,):
+            # The class above is asked where a linked set can be of it.
+            asked = np.floor(sizes / self.threshold + 1e-5) >= self.bounds[own + above] if above else np.ones(len(sizes), dtype=bool)
+            at = own[asked] + above
+            text, part, name = self._cut(value[np.repeat(asked, sizes)], sizes[asked], at)
+            at = at[text]
+            bucket = self.first[at] + part // self.joint[at] * self.slices[at] + (name % self.slices[at].astype(np.uint64)).astype(np.int64)
+            found.append((np.flatnonzero(asked)[text], bucket, name))
+        return tuple(np.concatenate(c) for c in zip(*found, strict=True))
+
+
+def _deal(signer: Signer) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """A task's sets' names, packed by bucket: (bucket, sets, counts, names) with the sets, their numbers of names and these as bytes."""
 
     def packed(parts: list[tuple[np.ndarray, ...]]) -> pa.RecordBatch:
-        member, owner, size = (np.concatenate(p) for p in zip(*parts, strict=True))
-        bucket = mix64(member ^ np.uint64(0x5BD1E995)) % np.uint64(buckets)
+        bucket, owner, name = (np.concatenate(p) for p in zip(*parts, strict=True))
         order = np.argsort(bucket, kind="stable")
-        edges = np.searchsorted(bucket[order], np.arange(buckets + 1, dtype=np.uint64))
-        there = np.flatnonzero(np.diff(edges))
-
-        def column(values: np.ndarray) -> pa.Array:
-            return pa.array([values[order[edges[k] : edges[k + 1]]].tobytes() for k in there.tolist()], pa.binary())
-
-        return pa.RecordBatch.from_arrays([pa.array(there, pa.int32()), column(member), column(owner), column(size)], names=["bucket", "members", "sets", "sizes"])
+        bucket, owner, name = bucket[order], owner[order], name[order]
+        new = np.ones(len(bucket), dtype=bool)
+        new[1:] = (bucket[1:] != bucket[:-1]) | (owner[1:] != owner[:-1])
+        run = np.flatnonzero(new)
+        owner, count = owner[run], np.diff(np.append(run, len(bucket))).astype(np.uint32)
+        there, first = np.unique(bucket, return_index=True)
+        names = np.ascontiguousarray(name.astype(">u8").view(np.uint8).reshape(-1, 8)[:, 8 - NAME_BYTES :])
+        row = np.searchsorted(run, first)
+
+        def column(values: np.ndarray, starts: np.ndarray) -> pa.Array:
+            ends = [*starts[1:].tolist(), len(values)]
+            return pa.array([values[low:high].tobytes() for low, high in zip(starts.tolist(), ends, strict=True)], pa.binary())
+
+        columns = [pa.array(there, pa.int64()), column(owner, row), column(count, row), column(names, first)]
+        return pa.RecordBatch.from_arrays(columns, names=["bucket", "sets", "counts", "names"])
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts, held, known = [], 0, np.zeros(0, np.int64)
@@ -189,18 +262,15 @@ def _deal(threshold: float, buckets: int) -> Callable[[Iterator[pa.RecordBatch]]
             keys, sizes = set_keys(value, starts)[0], np.diff(starts)
             # Copies end here, so a task sends a set once.
             first = np.unique(keys, return_index=True)[1]
-            new = first[(sizes[first] > 0) & ~np.isin(keys[first], known)]
+            new = np.sort(first[(sizes[first] > 0) & ~np.isin(keys[first], known)])
             known = np.concatenate((known, keys[new]))
             if not len(new):
                 continue
-            text = np.repeat(np.arange(len(sizes)), sizes)
-            inside = np.isin(text, new)
-            text, member = text[inside], value[inside]  # in order of their hash
-            place = np.arange(len(text)) - np.searchsorted(text, text)
-            lowest = place < lowest_members(sizes, threshold)[text]
-            text, member = text[lowest], member[lowest]
-            parts.append((member, keys[text], sizes[text].astype(np.int32)))
-            held += len(member)
+            inside = np.zeros(len(sizes), dtype=bool)
+            inside[new] = True
+            text, bucket, name = signer.names(value[np.repeat(inside, sizes)], sizes[new])
+            parts.append((bucket, keys[new][text], name))
+            held += len(name)
             if held >= FLUSH_MEMBERS:
                 yield packed(parts)
                 parts, held = [], 0
@@ -210,46 +280,129 @@ def _deal(threshold: float, buckets: int) -> Callable[[Iterator[pa.RecordBatch]]
     return deal
 
 
-def _repeated(threshold: float) -> Callable[[pa.Table], pa.Table]:
-    """Of a bucket the members that different sets of sizes that can be linked hold: (member, set1, size)."""
-
-    def repeated(table: pa.Table) -> pa.Table:
-        member, owner, size = (
-            np.frombuffer(b"".join(table.column(c).to_pylist()), kind) for c, kind in (("members", np.uint64), ("sets", np.int64), ("sizes", np.int32))
-        )
-        order = np.lexsort((owner, size, member))
-        member, owner, size = member[order], owner[order], size[order].astype(np.int64)
-        # Of a member's sets in order of size, one has a partner if its neighbour is one.
-        again = (member[1:] == member[:-1]) & (owner[1:] == owner[:-1]) & (size[1:] == size[:-1])
-        own = np.concatenate((np.ones(min(1, len(member)), dtype=bool), ~again))
-        member, owner, size = member[own], owner[own], size[own]
-        near = (member[1:] == member[:-1]) & (size[:-1] >= threshold * size[1:] - 1e-6)
-        found = np.concatenate((near, [False])) | np.concatenate(([False], near)) if len(member) else np.zeros(0, dtype=bool)
-        return pa.table({"member": _signed(member[found]), "set1": owner[found], "size": size[found]})
-
-    return repeated
-
-
-def shared_members(texts: DataFrame, total: int, threshold: float) -> DataFrame:
-    """(member, set1): of two linked sets at least one member that stands there with both, for every linked pair of ``texts``.
-
-    Linked sets share many of their lowest members (``members_needed``). Members held by one set go, then sets with fewer left than
-    they need, and so once more; of the rest a set keeps its rarest, as many as go over its need and one: the rarest member that two
-    linked sets share is among them. ``total`` is the number of members of all sets; hot members are last in this order.
+def _sharing(table: pa.Table) -> pa.Table:
+    """The different lists of sets that share a name of the bucket, a row for each set: (place, set1), the place a hash of the list."""
+    owner, count, raw = (
+        np.frombuffer(b"".join(table.column(c).to_pylist()), kind) for c, kind in (("sets", np.int64), ("counts", np.uint32), ("names", np.uint8))
+    )
+    name = np.zeros((len(raw) // NAME_BYTES, 8), np.uint8)
+    name[:, 8 - NAME_BYTES :] = raw.reshape(-1, NAME_BYTES)
+    name, owner = name.view(">u8").ravel().astype(np.uint64), np.repeat(owner, count)
+    order = np.lexsort((owner, name))
+    name, owner = name[order], owner[order]
+    new = np.ones(len(name), dtype=bool)
+    new[1:] = (name[1:] != name[:-1]) | (owner[1:] != owner[:-1])
+    name, owner = name[new], owner[new]
+    start = np.flatnonzero(np.concatenate((np.ones(min(1, len(name)), dtype=bool), name[1:] != name[:-1])))
+    n = np.diff(np.append(start, len(name)))
+    lists = np.add.reduceat(mix64(owner.view(np.uint64)), start) if len(start) else np.zeros(0, np.uint64)
+    several = np.flatnonzero(n > 1)
+    several = several[np.unique(lists[several], return_index=True)[1]]
+    held = np.zeros(len(start), dtype=bool)
+    held[several] = True
+    rows = np.repeat(held, n)
+    return pa.table({"place": _signed(np.repeat(lists, n)[rows]), "set1": owner[rows]})
+
+
+def set_sketches(value: np.ndarray, starts: np.ndarray) -> list[bytes]:
+    """Per text a bit for each residue of its members' hashes: whether an odd number of them has it. As many bits as members or up to twice that.
+
+    A member that only one of two sets holds changes one bit, so the sketches differ in no more bits than the sets in members. One of twice
+    the bits becomes one of half of them if its halves are added.
+    """
+    sizes = np.diff(starts)
+    bits = 1 << np.ceil(np.log2(np.maximum(sizes, 64))).astype(np.int64)
+    end = np.cumsum(bits)
+    text = np.repeat(np.arange(len(sizes)), sizes)
+    residue = (mix64(value + np.uint64(4)) & (bits[text] - 1).astype(np.uint64)).astype(np.int64)
+    odd = np.bincount((end - bits)[text] + residue, minlength=int(end[-1]) if len(end) else 0) & 1
+    packed = np.packbits(odd.astype(np.uint8), bitorder="little").tobytes()
+    return [packed[(e - b) // 8 : e // 8] for e, b in zip(end.tolist(), bits.tolist(), strict=True)]
+
+
+class _Sketches:
+    """Sketches by their place in a list, compared at the smaller one's width."""
+
+    def __init__(self, sketches: list[bytes]):
+        self.words = np.array([len(x) // 8 for x in sketches], np.int64)
+        self.row = np.zeros(len(sketches), np.int64)
+        self.known = {}
+        for w in np.unique(self.words).tolist():
+            at = np.flatnonzero(self.words == w)
+            self.row[at] = np.arange(len(at))
+            self.known[w, w] = np.frombuffer(b"".join(sketches[i] for i in at.tolist()), np.uint64).reshape(-1, w)
+
+    def _folded(self, w: int, to: int) -> np.ndarray:
+        if (w, to) not in self.known:
+            wide = self._folded(w, 2 * to)
+            self.known[w, to] = wide[:, :to] ^ wide[:, to:]
+        return self.known[w, to]
+
+    def differ(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """In how many bits the sketches of each pair differ."""
+        found = np.zeros(len(left), np.int64)
+        widths = self.words[left] * (1 << 32) + self.words[right]
+        for width in np.unique(widths).tolist():
+            a, b = width >> 32, width & 0xFFFFFFFF
+            to, pairs = min(a, b), np.flatnonzero(widths == width)
+            one, two = self._folded(a, to), self._folded(b, to)
+            for at in np.array_split(pairs, len(pairs) * to // (1 << 20) + 1):
+                found[at] = np.bitwise_count(one[self.row[left[at]]] ^ two[self.row[right[at]]]).sum(axis=1)
+        return found
+
+
+def _alike(threshold: float) -> Callable[[pa.Table], pa.Table]:
+    """Edges (a, b) between the sets of every place of different neighbourhoods (column ``root``) whose sketches let them be linked."""
+
+    def alike(table: pa.Table) -> pa.Table:
+        place, owner, root, size = (table.column(c).to_numpy() for c in ("place", "set1", "root", "size"))
+        sketches = _Sketches(table.column("sketch").to_pylist())
+        order = np.lexsort((owner, place))
+        new = np.ones(len(order), dtype=bool)
+        new[1:] = place[order][1:] != place[order][:-1]
+        start = np.flatnonzero(new)
+        n = np.diff(np.append(start, len(order)))
+        # The sets of a place that very many share are one neighbourhood, its pairs are not listed.
+        crowded = np.repeat(n > LISTED, n)
+        first = np.repeat(start, n)
+        edges = [(owner[order[crowded]], owner[order[first[crowded]]])]
+        later = np.where(crowded, 0, np.repeat(start + n, n) - np.arange(len(order)) - 1)
+        total = np.concatenate(([0], np.cumsum(later)))
+        for low in range(0, int(total[-1]), PAIRS):
+            pair = np.arange(low, min(low + PAIRS, int(total[-1])))
+            at = np.searchsorted(total, pair, side="right") - 1
+            left, right = order[at], order[at + 1 + pair - total[at]]
+            least, most = np.minimum(size[left], size[right]), np.maximum(size[left], size[right])
+            open_ = (root[left] != root[right]) & (least >= threshold * most - 1e-6)
+            left, right = left[open_], right[open_]
+            limit = np.floor((1 - threshold) / (1 + threshold) * (size[left] + size[right]) + 1e-5)
+            near = sketches.differ(left, right) <= limit
+            edges.append((owner[left[near]], owner[right[near]]))
+        a, b = (np.concatenate(c) for c in zip(*edges, strict=True))
+        return pa.table({"a": a[a != b], "b": b[a != b]})
+
+    return alike
+
+
+def sharing_sets(texts: DataFrame, sets: DataFrame, near: DataFrame, threshold: float) -> DataFrame:
+    """Edges (a, b) that, with the neighbourhoods (node, root) in ``near``, connect every linked pair of the sets of ``texts``.
+
+    Linked sets share a name (``Signer``). Names of a few members are shared by chance, too, the more so the more texts there are, so
+    sets that share one are compared by their sketches, which no linked pair fails: the edges grow with the sets that are much alike.
+    ``sets``: (set1, size, sketch) of all different sets.
     """
-    buckets = max(1, -(-int(total * (1 - threshold) * 1.5) // BUCKET_MEMBERS))
-    dealt = texts.select("text").mapInArrow(_deal(threshold, buckets), "bucket int, members binary, sets binary, sizes binary")
-    found = materialize(dealt.groupBy("bucket").applyInArrow(_repeated(threshold), "member long, set1 long, size long"), "shared")
-    least = F.greatest(F.ceil(threshold * F.col("size") - F.lit(1e-6)), F.lit(1))
-    asked = F.least(F.floor(F.lit((1 - threshold) / 2) * F.col("size")) + 1, least)
-    found = found.withColumn("need", F.greatest(asked - 2, F.lit(1)).cast("long"))
-    of_set = ["set1", "size", "need"]
-    enough = found.groupBy(*of_set).agg(F.count(F.lit(1)).alias("n")).where("n >= need").select(*of_set)
-    kept = materialize(found.join(enough, of_set, "left_semi"), "candidates")
-    held = kept.groupBy("member").agg(F.count(F.lit(1)).alias("holders")).where("holders > 1")
-    own = Window.partitionBy(*of_set)
-    ranked = kept.join(held, "member").withColumns({"n": F.count(F.lit(1)).over(own), "rank": F.row_number().over(own.orderBy("holders", "member"))})
-    return ranked.where("rank <= n - need + 1").select("member", "set1")
+    bounds = size_bounds(sets.agg(F.max("size")).first()[0] or 0, threshold)
+    below = sets.agg(*(F.count_if(F.col("size") < int(b)).alias(f"n{k}") for k, b in enumerate(bounds))).first()
+    signer = Signer(bounds, np.diff(np.array(below, dtype=np.int64)), threshold)
+    dealt = texts.select("text").mapInArrow(_deal(signer), "bucket long, sets binary, counts binary, names binary")
+    found = materialize(dealt.groupBy("bucket").applyInArrow(_sharing, "place long, set1 long"), "sharing").distinct()
+    rooted = found.join(near, F.col("set1") == F.col("node"), "left").select("place", "set1", F.coalesce("root", "set1").alias("root"))
+    own = Window.partitionBy("place")
+    apart = rooted.withColumns({"low": F.min("root").over(own), "high": F.max("root").over(own)}).where("low < high")
+    apart = materialize(apart.select("place", "set1", "root"), "apart")
+    groups = max(1, -(-apart.count() // GROUP_PLACES))
+    sketched = apart.join(sets, "set1").withColumn("crowd", F.pmod(F.xxhash64("place"), F.lit(groups)))
+    return materialize(sketched.groupBy("crowd").applyInArrow(_alike(threshold), "a long, b long"), "alike")
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -277,41 +430,79 @@ def components(edges: DataFrame) -> DataFrame:
     return found
 
 
-def _met(places: DataFrame, *node: str) -> DataFrame:
-    """Edges (a, b) from the sets of every node, named by the columns ``node``, to its first one."""
-    nodes = places.groupBy(*node).agg(F.min("set1").alias("first"), F.max("set1").alias("last")).where(F.col("first") < F.col("last"))
-    return places.join(nodes, list(node)).where(F.col("set1") != F.col("first")).select(F.col("set1").alias("a"), F.col("first").alias("b"))
+def _met(places: DataFrame) -> DataFrame:
+    """Edges (a, b) from the sets of every node to its first one."""
+    nodes = places.groupBy("node").agg(F.min("set1").alias("first"), F.max("set1").alias("last")).where(F.col("first") < F.col("last"))
+    return places.join(nodes, "node").where(F.col("set1") != F.col("first")).select(F.col("set1").alias("a"), F.col("first").alias("b"))
+
+
+def _tile(sets: list[np.ndarray], rows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The sets of a tile: their rows; all their members in order of hash, with the place of the set in the tile; the different members."""
+    owner = np.repeat(np.arange(len(rows)), [len(sets[i]) for i in rows])
+    member = np.concatenate([sets[i] for i in rows])
+    order = np.argsort(member, kind="stable")
+    member, owner = member[order], owner[order]
+    return rows, member, owner, member[np.concatenate(([True], member[1:] != member[:-1]))]
+
+
+def _shared(left: tuple[np.ndarray, ...], right: tuple[np.ndarray, ...]) -> np.ndarray:
+    """How many members each set of one tile shares with each of another, or of the same."""
+    both = np.intersect1d(left[3], right[3], assume_unique=True) if left is not right else left[3]
+    if left is right:  # what one set alone holds is shared with none but itself
+        again = left[1][1:][left[1][1:] == left[1][:-1]]
+        both = again[np.concatenate(([True], again[1:] != again[:-1]))] if len(again) else again
+    shared = np.zeros((len(left[0]), len(right[0])), dtype=np.float32)
+    for low in range(0, len(both), 8192):
+        part = both[low : low + 8192]
+        dense = []
+        for _, member, owner, _ in (left, right) if left is not right else (left,):
+            at = slice(np.searchsorted(member, part[0]), np.searchsorted(member, part[-1], side="right"))
+            column = np.searchsorted(part, member[at])
+            held = part[column] == member[at]
+            dense.append(np.zeros((len(left[0]) if not dense else len(right[0]), len(part)), dtype=np.float32))
+            dense[-1][owner[at][held], column[held]] = 1
+        shared += dense[0] @ dense[-1].T
+    return shared
 
 
 def _verify(rows: pd.DataFrame, threshold: float) -> pd.DataFrame:
     """Links between the sets of one neighbourhood's pair of blocks: per set the linked documents, and a spanning star."""
-    left = rows["block"].to_numpy() == rows["low"].to_numpy()
-    right = rows["block"].to_numpy() == rows["high"].to_numpy()
     sets, copies, ids = rows["shingles"].to_list(), rows["copies"].to_numpy(), rows["set1"].to_numpy()
     sizes = np.array([len(s) for s in sets])
-    members, column = np.unique(np.concatenate(sets), return_inverse=True)
-    row = np.repeat(np.arange(len(sets)), sizes)
-    shared = np.zeros((len(sets), len(sets)), dtype=np.float32)
-    order = np.argsort(column, kind="stable")
-    row, column = row[order], column[order]
-    for low in range(0, len(members), 8192):
-        at = slice(*np.searchsorted(column, (low, low + 8192)))
-        part = np.zeros((len(sets), min(8192, len(members) - low)), dtype=np.float32)
-        part[row[at], column[at] - low] = 1
-        shared += part @ part.T
-    union = sizes[:, None] + sizes[None, :] - shared
-    linked = (shared >= threshold * union - 1e-6) & ((left[:, None] & right[None, :]) | (right[:, None] & left[None, :]))
-    np.fill_diagonal(linked, False)
-    root = np.arange(len(sets))
-    by_id = np.argsort(np.argsort(ids, kind="stable"), kind="stable")
+    own = rows["block"].to_numpy() == rows["low"].to_numpy()
+    one = own.all()  # a block with itself
+    sides = [np.flatnonzero(own), np.flatnonzero(own if one else ~own)]
+    if not all(map(len, sides)):
+        return pd.DataFrame({"set1": rows["set1"], "set2": rows["set2"], "size": sizes, "links": 0, "root": ids})
+    left = [_tile(sets, sides[0][k : k + TILE]) for k in range(0, len(sides[0]), TILE)]
+    right = left if one else [_tile(sets, sides[1][k : k + TILE]) for k in range(0, len(sides[1]), TILE)]
+    links = np.zeros(len(sets), dtype=np.int64)
+    linked = np.zeros((len(sides[0]), len(sides[1])), dtype=bool)
+    for i, a in enumerate(left):
+        for j, b in enumerate(right[i:] if one else right, i if one else 0):
+            shared = _shared(a, b)
+            near = shared >= threshold * (sizes[a[0]][:, None] + sizes[b[0]][None, :] - shared) - 1e-6
+            if a is b:
+                np.fill_diagonal(near, False)
+            links[a[0]] += near @ copies[b[0]]
+            linked[i * TILE : i * TILE + len(a[0]), j * TILE : j * TILE + len(b[0])] = near
+            if a is not b:
+                links[b[0]] += near.T @ copies[a[0]]
+                if one:
+                    linked[j * TILE : j * TILE + len(b[0]), i * TILE : i * TILE + len(a[0])] = near.T
+    by_id = np.argsort(ids, kind="stable")
+    top = np.argsort(by_id, kind="stable")  # the lowest place by id of what a set is linked with
     while True:
-        best = np.where(linked, by_id[root][None, :], len(sets)).min(axis=1)
-        lower = np.minimum(best, by_id[root])
-        new = np.argsort(by_id, kind="stable")[lower]
-        if (new == root).all():
+        low = top.copy()
+        for rows_, cols, found in ((sides[0], sides[1], linked), (sides[1], sides[0], linked.T)):
+            for k in range(0, len(rows_), TILE):
+                best = np.where(found[k : k + TILE], top[cols][None, :], len(sets)).min(axis=1)
+                low[rows_[k : k + TILE]] = np.minimum(low[rows_[k : k + TILE]], best)
+        low = low[by_id[low]]
+        if (low == top).all():
             break
-        root = new
-    return pd.DataFrame({"set1": rows["set1"], "set2": rows["set2"], "size": sizes, "links": linked @ copies, "root": ids[root]})
+        top = low
+    return pd.DataFrame({"set1": rows["set1"], "set2": rows["set2"], "size": sizes, "links": links, "root": ids[by_id[top]]})
 
 
 def _classified(documents: DataFrame, threshold: float, recall: float, by_id: bool) -> tuple[DataFrame, DataFrame]:
@@ -334,29 +525,32 @@ def _classified(documents: DataFrame, threshold: float, recall: float, by_id: bo
         label = pa.Array.from_buffers(pa.binary(), n_labels, [None, ends, pa.py_buffer(labels.tobytes())])
         listed = pa.ListArray.from_arrays(pa.array(np.arange(0, n_labels + 1, TREES), pa.int32()), label)
         columns = [batch.column("doc_id"), batch.column("text_key"), *(pa.array(k) for k in keys), pa.array(sizes, pa.int64()), listed]
-        return pa.RecordBatch.from_arrays(columns, names=["doc_id", "text_key", "set1", "set2", "size", "labels"])
+        columns.append(pa.array(set_sketches(value, starts), pa.binary()))
+        return pa.RecordBatch.from_arrays(columns, names=["doc_id", "text_key", "set1", "set2", "size", "labels", "sketch"])
 
-    signature = "doc_id long, text_key long, set1 long, set2 long, size long, labels array<binary>"
+    signature = "doc_id long, text_key long, set1 long, set2 long, size long, labels array<binary>, sketch binary"
     signed = materialize(map_batches(texts, sign, signature), "signatures")
     no_pairs = np.zeros(DEPTH)
     length = prefix_length(0, no_pairs, no_pairs, threshold, recall)
     of_set = ["set1", "set2", "size"]
-    # Equal sets have equal labels, so any row's will do.
+    # Equal sets have equal labels and sketches, so any row's will do.
     smallest = F.min(F.struct("doc_id", "text_key")).alias("smallest")
-    reps = signed.where("size > 0").groupBy(*of_set).agg(smallest, F.count(F.lit(1)).alias("copies"), F.first("labels").alias("labels"))
-    reps = reps.select(*of_set, F.col("smallest.doc_id").alias("rep"), F.col("smallest.text_key").alias("text_key"), "copies", "labels")
+    reps = signed.where("size > 0").groupBy(*of_set).agg(smallest, F.count(F.lit(1)).alias("copies"), F.first("labels").alias("labels"), F.first("sketch").alias("sketch"))
+    reps = reps.select(*of_set, F.col("smallest.doc_id").alias("rep"), F.col("smallest.text_key").alias("text_key"), "copies", "labels", "sketch")
     reps = materialize(reps, "representatives")
 
     # Neighbourhoods are made of sets, not of ids: an id with many texts brings only those together that meet.
     places = reps.select("set1", F.posexplode("labels").alias("tree", "label"))
-    places = places.withColumn("label", F.substring("label", 1, length * WIDTH))
-    sizes = reps.agg(F.sum("size")).first()[0] or 0
-    shared = materialize(shared_members(texts, sizes, threshold), "members")
-    around = components(_met(places, "tree", "label").union(_met(shared, "member")).distinct())
+    places = places.select("set1", F.xxhash64("tree", F.substring("label", 1, length * WIDTH)).alias("node"))
+    met = materialize(components(_met(places)), "met")
+    alike = sharing_sets(texts, reps.select("set1", "size", "sketch"), met, threshold)
+    around = components(met.select(F.col("node").alias("a"), F.col("root").alias("b")).where("a != b").union(alike))
 
-    members = reps.drop("labels").join(around, F.col("set1") == F.col("node")).drop("node")
+    members = reps.drop("labels", "sketch").join(around, F.col("set1") == F.col("node")).drop("node")
     counted = members.groupBy("root").agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("shingles"))
-    counted = counted.withColumn("blocks", F.ceil(F.col("n") / BLOCK).cast("int"))
+    # Every set is repeated for each block of its neighbourhood, so there are few of them, each as large as a task can hold.
+    most = (F.least(F.ceil(F.col("n") / BLOCK), F.lit(BLOCKS)), F.ceil(F.col("n") / BLOCK_SETS), F.ceil(F.col("shingles") / BLOCK_SHINGLES))
+    counted = counted.withColumn("blocks", F.greatest(*most).cast("int"))
     total = counted.agg(F.sum("shingles")).first()[0] or 0
     groups = max(1, -(-total // GROUP_SHINGLES))
     planned = members.join(counted.select("root", "blocks"), "root").withColumn("block", F.pmod(F.xxhash64("set1", "set2"), "blocks").cast("int"))

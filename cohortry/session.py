@@ -22,6 +22,8 @@ RUNTIME_SETTINGS = {
 
 SHUFFLE_TARGET_BYTES = 128 * 1024 * 1024
 
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 
 def configure(spark: SparkSession, shuffled_bytes: int | None = None) -> SparkSession:
     """Apply the runtime settings to an existing session.
@@ -118,10 +120,20 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` once as Parquet in the shared folder and read it back.
 
     Used where several branches read the same derived table: the lineage is cut, a lost
-    executor costs no recomputation, and each reader prunes its own columns. The folder goes with its last reader (``owned``).
+    executor costs no recomputation, and each reader prunes its own columns. The folder goes with its last reader (``owned``),
+    the files that were shuffled for it as soon as it is written: nothing reads them again, and the driver may not collect its
+    garbage for long.
     """
     spark = df.sparkSession
     sweep_scratch(spark)
     path = scratch_path(spark, label)
-    df.write.parquet(path)
+    before = spark.conf.get(SHUFFLE_CLEANUP, None)
+    spark.conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        if before is None:
+            spark.conf.unset(SHUFFLE_CLEANUP)
+        else:
+            spark.conf.set(SHUFFLE_CLEANUP, before)
     return owned(spark.read.schema(df.schema).parquet(path), path)

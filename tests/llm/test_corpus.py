@@ -8,6 +8,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import public_tokenizers
 import pytest
@@ -216,6 +217,77 @@ def test_shared_members_alone_find_every_link(spark, monkeypatch):
     assert {r["doc_id"]: (r["class_id"], r["n_links"]) for r in found} == _linked(rows)
 
 
+def test_common_runs_do_not_join_neighbourhoods(spark, monkeypatch):
+    """Texts of which each shares common phrases with many others, none of them linked: nothing is left to verify."""
+    rng, written, keep = np.random.default_rng(11), {}, near_duplicates.materialize
+
+    def noted(df, label):
+        written[label] = keep(df, label)
+        return written[label]
+
+    monkeypatch.setattr(near_duplicates, "materialize", noted)
+    phrases = [[f"p{k}x{x}" for x in range(9)] for k in range(40)]
+    rows = []
+    for i in range(600):
+        one, two = (phrases[k] for k in rng.choice(40, 2, replace=False))
+        own = [f"w{x}" for x in rng.integers(0, 10**6, 24)]
+        rows.append((i, " ".join([*own[:8], *one, *own[8:16], *two, *own[16:]])))
+    assert not any(n for _, n in _linked(rows).values())
+    found = near_duplicates.near_classes(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()
+    assert all(r["class_id"] == r["doc_id"] and r["n_links"] == 0 for r in found)
+    assert written["neighbourhoods"].count() < 20
+
+
+@pytest.mark.parametrize("threshold", [0.45, 0.8, 0.93, 1.0])
+@pytest.mark.parametrize("bucket", [4_000_000, 50])
+def test_linked_sets_share_a_name_and_have_like_sketches(monkeypatch, threshold, bucket):
+    monkeypatch.setattr(near_duplicates, "BUCKET_MEMBERS", bucket)
+    rng, pairs = np.random.default_rng(12), []
+    for n in [*range(1, 60), 100, 333, 1000, 4000]:
+        for _ in range(6):
+            # As different as linked sets can be, in members of the one, of the other or of both.
+            left = rng.integers(0, 1 << 63, n, dtype=np.uint64) * np.uint64(2)
+            gone = rng.integers(0, int(n * (1 - threshold) + 1e-6) + 1)
+            more = int((n - gone) / threshold + 1e-6) - n
+            right = np.concatenate((left[gone:], rng.integers(0, 1 << 63, rng.integers(0, more + 1) if more > 0 else 0, dtype=np.uint64)))
+            assert n - gone >= threshold * len(np.union1d(left, right)) - 1e-6
+            pairs += [np.sort(left), np.sort(right)]
+    sizes = np.array([len(x) for x in pairs])
+    value, starts = np.concatenate(pairs), np.concatenate(([0], np.cumsum(sizes)))
+    bounds = near_duplicates.size_bounds(int(sizes.max()), threshold)
+    signer = near_duplicates.Signer(bounds, np.histogram(sizes, [*bounds[:-1], np.inf])[0], threshold)
+    text, bucket, name = signer.names(value, sizes)
+    names = [set() for _ in pairs]
+    for t, b, x in zip(text.tolist(), bucket.tolist(), name.tolist(), strict=True):
+        names[t].add((b, x))
+    assert all(names[k] & names[k + 1] for k in range(0, len(pairs), 2))
+    left = np.arange(0, len(pairs), 2)
+    bits = near_duplicates._Sketches(near_duplicates.set_sketches(value, starts)).differ(left, left + 1)
+    assert all(n <= len(np.setxor1d(pairs[k], pairs[k + 1])) for k, n in zip(left.tolist(), bits.tolist(), strict=True))
+
+
+def test_blocks_of_several_tiles_are_verified_whole(monkeypatch):
+    monkeypatch.setattr(near_duplicates, "TILE", 5)
+    rng = np.random.default_rng(13)
+    core = [rng.integers(0, 1 << 40, 30) for _ in range(3)]
+    sets = [np.unique(np.concatenate((core[k % 3][: rng.integers(26, 31)], rng.integers(0, 1 << 40, rng.integers(0, 4))))) for k in range(32)]
+    near = np.array([[len(np.intersect1d(a, b)) >= 0.8 * len(np.union1d(a, b)) for b in sets] for a in sets]) & ~np.eye(32, dtype=bool)
+    copies, ids = rng.integers(1, 4, 32), rng.permutation(32) - 16
+    links = np.zeros(32, int)
+    for low, high in ((0, 0), (0, 1), (1, 1)):
+        at = [k for k in range(32) if k // 16 in (low, high)]
+        rows = pd.DataFrame({"block": [k // 16 for k in at], "low": low, "high": high, "set1": ids[at], "set2": 0, "copies": copies[at]})
+        rows["shingles"] = [sets[k] for k in at]
+        found = near_duplicates._verify(rows, 0.8)
+        links[at] += found["links"].to_numpy()
+        mine = near[np.ix_(at, at)] & (True if low == high else np.not_equal.outer(np.array(at) // 16, np.array(at) // 16))
+        root = list(range(len(at)))
+        for _ in at:
+            root = [min([root[i], *(root[j] for j in np.flatnonzero(mine[i]))], key=lambda k: ids[at][k]) for i in range(len(at))]
+        assert found["root"].tolist() == ids[at][root].tolist()
+    assert links.tolist() == (near @ copies).tolist() and near.any()
+
+
 def test_unrelated_texts_of_one_id_stay(spark):
     one, two, three = (" ".join(f"{c}{k}" for k in range(30)) for c in "abc")
     rows = [(7, one, 0), (7, two, 1), (7, two, 2), (8, three, 3), (9, one + " end", 4), (5, three, 5), (6, "", 6), (6, "", 7), (6, None, 8), (None, one, 9)]

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import time
 from pathlib import Path
 
 import pytest
@@ -149,6 +150,21 @@ def test_large_shuffles_start_with_more_partitions(spark):
         spark.conf.unset(key)
 
 
+def test_materialize_leaves_no_shuffled_files(spark):
+    def shuffled():
+        files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        return {files.apply(k).getName() for k in range(files.size()) if files.apply(k).getName().startswith("shuffle_")}
+
+    before, setting = shuffled(), spark.conf.get(session.SHUFFLE_CLEANUP, None)
+    kept = session.materialize(spark.range(1000).repartition(3).groupBy((F.col("id") % 7).alias("k")).count(), "test")
+    for _ in range(50):
+        if not shuffled() - before:
+            break
+        time.sleep(0.1)
+    assert not shuffled() - before and spark.conf.get(session.SHUFFLE_CLEANUP, None) == setting
+    assert kept.agg(F.sum("count")).first()[0] == 1000
+
+
 def test_materialize_uses_the_named_folder(spark):
     folder = session.shared_folder(spark)
     named = spark.conf.get("spark.checkpoint.dir", None)
