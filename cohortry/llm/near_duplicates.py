@@ -35,15 +35,15 @@ COMBINED, SPARE = 0.7, 1.2
 """From which threshold on the exact filter names parts of sets, and how many parts there are for each that has to be named."""
 NAME_BYTES = 5
 """Of a name's hash; names are compared within a bucket only."""
-BUCKET_MEMBERS, FLUSH_MEMBERS = 4_000_000, 1_000_000
+BUCKET_MEMBERS, FLUSH_MEMBERS = 2_000_000, 500_000
 """About how many names one bucket of the exact filter holds, and how many a task gathers before it deals them out."""
 BLOCK, BLOCKS = 400, 16
 """Sets of one neighbourhood that are compared in one group; larger neighbourhoods become pairs of blocks, up to this many."""
 BLOCK_SETS, BLOCK_SHINGLES = 4000, 4_000_000
 """What a block holds at most, about; only neighbourhoods that exceed it have more blocks."""
-TILE = 512
+TILE = 400
 """Sets that are compared at once."""
-LISTED, PAIRS, GROUP_PLACES = 1000, 200_000, 200_000
+LISTED, PAIRS, GROUP_PLACES = 1000, 100_000, 100_000
 """Sets of a name whose pairs are listed to compare their sketches, pairs listed at once, and sets of names that a group holds."""
 GROUP_SHINGLES = 1_000_000
 """About how many set members one group of small neighbourhoods holds."""
@@ -287,7 +287,7 @@ def _sharing(table: pa.Table) -> pa.Table:
     )
     name = np.zeros((len(raw) // NAME_BYTES, 8), np.uint8)
     name[:, 8 - NAME_BYTES :] = raw.reshape(-1, NAME_BYTES)
-    name, owner = name.view(">u8").ravel().astype(np.uint64), np.repeat(owner, count)
+    name, owner = name.view(">u8").ravel().byteswap(inplace=True).view(np.uint64), np.repeat(owner, count)
     order = np.lexsort((owner, name))
     name, owner = name[order], owner[order]
     new = np.ones(len(name), dtype=bool)
