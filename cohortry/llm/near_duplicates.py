@@ -24,8 +24,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from cohortry import session
 from cohortry.llm.base import Texts, documents_of, map_batches, mix64, shielded, small_batches
-from cohortry.session import materialize
 
 SHINGLE, THRESHOLD = 5, 0.8
 TREES, DEPTH, RECALL = 20, 8, 0.999
@@ -49,6 +49,11 @@ GROUP_SHINGLES = 1_000_000
 """About how many set members one group of small neighbourhoods holds."""
 
 
+def materialize(df: DataFrame, label: str) -> DataFrame:
+    """A scratch table; texts and sets are shuffled for several, so none leaves its shuffled files behind."""
+    return session.materialize(df, label, drop_shuffled=True)
+
+
 def meeting_odds(similarity: float, trees: int = TREES, depth: int = DEPTH) -> np.ndarray:
     """The probability that two sets of this Jaccard similarity share a prefix in some tree, for prefixes of 1 to ``depth`` values."""
     return 1 - (1 - similarity ** np.arange(1, depth + 1)) ** trees

@@ -116,17 +116,20 @@ def sweep_scratch(spark: SparkSession, collect: bool = False) -> int:
     return len(_owned)
 
 
-def materialize(df: DataFrame, label: str) -> DataFrame:
+def materialize(df: DataFrame, label: str, drop_shuffled: bool = False) -> DataFrame:
     """Write ``df`` once as Parquet in the shared folder and read it back.
 
     Used where several branches read the same derived table: the lineage is cut, a lost
-    executor costs no recomputation, and each reader prunes its own columns. The folder goes with its last reader (``owned``),
-    the files that were shuffled for it as soon as it is written: nothing reads them again, and the driver may not collect its
-    garbage for long.
+    executor costs no recomputation, and each reader prunes its own columns. The folder goes with its last reader (``owned``).
+    With ``drop_shuffled`` the files that were shuffled for it go as soon as it is written: nothing reads them again, and the
+    driver may not collect its garbage for long.
     """
     spark = df.sparkSession
     sweep_scratch(spark)
     path = scratch_path(spark, label)
+    if not drop_shuffled:
+        df.write.parquet(path)
+        return owned(spark.read.schema(df.schema).parquet(path), path)
     before = spark.conf.get(SHUFFLE_CLEANUP, None)
     spark.conf.set(SHUFFLE_CLEANUP, "true")
     try:

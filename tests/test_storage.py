@@ -156,7 +156,7 @@ def test_materialize_leaves_no_shuffled_files(spark):
         return {files.apply(k).getName() for k in range(files.size()) if files.apply(k).getName().startswith("shuffle_")}
 
     before, setting = shuffled(), spark.conf.get(session.SHUFFLE_CLEANUP, None)
-    kept = session.materialize(spark.range(1000).repartition(3).groupBy((F.col("id") % 7).alias("k")).count(), "test")
+    kept = session.materialize(spark.range(1000).repartition(3).groupBy((F.col("id") % 7).alias("k")).count(), "test", drop_shuffled=True)
     for _ in range(50):
         if not shuffled() - before:
             break
